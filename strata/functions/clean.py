@@ -18,6 +18,12 @@ ColumnLike = str | Column
 
 ISO_DATE = "yyyy-MM-dd"
 LATIN_DATE = "dd/MM/yyyy"
+# Text shape each layout needs (zero-padded); checked before parsing so that
+# rows that cannot match never reach the (exception-driven) parser.
+DATE_SHAPES = {
+    "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$", "dd/MM/yyyy": r"^\d{2}/\d{2}/\d{4}$",
+    "yyyy/MM/dd": r"^\d{4}/\d{2}/\d{2}$", "dd-MM-yyyy": r"^\d{2}-\d{2}-\d{4}$",
+}
 # Order matters: the first format that parses wins.
 TX_DATE_FORMATS = (ISO_DATE, LATIN_DATE)
 MULTI_DATE_FORMATS = (ISO_DATE, LATIN_DATE, "yyyy/MM/dd", "dd-MM-yyyy")
@@ -62,7 +68,7 @@ def blank_to_null(c: ColumnLike) -> Column:
 def parse_date(c: ColumnLike, formats: tuple[str, ...] = TX_DATE_FORMATS) -> Column:
     """First format (strict, zero-padded) that parses the trimmed text; else NULL."""
     v = F.trim(_col(c))
-    return F.coalesce(*[F.try_to_date(v, fmt) for fmt in formats])
+    return F.coalesce(*[F.when(v.rlike(DATE_SHAPES[fmt]), F.try_to_date(v, fmt)) for fmt in formats])
 
 
 def normalize_date(c: ColumnLike) -> Column:

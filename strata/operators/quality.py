@@ -147,17 +147,28 @@ def error_array(rules: list[Rule]) -> Column:
 
 def with_quality_errors(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Q3: ``quality_errors`` array plus ``is_valid``."""
-    return (df.withColumn("quality_errors", error_array(rules))
+    return (with_verdict(df, rules).drop("_rejected", "rejection_reason", "rejected_field")
             .withColumn("is_valid", F.size("quality_errors") == 0))
 
 
 def with_verdict(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Flag, first reason and offending field in one projection."""
-    return df.withColumns({
-        "_rejected": rejected_flag(rules),
-        "rejection_reason": first_reason(rules),
-        "rejected_field": first_field(rules),
-    })
+    """Flag, first reason, offending field and error array.
+
+    Each rule predicate is evaluated once into a flag column; the four
+    outputs are derived from the flags (small plan, no repeated evaluation).
+    """
+    names = [f"_rule_{i}" for i in range(len(rules))]
+    flagged = df.withColumns({n: r.fails() for n, r in zip(names, rules)})
+    flags = [F.col(n) for n in names]
+    rejected = F.lit(False)
+    for f in flags:
+        rejected = rejected | f
+    return flagged.withColumns({
+        "_rejected": rejected,
+        "rejection_reason": F.coalesce(*[F.when(f, r.message) for f, r in zip(flags, rules)]),
+        "rejected_field": F.coalesce(*[F.when(f, F.lit(r.field)) for f, r in zip(flags, rules)]),
+        "quality_errors": F.array_compact(F.array(*[F.when(f, r.message) for f, r in zip(flags, rules)])),
+    }).drop(*names)
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

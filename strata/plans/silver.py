@@ -79,13 +79,7 @@ def latest(prepared: DataFrame, entity: Entity) -> DataFrame:
 
 def check(df: DataFrame, entity: Entity) -> DataFrame:
     """Rule verdict columns: ``_rejected``, ``rejection_reason``, ``rejected_field``, ``quality_errors``."""
-    rules = entity.rules()
-    return df.withColumns({
-        "_rejected": Q.rejected_flag(rules),
-        "rejection_reason": Q.first_reason(rules),
-        "rejected_field": Q.first_field(rules),
-        "quality_errors": Q.error_array(rules),
-    })
+    return Q.with_verdict(df, entity.rules())
 
 
 def checked_transactions(bronze: DataFrame) -> DataFrame:

@@ -93,3 +93,17 @@ def work_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unique directory path under the work root (created lazily by writers)."""
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Guarantee a scan at least as many partitions as the session has cores.
+
+    Large inputs already arrive in thousands of splits and pass through
+    untouched; a small single-file table (one row group = one task) would
+    otherwise run every row-level expression on a single core.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

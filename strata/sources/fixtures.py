@@ -17,6 +17,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import spread
+
 TX_RAW = """
 WITH o AS (
   SELECT o_orderkey AS k, o_custkey AS ck, o_orderstatus AS st, o_orderpriority AS pr,
@@ -93,7 +95,8 @@ INGESTION_EPOCH = "2024-01-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; small single-split files are spread over the session's cores."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
