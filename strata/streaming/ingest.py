@@ -101,8 +101,16 @@ class BronzeBatchWriter:
         self.rows = 0
         self.bad = 0
         self.batches: list[int] = []
+        self.failure: Exception | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        try:
+            self._process(batch, batch_id)
+        except Exception as e:  # remembered so the run result names the real cause
+            self.failure = e
+            raise
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         spec = self.spec
         cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -164,6 +172,7 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, layout: Layout,
                           spec.deduplication_mode or "none", spec.schema_evolution_mode or "merge",
                           int(spec.schema_version or 1))
     start = time.time()
+    writer = None
     try:
         build_schema(spec)
         stream = read_source(spark, spec, streaming=True, max_files=max_files_per_trigger)
@@ -184,7 +193,8 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, layout: Layout,
         result.status = "SUCCESS"
     except Exception as e:  # noqa: BLE001 - per-source isolation (O2)
         result.status = "FAILED"
-        result.error = _error_text(e)
+        cause = writer.failure if writer is not None and writer.failure is not None else e
+        result.error = _error_text(cause)
     finally:
         result.duration_sec = round(time.time() - start, 2)
     return result
