@@ -401,7 +401,33 @@ def q_reset_then_reingest(spark, sf_dir):
     return _with_load_no(a.table(spark, "transactions"), "transactions").select(*L.TX_COLUMNS, "load_no")
 
 
+# --- all layers, end to end ----------------------------------------------------------------------------------
+
+E2E_DROPPED = ("_source_file", "_ingested_at", "_processed_at", "_load_date")
+
+
+def q_medallion_end_to_end(spark, sf_dir):
+    """Landing files -> bronze streams -> incremental silver -> gold marts; the fact mart is returned.
+
+    Run-dependent columns (real file paths, wall-clock times) are left out of the result.
+    """
+    from strata.plans.jobs import run_bronze, run_gold, run_silver
+    a = Area(spark, "e2e")
+    for src, drops in (("transactions", (0, 1)), ("merchants", (0, 1, 2)), ("users", (0, 1))):
+        for d in drops:
+            a.land(spark, sf_dir, src, d)
+    run_id = O.new_run_id()
+    bronze_results = run_bronze(spark, list(a.specs.values()), a.layout, run_id)
+    silver_results = run_silver(spark, a.layout, run_id)
+    failed = [r for r in [*bronze_results, *silver_results] if r.status != "SUCCESS"]
+    if failed:
+        raise RuntimeError(f"layer run failed: {[(r.source_name, r.error) for r in failed]}")
+    store = run_gold(spark, a.layout, run_id)
+    return store.read("fact_transactions").drop(*E2E_DROPPED)
+
+
 QUERIES = {
+    "medallion_end_to_end": q_medallion_end_to_end,
     "scan_csv_roundtrip": q_scan_csv_roundtrip,
     "scan_txt_pipe": q_scan_txt_pipe,
     "corrupt_split_bad": q_corrupt_split_bad,

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.operators.dedup import latest_by
+from strata.session import checkpoint_root
 
 BUCKET = "_bucket"
 DEFAULT_BUCKETS = 64
@@ -109,12 +110,50 @@ def scd1_current(spark: SparkSession, target: str) -> DataFrame:
     return df.filter(F.col(OP) != DELETE).drop(SEQ, OP, BUCKET)
 
 
+def next_in_order(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str],
+                  prefix: str = "_next_", partitions: int | None = None) -> DataFrame:
+    """For every row, ``columns`` of the next row of the same key in ``order`` (NULL on a key's last row).
+
+    Equivalent to ``lead(c) OVER (PARTITION BY keys ORDER BY order)`` but without
+    putting a whole key in one task: rows are range-partitioned on (keys, order),
+    so a hot key is split across many partitions of similar size; the range
+    partitioning is checkpointed (lineage cut into ``spark.checkpoint.dir``) so
+    every later read sees the same partitions.  ``lead`` then runs per range
+    partition, and each partition's last row takes its successor from the first
+    row of the next non-empty partition - a frame of at most ``partitions`` rows.
+    Keys must not be NULL.
+    """
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    n = partitions or max(spark.sparkContext.defaultParallelism,
+                          int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sort_cols = [*keys, order]
+    carried = list(dict.fromkeys([*keys, *columns]))
+    ranged = (df.repartitionByRange(n, *[F.col(c) for c in sort_cols])
+              .withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))
+    within = Window.partitionBy("_pid").orderBy(*sort_cols)
+    local = ranged.withColumns({"_has_next": F.lead(F.lit(True)).over(within),
+                                **{f"_ln_{c}": F.lead(c).over(within) for c in carried}})
+    firsts = ranged.groupBy("_pid").agg(
+        F.min_by(F.struct(*carried), F.struct(*sort_cols)).alias("_first"))
+    successor = firsts.select("_pid", F.lead("_first").over(Window.orderBy("_pid")).alias("_succ"))
+    joined = local.join(F.broadcast(successor), "_pid", "left")
+    nxt = {c: F.when(F.col("_has_next"), F.col(f"_ln_{c}")).otherwise(F.col("_succ")[c]) for c in carried}
+    same_key = F.lit(True)
+    for k in keys:
+        same_key = same_key & (nxt[k] == F.col(k))
+    out = joined.withColumns({f"{prefix}{c}": F.when(same_key, nxt[c]) for c in columns})
+    return out.drop("_pid", "_has_next", "_succ", *[f"_ln_{c}" for c in carried])
+
+
 def scd2_apply(spark: SparkSession, target: str, changes: DataFrame, keys: Sequence[str],
                seq: Column, valid_from: Column, buckets: int = DEFAULT_BUCKETS) -> None:
     """K15 (extension): SCD type 2 history with validity intervals.
 
     Every distinct change is a version; ``_valid_to`` is the next version's
-    ``_valid_from`` (``lead`` over the key's versions ordered by sequence),
+    ``_valid_from`` in sequence order (computed by :func:`next_in_order`, so
+    a key with a huge history is still spread over many tasks);
     ``_is_current`` marks the open version.  Re-applying a batch is harmless:
     versions are deduplicated by (key, sequence).
     """
@@ -132,9 +171,8 @@ def scd2_apply(spark: SparkSession, target: str, changes: DataFrame, keys: Seque
     else:
         versions = incoming
     versions = versions.dropDuplicates([*keys, SEQ])
-    w = Window.partitionBy(*keys).orderBy(F.col(SEQ))
-    nxt = F.lead("_valid_from").over(w)
-    history = versions.withColumns({"_valid_to": nxt}).withColumn(
+    history = next_in_order(versions, keys, SEQ, ["_valid_from"])
+    history = history.withColumnRenamed("_next__valid_from", "_valid_to").withColumn(
         "_is_current", F.col("_valid_to").isNull() & (F.col(OP) != DELETE))
     _write_buckets(history, target)
 

@@ -15,6 +15,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 ROOT_CONF = "strata.root"
+STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -53,6 +55,10 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     if spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) in (None, ""):
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
+    # Streaming dedup keeps every key seen: keep that state in RocksDB (off-heap,
+    # spills to local disk, checkpointed incrementally) unless the launcher chose a store.
+    if not spark.sparkContext.getConf().contains(STATE_STORE_CONF):
+        spark.conf.set(STATE_STORE_CONF, ROCKSDB_STATE_STORE)
 
 
 def checkpoint_root(spark: SparkSession) -> str:

@@ -58,3 +58,16 @@ def test_scd2_intervals(spark):
     U.scd2_apply(spark, target, df.filter("seq = 2"), ["key"], F.col("seq"), F.col("seq"), buckets=4)
     got = rows(U.read_keyed(spark, target), "key", "val", "_valid_from", "_valid_to", "_is_current")
     assert got == [(1, "a", 1, 2, False), (1, "b", 2, 3, False), (1, "c", 3, None, True), (2, "z", 1, None, True)]
+
+
+def test_next_in_order_matches_lead_with_hot_key(spark):
+    from pyspark.sql import Window
+    # key 0 holds half of all rows: it must be split over several range partitions
+    df = spark.range(4000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 37).alias("k"),
+                                  F.col("id").alias("seq"), (F.col("id") * 10).alias("v"))
+    got = U.next_in_order(df, ["k"], "seq", ["v"], partitions=8)
+    want = df.withColumn("_next_v", F.lead("v").over(Window.partitionBy("k").orderBy("seq")))
+    assert rows(got, "k", "seq", "_next_v") == rows(want, "k", "seq", "_next_v")
+    per_part = (df.repartitionByRange(8, "k", "seq").filter(F.col("k") == 0)
+                .groupBy(F.spark_partition_id().alias("p")).count().count())
+    assert per_part > 1
