@@ -401,6 +401,28 @@ def q_reset_then_reingest(spark, sf_dir):
     return _with_load_no(a.table(spark, "transactions"), "transactions").select(*L.TX_COLUMNS, "load_no")
 
 
+# --- K5 / K11 / K12 / K18 / S17: named tables ----------------------------------------------------------------
+
+def q_table_registry(spark, sf_dir):
+    """Bronze written by the stream, registered as ``bronze.transactions`` and read back by name in SQL."""
+    from strata.plans.tables import describe, list_tables, register_table, table_properties
+    a = Area(spark, "registry")
+    spec = a.specs["transactions"]
+    for d in (0, 1):
+        a.land(spark, sf_dir, "transactions", d)
+    ingest_source(spark, spec, a.layout)
+    name = register_table(spark, "bronze", "transactions", a.layout.spec_paths(spec)[0],
+                          comment="raw transactions, all columns as text", properties=spec.table_properties)
+    props = table_properties(spark, name)
+    listed = {r.table_name for r in list_tables(spark, "bronze").collect()}
+    commented = describe(spark, name).filter("col_name = 'Comment'").count() == 1
+    if props.get("quality") != "bronze" or "transactions" not in listed or not commented:
+        raise RuntimeError(f"table registration incomplete: {props}, {listed}")
+    cols = ", ".join(L.TX_COLUMNS)
+    return spark.sql(f"SELECT {cols}, CAST(regexp_extract(_source_file, 'transactions_(\\\\d+)_', 1) AS INT) "
+                     f"AS load_no FROM {name}")
+
+
 # --- all layers, end to end ----------------------------------------------------------------------------------
 
 E2E_DROPPED = ("_source_file", "_ingested_at", "_processed_at", "_load_date")
@@ -428,6 +450,7 @@ def q_medallion_end_to_end(spark, sf_dir):
 
 QUERIES = {
     "medallion_end_to_end": q_medallion_end_to_end,
+    "table_registry": q_table_registry,
     "scan_csv_roundtrip": q_scan_csv_roundtrip,
     "scan_txt_pipe": q_scan_txt_pipe,
     "corrupt_split_bad": q_corrupt_split_bad,
