@@ -323,12 +323,13 @@ def q_refresh_after_change(spark, sf_dir):
 # --- U1, L1/L2, observability ------------------------------------------------------------------------------------
 
 def q_layer_counts(spark, sf_dir):
-    checked = S.checked_transactions(bronze(spark, sf_dir, "tx_raw"))
-    return O.layer_counts({
-        "bronze_transactions": bronze(spark, sf_dir, "tx_raw"),
-        "silver_transactions": S.valid_rows(checked, S.TRANSACTIONS),
-        "silver_quarantine": S.rejected_rows(checked),
-    })
+    """Rows per layer; silver and quarantine counted in one pass over the checked rows."""
+    b = bronze(spark, sf_dir, "tx_raw")
+    split = S.checked_transactions(b).agg(
+        F.count_if(~F.col("_rejected")).alias("silver_transactions"),
+        F.count_if(F.col("_rejected")).alias("silver_quarantine"))
+    silver = split.unpivot([], ["silver_transactions", "silver_quarantine"], "table_name", "row_count")
+    return O.layer_counts({"bronze_transactions": b}).unionByName(silver).distinct()
 
 
 def q_latest_ingested_topk(spark, sf_dir):
