@@ -41,19 +41,22 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     The ordering must be total for a deterministic result - end it with a
     content hash (see :func:`record_hash`) when timestamps can tie.
 
-    One window pass: rows with a NULL key component get a unique extra
-    partition value (``_solo``), so each forms its own group and survives,
-    and they are spread over all reducers instead of one NULL-key hot spot.
+    Rows with a NULL key component are passed through untouched (a second,
+    filtered branch over the same input: the NULL test is pushed below the
+    projections, so only those rows pay for them).  Everything in the plan is
+    deterministic, so a lost executor's tasks recompute exactly the same rows.
     """
     if not keys:
         raise ValueError("latest_by needs at least one key column")
-    tagged = df.withColumn("_solo", F.when(~_key_present(keys), F.monotonically_increasing_id()))
-    w = Window.partitionBy(*keys, "_solo").orderBy(*order)
-    return (
-        tagged.withColumn("_rn", F.row_number().over(w))
+    present = _key_present(keys)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    keyed = (
+        df.filter(present)
+        .withColumn("_rn", F.row_number().over(w))
         .filter(F.col("_rn") == 1)
-        .drop("_rn", "_solo")
+        .drop("_rn")
     )
+    return keyed.unionByName(df.filter(~present))
 
 
 def latest_by_ingestion(df: DataFrame, keys: Sequence[str], hash_columns: Sequence[str]) -> DataFrame:

@@ -47,7 +47,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _write_buckets(df: DataFrame, path: str) -> None:
-    (df.repartition(BUCKET).write.mode("overwrite")
+    """Group rows by bucket for few files per bucket; ``rebalance`` (not ``repartition``)
+    lets AQE split an oversized bucket - e.g. a hot key's SCD2 history - over several tasks."""
+    (df.hint("rebalance", BUCKET).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET).parquet(path))
 

@@ -109,7 +109,9 @@ def spread(df, min_partitions: int | None = None):
     otherwise run every row-level expression on a single core.
     """
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as is
+        return df
+    return df.repartition(target) if splits < target else df
