@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +44,28 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``strata`` importable in Python workers (``SparkContext.addPyFile``), once per application.
+
+    The package is zipped on the driver and distributed by Spark like any
+    ``--py-files`` archive; nothing is assumed about the workers' paths.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="strata-pyfiles-")) / "strata.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for f in pkg.rglob("*.py"):
+            zf.write(f, f.relative_to(pkg.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(app)
+
+
 def tune(spark: SparkSession) -> None:
     """Session settings every plan in this library relies on.
 
@@ -50,6 +74,7 @@ def tune(spark: SparkSession) -> None:
       after its shuffle output has been measured below the threshold;
       above it the join stays sort-merge (with skew splitting).
     """
+    ship_package(spark)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

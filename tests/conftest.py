@@ -1,5 +1,4 @@
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -16,12 +15,12 @@ def spark():
 
     from strata.session import tune
 
-    ckpt = tempfile.mkdtemp(prefix="strata-tests-")
+    # spark.checkpoint.dir comes from the environment's defaults when set there;
+    # strata.session.checkpoint_root() creates a private one only if it is unset.
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.checkpoint.dir", ckpt)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     tune(s)
