@@ -402,6 +402,38 @@ def q_reset_then_reingest(spark, sf_dir):
     return _with_load_no(a.table(spark, "transactions"), "transactions").select(*L.TX_COLUMNS, "load_no")
 
 
+# --- K15: bronze write modes -----------------------------------------------------------------------------------
+
+def _two_runs(spark, sf_dir, label: str, mode: str):
+    a = Area(spark, label, transactions={"write_mode": mode})
+    spec = a.specs["transactions"]
+    for d in (0, 1):
+        a.land(spark, sf_dir, "transactions", d)
+        res = ingest_source(spark, spec, a.layout)
+        if res.status != "SUCCESS":
+            raise RuntimeError(res.error)
+    return a, a.layout.spec_paths(spec)[0]
+
+
+def q_write_mode_merge(spark, sf_dir):
+    """Bronze kept as one row per raw key: the newer drop replaces the older row."""
+    _, path = _two_runs(spark, sf_dir, "wm-merge", "merge")
+    return _with_load_no(U.read_keyed(spark, path), "transactions").select(*L.TX_COLUMNS, "load_no")
+
+
+def q_write_mode_overwrite(spark, sf_dir):
+    """Each run replaces the table with what that run read."""
+    a, _ = _two_runs(spark, sf_dir, "wm-overwrite", "overwrite")
+    return _with_load_no(a.table(spark, "transactions"), "transactions").select(*L.TX_COLUMNS, "load_no")
+
+
+def q_write_mode_scd2(spark, sf_dir):
+    """Every version kept; only the newest version of each raw key is current."""
+    _, path = _two_runs(spark, sf_dir, "wm-scd2", "scd2")
+    return _with_load_no(U.read_keyed(spark, path), "transactions").select(
+        *L.TX_COLUMNS, "load_no", "_is_current", F.col("_valid_to").isNotNull().alias("closed"))
+
+
 # --- K5 / K11 / K12 / K18 / S17: named tables ----------------------------------------------------------------
 
 def q_table_registry(spark, sf_dir):
@@ -451,6 +483,9 @@ def q_medallion_end_to_end(spark, sf_dir):
 
 QUERIES = {
     "medallion_end_to_end": q_medallion_end_to_end,
+    "write_mode_merge": q_write_mode_merge,
+    "write_mode_overwrite": q_write_mode_overwrite,
+    "write_mode_scd2": q_write_mode_scd2,
     "table_registry": q_table_registry,
     "scan_csv_roundtrip": q_scan_csv_roundtrip,
     "scan_txt_pipe": q_scan_txt_pipe,
