@@ -37,6 +37,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "16g"))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Python call-site capture for error messages costs several JVM round trips per
+        # Column call; plans here are built from thousands of them.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
