@@ -22,6 +22,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +57,22 @@ def _write_buckets(df: DataFrame, path: str) -> None:
      .partitionBy(BUCKET).parquet(path))
 
 
+@contextmanager
+def held(df: DataFrame, hold: bool = True):
+    """Persist a batch that is read twice (bucket list, then merge); release it afterwards.
+
+    ``hold=False`` when the caller already persisted the batch's input.
+    """
+    if not hold:
+        yield df
+        return
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def touched_buckets(batch: DataFrame) -> list[int]:
     """Distinct bucket ids of a batch - at most N small integers."""
     return sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
@@ -65,7 +84,7 @@ def read_keyed(spark: SparkSession, path: str, buckets: list[int] | None = None)
 
 
 def upsert(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[str],
-           buckets: int = DEFAULT_BUCKETS) -> None:
+           buckets: int = DEFAULT_BUCKETS, hold: bool = True) -> None:
     """MERGE by key - matched rows are replaced whole, new keys inserted.
 
     ``batch`` must hold at most one row per key (deduplicate first).
@@ -74,16 +93,17 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[st
     if not path_exists(spark, target):
         _write_buckets(incoming, target)
         return
-    ids = touched_buckets(incoming)
-    if not ids:
-        return
-    current = read_keyed(spark, target, ids)
-    kept = current.join(incoming.select(*keys), list(keys), "left_anti")
-    _write_buckets(kept.unionByName(incoming, allowMissingColumns=True), target)
+    with held(incoming, hold) as incoming:
+        ids = touched_buckets(incoming)
+        if not ids:
+            return
+        current = read_keyed(spark, target, ids)
+        kept = current.join(incoming.select(*keys), list(keys), "left_anti")
+        _write_buckets(kept.unionByName(incoming, allowMissingColumns=True), target)
 
 
 def scd1_apply(spark: SparkSession, target: str, changes: DataFrame, keys: Sequence[str],
-               seq: Column, buckets: int = DEFAULT_BUCKETS) -> None:
+               seq: Column, buckets: int = DEFAULT_BUCKETS, hold: bool = True) -> None:
     """SCD type 1 from a change feed, robust to out-of-order arrival.
 
     Each stored row keeps its sequence value (``_seq``); a change is applied
@@ -96,14 +116,15 @@ def scd1_apply(spark: SparkSession, target: str, changes: DataFrame, keys: Seque
     if OP not in incoming.columns:
         incoming = incoming.withColumn(OP, F.lit("UPSERT"))
     incoming = incoming.filter(F.col(SEQ).isNotNull())
-    if path_exists(spark, target):
+    if not path_exists(spark, target):
+        _write_buckets(latest_by(incoming, keys, [F.col(SEQ).desc()]), target)
+        return
+    with held(incoming, hold) as incoming:
         ids = touched_buckets(incoming)
         if not ids:
             return
         candidates = read_keyed(spark, target, ids).unionByName(incoming, allowMissingColumns=True)
-    else:
-        candidates = incoming
-    _write_buckets(latest_by(candidates, keys, [F.col(SEQ).desc()]), target)
+        _write_buckets(latest_by(candidates, keys, [F.col(SEQ).desc()]), target)
 
 
 def scd1_current(spark: SparkSession, target: str) -> DataFrame:
@@ -150,7 +171,7 @@ def next_in_order(df: DataFrame, keys: Sequence[str], order: str, columns: Seque
 
 
 def scd2_apply(spark: SparkSession, target: str, changes: DataFrame, keys: Sequence[str],
-               seq: Column, valid_from: Column, buckets: int = DEFAULT_BUCKETS) -> None:
+               seq: Column, valid_from: Column, buckets: int = DEFAULT_BUCKETS, hold: bool = True) -> None:
     """K15 (extension): SCD type 2 history with validity intervals.
 
     Every distinct change is a version; ``_valid_to`` is the next version's
@@ -164,19 +185,23 @@ def scd2_apply(spark: SparkSession, target: str, changes: DataFrame, keys: Seque
     if OP not in incoming.columns:
         incoming = incoming.withColumn(OP, F.lit("UPSERT"))
     incoming = incoming.filter(F.col(SEQ).isNotNull())
-    if path_exists(spark, target):
+
+    def write_history(versions: DataFrame) -> None:
+        versions = versions.dropDuplicates([*keys, SEQ])
+        history = next_in_order(versions, keys, SEQ, ["_valid_from"])
+        history = history.withColumnRenamed("_next__valid_from", "_valid_to").withColumn(
+            "_is_current", F.col("_valid_to").isNull() & (F.col(OP) != DELETE))
+        _write_buckets(history, target)
+
+    if not path_exists(spark, target):
+        write_history(incoming)
+        return
+    with held(incoming, hold) as incoming:
         ids = touched_buckets(incoming)
         if not ids:
             return
         old = read_keyed(spark, target, ids).drop("_valid_to", "_is_current")
-        versions = old.unionByName(incoming, allowMissingColumns=True)
-    else:
-        versions = incoming
-    versions = versions.dropDuplicates([*keys, SEQ])
-    history = next_in_order(versions, keys, SEQ, ["_valid_from"])
-    history = history.withColumnRenamed("_next__valid_from", "_valid_to").withColumn(
-        "_is_current", F.col("_valid_to").isNull() & (F.col(OP) != DELETE))
-    _write_buckets(history, target)
+        write_history(old.unionByName(incoming, allowMissingColumns=True))
 
 
 def overwrite(df: DataFrame, path: str) -> None:
