@@ -72,6 +72,7 @@ class SourceSpec:
     enable_observability: bool = True
     infer_column_types: bool = False
     table_properties: dict[str, str] = field(default_factory=dict)
+    max_files_per_trigger: int | None = None
     active: bool = False
 
     @property

@@ -33,6 +33,9 @@ from strata.sources.files import apply_evolution, bad_rows, good_rows, read_sour
 from strata.sources.spec import SourceSpec, SpecError, build_schema
 
 BATCH = "_batch_id"
+# Files per micro-batch unless the spec or caller says otherwise: a first backfill over a
+# huge landing folder becomes many bounded micro-batches instead of one giant persisted one.
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 
 
 @dataclass(frozen=True)
@@ -175,7 +178,8 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, layout: Layout,
     writer = None
     try:
         build_schema(spec)
-        stream = read_source(spark, spec, streaming=True, max_files=max_files_per_trigger)
+        max_files = max_files_per_trigger or spec.max_files_per_trigger or DEFAULT_MAX_FILES_PER_TRIGGER
+        stream = read_source(spark, spec, streaming=True, max_files=max_files)
         dmode = (spec.deduplication_mode or "none").lower()
         if dmode not in ("none", "drop_duplicates", "latest_record"):
             raise SpecError(f"deduplication_mode '{dmode}' is not one of none|drop_duplicates|latest_record")
