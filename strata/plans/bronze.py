@@ -104,6 +104,17 @@ def repair_bad_users(spark: SparkSession, spec: SourceSpec, layout: Layout) -> i
     return writer.rows
 
 
+def count_bad_records(spark: SparkSession, bad_path: str) -> int:
+    """Rows in a source's bad-record folder; 0 when the folder is missing or empty."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(bad_path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return 0
+    return spark.read.schema(BAD_RECORD_SCHEMA).option("recursiveFileLookup", "true") \
+        .option("pathGlobFilter", "*.json").json(bad_path).count()
+
+
 # --- K13: reset ------------------------------------------------------------------------------------------
 
 def delete_path(spark: SparkSession, path: str) -> bool:

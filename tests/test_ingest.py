@@ -80,3 +80,13 @@ def test_reset_then_reingest(spark, sf_small):
     assert set(reset_source(spark, spec, a.layout).values()) == {"OK"}
     again = ingest_source(spark, spec, a.layout)
     assert again.records == 1500 and a.table(spark, "transactions").count() == 1500
+
+
+def test_count_bad_records(spark, sf_small, tmp_path):
+    from strata.plans.bronze import count_bad_records
+    assert count_bad_records(spark, str(tmp_path / "missing")) == 0
+    a = Area(spark, "t-badcount")
+    spec = a.specs["users"]
+    a.land(spark, sf_small, "users", 0)
+    res = ingest_source(spark, spec, a.layout)
+    assert count_bad_records(spark, a.layout.spec_paths(spec)[2]) == res.records_failed > 0
