@@ -71,3 +71,16 @@ def test_next_in_order_matches_lead_with_hot_key(spark):
     per_part = (df.repartitionByRange(8, "k", "seq").filter(F.col("k") == 0)
                 .groupBy(F.spark_partition_id().alias("p")).count().count())
     assert per_part > 1
+
+
+def test_upsert_one_row_per_key_after_replayed_drops(spark, sf_small):
+    from strata.plans import silver as S
+    from strata.sources.fixtures import bronze
+    target = fresh_dir(spark, "t-upsert-drops")
+    b = bronze(spark, sf_small, "tx_raw")
+    for d in (0, 1, 1):  # the second drop is applied twice
+        valid = S.valid_rows(S.checked_transactions(b.filter(F.col("load_no") == d)), S.TRANSACTIONS)
+        U.upsert(spark, target, valid.drop("_seq"), ["transaction_id"], buckets=8)
+    t = U.read_keyed(spark, target)
+    assert t.count() == t.select("transaction_id").distinct().count()
+    assert t.filter(F.col("transaction_id").isNull()).count() == 0
