@@ -88,9 +88,11 @@ def read_json(spark: SparkSession, spec: SourceSpec, schema: T.StructType | None
     as_list = F.from_json("value", "array<map<string,string>>")
     as_one = F.from_json("value", "map<string,string>")
     records = F.coalesce(as_list, F.when(as_one.isNotNull(), F.array(as_one)))
+    # unparsable text -> one row carrying it as corrupt; an empty array -> no rows
+    items = F.when(records.isNull(), F.array(F.lit(None).cast("map<string,string>"))).otherwise(records)
     exploded = raw.select(
         "_source_file",
-        F.explode_outer(records).alias("_m"),
+        F.explode(items).alias("_m"),
         F.when(records.isNull(), F.col("value")).alias(CORRUPT),
     )
     declared = [f.name for f in schema.fields]

@@ -61,6 +61,7 @@ def test_json_object_root_and_lines(spark, tmp_path):
     (tmp_path / "one.json").write_text(json.dumps({"id": "1", "name": "x"}))
     (tmp_path / "two.json").write_text(json.dumps([{"id": "2"}, {"id": "3", "name": "z", "extra": 1}]))
     (tmp_path / "bad.json").write_text("{not json")
+    (tmp_path / "empty.json").write_text("[]")
     spec = SourceSpec("j", str(tmp_path), "json", (("id", "string"), ("name", "string")))
     df = read_source(spark, spec).cache()
     assert sorted(r.id for r in good_rows(df).select("id").collect()) == ["1", "2", "3"]
