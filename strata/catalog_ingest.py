@@ -434,6 +434,19 @@ def q_write_mode_scd2(spark, sf_dir):
         *L.TX_COLUMNS, "load_no", "_is_current", F.col("_valid_to").isNotNull().alias("closed"))
 
 
+def q_load_mode_batch(spark, sf_dir):
+    """K15 load_mode=batch: a static read of every landed file, written once under a fixed batch id."""
+    a = Area(spark, "load-batch", transactions={"load_mode": "batch"})
+    for d in (0, 1):
+        a.land(spark, sf_dir, "transactions", d)
+    for _ in range(2):  # same batch id twice: the second write replaces the first
+        res = ingest_source(spark, a.specs["transactions"], a.layout, batch_id=7)
+        if res.status != "SUCCESS":
+            raise RuntimeError(res.error)
+    return _with_load_no(a.table(spark, "transactions"), "transactions").select(
+        *L.TX_COLUMNS, "load_no", F.col("_batch_id").cast("int").alias("batch_no"))
+
+
 # --- K5 / K11 / K12 / K18 / S17: named tables ----------------------------------------------------------------
 
 def q_table_registry(spark, sf_dir):
@@ -486,6 +499,7 @@ QUERIES = {
     "write_mode_merge": q_write_mode_merge,
     "write_mode_overwrite": q_write_mode_overwrite,
     "write_mode_scd2": q_write_mode_scd2,
+    "load_mode_batch": q_load_mode_batch,
     "table_registry": q_table_registry,
     "scan_csv_roundtrip": q_scan_csv_roundtrip,
     "scan_txt_pipe": q_scan_txt_pipe,

@@ -26,6 +26,7 @@ _DECIMAL = re.compile(r"^\s*decimal\s*\(\s*(\d+)\s*,\s*(\d+)\s*\)\s*$", re.IGNOR
 FORMATS = ("csv", "txt", "json")
 EVOLUTION_MODES = ("merge", "rescue", "fail")
 WRITE_MODES = ("append", "overwrite", "merge", "scd2")
+LOAD_MODES = ("available_now", "streaming", "batch")
 
 
 class SpecError(ValueError):
@@ -73,6 +74,8 @@ class SourceSpec:
     infer_column_types: bool = False
     table_properties: dict[str, str] = field(default_factory=dict)
     max_files_per_trigger: int | None = None
+    load_mode: str = "available_now"
+    trigger_interval: str = "1 minute"
     active: bool = False
 
     @property

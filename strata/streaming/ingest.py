@@ -74,9 +74,12 @@ class IngestResult:
     error: str | None = None
     duration_sec: float = 0.0
     batches: list[int] = field(default_factory=list)
+    query: object | None = None   # the running StreamingQuery for load_mode=streaming
 
     def as_dict(self) -> dict:
-        return asdict(self)
+        d = asdict(self)
+        d.pop("query", None)
+        return d
 
 
 def add_audit_columns(df: DataFrame, spec: SourceSpec, ingestion_ts=None) -> DataFrame:
@@ -168,8 +171,15 @@ def _error_text(e: Exception) -> str:
 
 
 def ingest_source(spark: SparkSession, spec: SourceSpec, layout: Layout,
-                  max_files_per_trigger: int | None = None) -> IngestResult:
-    """O1: one source, end to end; errors are captured in the result, never raised."""
+                  max_files_per_trigger: int | None = None, batch_id: int | None = None) -> IngestResult:
+    """O1: one source, end to end; errors are captured in the result, never raised.
+
+    ``load_mode``: ``available_now`` (default) processes every file not yet in the
+    checkpoint and stops; ``streaming`` starts a processing-time query and returns
+    it running (``result.query``); ``batch`` reads every matching file as a static
+    frame and writes it through the same batch writer under ``batch_id``
+    (idempotent per id; no checkpoint, so use overwrite/merge modes for re-runs).
+    """
     target, ckpt, bad_path = layout.spec_paths(spec)
     result = IngestResult(spec.source_name, spec.file_format, target, spec.write_mode or "append",
                           spec.deduplication_mode or "none", spec.schema_evolution_mode or "merge",
@@ -178,21 +188,33 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, layout: Layout,
     writer = None
     try:
         build_schema(spec)
-        max_files = max_files_per_trigger or spec.max_files_per_trigger or DEFAULT_MAX_FILES_PER_TRIGGER
-        stream = read_source(spark, spec, streaming=True, max_files=max_files)
+        load_mode = (spec.load_mode or "available_now").lower()
+        if load_mode not in ("available_now", "streaming", "batch"):
+            raise SpecError(f"[{spec.source_name}] load_mode '{load_mode}' is not one of "
+                            "available_now | streaming | batch")
         dmode = (spec.deduplication_mode or "none").lower()
         if dmode not in ("none", "drop_duplicates", "latest_record"):
             raise SpecError(f"deduplication_mode '{dmode}' is not one of none|drop_duplicates|latest_record")
         if dmode != "none" and not spec.primary_key:
             raise SpecError(f"[{spec.source_name}] deduplication_mode='{dmode}' requires a primary_key")
-        if dmode == "drop_duplicates":
-            # streaming dedup keeps its key state in the checkpoint: global across runs
-            stream = drop_duplicates(stream, spec.primary_key)
         writer = BronzeBatchWriter(spec, target, bad_path)
-        query = (stream.writeStream.foreachBatch(writer)
-                 .option("checkpointLocation", ckpt)
-                 .trigger(availableNow=True).start())
-        query.awaitTermination()
+        if load_mode == "batch":
+            frame = read_source(spark, spec, streaming=False)
+            if dmode == "drop_duplicates":
+                frame = drop_duplicates(frame, spec.primary_key)
+            writer(frame, int(batch_id if batch_id is not None else time.time()))
+        else:
+            max_files = max_files_per_trigger or spec.max_files_per_trigger or DEFAULT_MAX_FILES_PER_TRIGGER
+            stream = read_source(spark, spec, streaming=True, max_files=max_files)
+            if dmode == "drop_duplicates":
+                # streaming dedup keeps its key state in the checkpoint: global across runs
+                stream = drop_duplicates(stream, spec.primary_key)
+            w = stream.writeStream.foreachBatch(writer).option("checkpointLocation", ckpt)
+            if load_mode == "streaming":
+                result.query = w.trigger(processingTime=spec.trigger_interval).start()
+                result.status = "RUNNING"
+                return result
+            w.trigger(availableNow=True).start().awaitTermination()
         result.records, result.records_failed, result.batches = writer.rows, writer.bad, writer.batches
         result.status = "SUCCESS"
     except Exception as e:  # noqa: BLE001 - per-source isolation (O2)

@@ -91,3 +91,13 @@ def test_count_bad_records(spark, sf_small, tmp_path):
     a.land(spark, sf_small, "users", 0)
     res = ingest_source(spark, spec, a.layout)
     assert count_bad_records(spark, a.layout.spec_paths(spec)[2]) == res.records_failed > 0
+
+
+def test_load_mode_streaming_runs_until_stopped(spark, sf_small):
+    a = Area(spark, "t-streaming", transactions={"load_mode": "streaming", "trigger_interval": "1 second"})
+    a.land(spark, sf_small, "transactions", 0)
+    res = ingest_source(spark, a.specs["transactions"], a.layout)
+    assert res.status == "RUNNING" and res.query.isActive
+    res.query.processAllAvailable()
+    res.query.stop()
+    assert a.table(spark, "transactions").count() == 1500
