@@ -53,19 +53,25 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``strata`` importable in Python workers (``SparkContext.addPyFile``), once per application.
 
-    The package is zipped on the driver and distributed by Spark like any
-    ``--py-files`` archive; nothing is assumed about the workers' paths.
+    The package is zipped on the driver, copied to the shared work root (under
+    ``spark.checkpoint.dir``) and shipped from there like any ``--py-files``
+    archive; nothing is assumed about the workers' paths.
     """
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
         return
     pkg = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="strata-pyfiles-")) / "strata.zip"
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
-        for f in pkg.rglob("*.py"):
+    staging = Path(tempfile.mkdtemp(prefix="strata-pyfiles-")) / "strata.zip"
+    with zipfile.ZipFile(staging, "w", zipfile.ZIP_DEFLATED) as zf:
+        for f in sorted(pkg.rglob("*.py")):
             zf.write(f, f.relative_to(pkg.parent))
-    sc.addPyFile(str(archive))
+    shared = f"{work_root(spark)}/_pyfiles/{app}/strata.zip"
+    jvm = spark._jvm
+    dst = jvm.org.apache.hadoop.fs.Path(shared)
+    dst.getFileSystem(sc._jsc.hadoopConfiguration()).copyFromLocalFile(
+        False, True, jvm.org.apache.hadoop.fs.Path(str(staging)), dst)
+    sc.addPyFile(shared)
     _SHIPPED.add(app)
 
 
