@@ -151,6 +151,9 @@ def with_quality_errors(df: DataFrame, rules: list[Rule]) -> DataFrame:
             .withColumn("is_valid", F.size("quality_errors") == 0))
 
 
+_VERDICT = ("_rejected", "rejection_reason", "rejected_field", "quality_errors")
+
+
 def with_verdict(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Flag, first reason, offending field and error array.
 
@@ -158,17 +161,19 @@ def with_verdict(df: DataFrame, rules: list[Rule]) -> DataFrame:
     outputs are derived from the flags (small plan, no repeated evaluation).
     """
     names = [f"_rule_{i}" for i in range(len(rules))]
+    original = [F.col(f"`{c}`") for c in df.columns if c not in _VERDICT]
     flagged = df.withColumns({n: r.fails() for n, r in zip(names, rules)})
     flags = [F.col(n) for n in names]
     rejected = F.lit(False)
     for f in flags:
         rejected = rejected | f
-    return flagged.withColumns({
-        "_rejected": rejected,
-        "rejection_reason": F.coalesce(*[F.when(f, r.message) for f, r in zip(flags, rules)]),
-        "rejected_field": F.coalesce(*[F.when(f, F.lit(r.field)) for f, r in zip(flags, rules)]),
-        "quality_errors": F.array_compact(F.array(*[F.when(f, r.message) for f, r in zip(flags, rules)])),
-    }).drop(*names)
+    return flagged.select(
+        *original,
+        rejected.alias("_rejected"),
+        F.coalesce(*[F.when(f, r.message) for f, r in zip(flags, rules)]).alias("rejection_reason"),
+        F.coalesce(*[F.when(f, F.lit(r.field)) for f, r in zip(flags, rules)]).alias("rejected_field"),
+        F.array_compact(F.array(*[F.when(f, r.message) for f, r in zip(flags, rules)])).alias("quality_errors"),
+    )
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -59,17 +59,22 @@ def sequence(df_has_hash: bool = True) -> Column:
 def prepare(bronze: DataFrame, entity: Entity) -> DataFrame:
     """Bronze -> cleaned rows with lineage: ``_record_hash``, ``_raw_record``, ``_seq``.
 
-    One projection; the raw payload and hash are taken before cleaning so
-    they describe what actually arrived.
+    One projection; the raw payload and hash are taken from the columns as they
+    arrived (before cleaning).  The hash appears in two outputs and is computed
+    once per row by subexpression elimination.
     """
-    extras = {
-        "_record_hash": record_hash(entity.columns),
-        "_raw_record": raw_json(entity.columns),
-    }
-    extras.update({f"_raw_{d}": F.col(d) for d in entity.raw_dates})
-    stamped = bronze.withColumns(extras)
-    cleaned = C.apply_cleaners(stamped, entity.cleaners())
-    return cleaned.withColumn("_seq", sequence())
+    cleaners = entity.cleaners()
+    digest = record_hash(entity.columns)
+    rest = [F.col(f"`{c}`") for c in bronze.columns if c not in cleaners]
+    return bronze.select(
+        *[expr.alias(name) for name, expr in cleaners.items()],
+        *rest,
+        digest.alias("_record_hash"),
+        raw_json(entity.columns).alias("_raw_record"),
+        *[F.col(d).alias(f"_raw_{d}") for d in entity.raw_dates],
+        F.struct(F.col("_ingestion_ts").alias("ts"), F.col("_source_file").alias("file"),
+                 digest.alias("hash")).alias("_seq"),
+    )
 
 
 def latest(prepared: DataFrame, entity: Entity) -> DataFrame:
