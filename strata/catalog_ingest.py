@@ -458,10 +458,13 @@ def q_table_registry(spark, sf_dir):
         a.land(spark, sf_dir, "transactions", d)
     ingest_source(spark, spec, a.layout)
     name = register_table(spark, "bronze", "transactions", a.layout.spec_paths(spec)[0],
-                          comment="raw transactions, all columns as text", properties=spec.table_properties)
+                          comment="raw transactions, all columns as text", properties=spec.table_properties,
+                          column_comments={"_source_file": "landing file the row was read from",
+                                           "_ingestion_ts": "time of the ingestion micro-batch"})
     props = table_properties(spark, name)
     listed = {r.table_name for r in list_tables(spark, "bronze").collect()}
-    commented = describe(spark, name).filter("col_name = 'Comment'").count() == 1
+    commented = (describe(spark, name).filter("col_name = 'Comment'").count() == 1 and
+                 describe(spark, name).filter("col_name = '_source_file' AND comment LIKE 'landing%'").count() == 1)
     if props.get("quality") != "bronze" or "transactions" not in listed or not commented:
         raise RuntimeError(f"table registration incomplete: {props}, {listed}")
     cols = ", ".join(L.TX_COLUMNS)

@@ -94,6 +94,12 @@ def add_audit_columns(df: DataFrame, spec: SourceSpec, ingestion_ts=None) -> Dat
     return df.withColumns(cols)
 
 
+def add_processed_columns(df: DataFrame, processed_at=None) -> DataFrame:
+    """Processing time and its date (one value per query, so every row of a run agrees)."""
+    ts = processed_at if processed_at is not None else F.current_timestamp()
+    return df.withColumns({"_processed_at": ts, "_load_date": ts.cast("date")})
+
+
 def _write_partitioned(df: DataFrame, path: str, fmt: str = "parquet", part: str = BATCH) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part).format(fmt).save(path))
