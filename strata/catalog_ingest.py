@@ -81,6 +81,17 @@ def q_corrupt_split_bad(spark, sf_dir):
     return bad.select("record", file_load_no(F.col("path"), "users").alias("load_no"), "reason")
 
 
+def q_corrupt_split_counts(spark, sf_dir):
+    """Good and malformed rows per landed drop, from one read of the files."""
+    a = Area(spark, "split-counts")
+    for d in (0, 1):
+        a.land(spark, sf_dir, "users", d)
+    df = read_source(spark, a.specs["users"]).cache()  # the corrupt column alone may not drive a raw scan
+    bad = F.col("_corrupt_record").isNotNull()
+    return _with_load_no(df, "users").groupBy("load_no").agg(
+        F.count_if(~bad).alias("good_rows"), F.count_if(bad).alias("bad_rows"))
+
+
 def q_scan_json_multiline(spark, sf_dir):
     a = Area(spark, "scan-json")
     for d in (0, 1, 2):
@@ -507,6 +518,7 @@ QUERIES = {
     "scan_csv_roundtrip": q_scan_csv_roundtrip,
     "scan_txt_pipe": q_scan_txt_pipe,
     "corrupt_split_bad": q_corrupt_split_bad,
+    "corrupt_split_counts": q_corrupt_split_counts,
     "scan_json_multiline": q_scan_json_multiline,
     "scan_glob_filter": q_scan_glob_filter,
     "schema_from_spec": q_schema_from_spec,

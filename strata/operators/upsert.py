@@ -32,7 +32,15 @@ from strata.operators.dedup import latest_by
 from strata.session import checkpoint_root
 
 BUCKET = "_bucket"
+# Buckets of a keyed table.  An upsert rewrites whole buckets, so size them to the
+# table (e.g. table bytes / 1 GB; thousands for multi-TB tables).  The session
+# setting ``strata.keyed.buckets`` overrides this default for callers that use it.
 DEFAULT_BUCKETS = 64
+BUCKETS_CONF = "strata.keyed.buckets"
+
+
+def default_buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get(BUCKETS_CONF, str(DEFAULT_BUCKETS)))
 SEQ = "_seq"
 OP = "_op"
 DELETE = "DELETE"

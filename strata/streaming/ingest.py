@@ -108,8 +108,9 @@ def _write_partitioned(df: DataFrame, path: str, fmt: str = "parquet", part: str
 class BronzeBatchWriter:
     """The ``foreachBatch`` function of one source."""
 
-    def __init__(self, spec: SourceSpec, target: str, bad_path: str, buckets: int = U.DEFAULT_BUCKETS):
-        self.spec, self.target, self.bad_path, self.buckets = spec, target, bad_path, buckets
+    def __init__(self, spec: SourceSpec, target: str, bad_path: str, buckets: int | None = None):
+        self.spec, self.target, self.bad_path = spec, target, bad_path
+        self.buckets = buckets or U.DEFAULT_BUCKETS
         self.rows = 0
         self.bad = 0
         self.batches: list[int] = []
@@ -203,7 +204,7 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, layout: Layout,
             raise SpecError(f"deduplication_mode '{dmode}' is not one of none|drop_duplicates|latest_record")
         if dmode != "none" and not spec.primary_key:
             raise SpecError(f"[{spec.source_name}] deduplication_mode='{dmode}' requires a primary_key")
-        writer = BronzeBatchWriter(spec, target, bad_path)
+        writer = BronzeBatchWriter(spec, target, bad_path, U.default_buckets(spark))
         if load_mode == "batch":
             frame = read_source(spark, spec, streaming=False)
             if dmode == "drop_duplicates":
