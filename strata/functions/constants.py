@@ -73,4 +73,18 @@ RISK_POINTS_DEFAULT = 25
 RISK_POINTS_REJECTED = 25
 RISK_POINTS_REVERSE = 15
 RISK_SCORE_CAP = 100
+# Rejection message templates of the silver transaction rules ({...} are filled in).
+MSG_NULL = "{field}: nulo crítico"
+MSG_FORMAT = "{field}: formato inválido (esperado {shape})"
+MSG_VALUE = "{field}: valor inválido '{value}' (esperado: {expected})"
+MSG_NOT_POSITIVE = "amount: valor no positivo ({value})"
+MSG_TX_DATE = "transaction_date: nulo o formato no reconocido (esperado yyyy-MM-dd o dd/MM/yyyy)"
+MSG_REVERSAL_REFERENCE = "reference_id: nulo crítico cuando transaction_type=reversa"
+TX_ID_SHAPE = "TXN-YYYYMMDD-NNNNN"
+USER_ID_SHAPE = "USR-NNNNNN"
+MERCHANT_ID_SHAPE = "MCH-NNNNN"
 # --- end of fixed values ----------------------------------------------------
+
+# Messages of the merchant / user rules (our own additions, not reference values).
+MSG_BAD_DATE = "{field}: formato de fecha no reconocido"
+MSG_BAD_EMAIL = "email: formato inválido"

@@ -36,12 +36,17 @@ def _expected(values: list[str]) -> str:
 
 
 def not_null(field: str) -> Rule:
-    return Rule(field, F.col(field).isNull(), F.lit(f"{field}: nulo crítico"))
+    return Rule(field, F.col(field).isNull(), F.lit(K.MSG_NULL.format(field=field)))
 
 
 def matches(field: str, pattern: str, shape: str) -> Rule:
-    return Rule(field, ~F.col(field).rlike(pattern),
-                F.lit(f"{field}: formato inválido (esperado {shape})"))
+    return Rule(field, ~F.col(field).rlike(pattern), F.lit(K.MSG_FORMAT.format(field=field, shape=shape)))
+
+
+def _template(text: str, value: Column) -> Column:
+    """A message template with one ``{value}`` slot filled from a column."""
+    head, tail = text.split("{value}")
+    return F.concat(F.lit(head), value, F.lit(tail))
 
 
 def member_of(field: str, values: list[str], nullable: bool = False) -> Rule:
@@ -49,9 +54,8 @@ def member_of(field: str, values: list[str], nullable: bool = False) -> Rule:
     broken = ~c.isin(*values)
     if nullable:
         broken = c.isNotNull() & broken
-    return Rule(field, broken, F.concat(
-        F.lit(f"{field}: valor inválido '"), F.coalesce(c.cast("string"), F.lit("NULL")),
-        F.lit(f"' (esperado: {_expected(values)})")))
+    text = K.MSG_VALUE.format(field=field, value="{value}", expected=_expected(values))
+    return Rule(field, broken, _template(text, F.coalesce(c.cast("string"), F.lit("NULL"))))
 
 
 # --- rule sets ------------------------------------------------------------------------------
@@ -65,31 +69,28 @@ def transaction_rules() -> list[Rule]:
     reverse_without_ref = (F.col("transaction_type") == "reversa") & F.col("reference_id").isNull()
     return [
         not_null("transaction_id"),
-        matches("transaction_id", K.TX_ID_PATTERN, "TXN-YYYYMMDD-NNNNN"),
+        matches("transaction_id", K.TX_ID_PATTERN, K.TX_ID_SHAPE),
         not_null("user_id"),
-        matches("user_id", K.USER_ID_PATTERN, "USR-NNNNNN"),
+        matches("user_id", K.USER_ID_PATTERN, K.USER_ID_SHAPE),
         not_null("merchant_id"),
-        matches("merchant_id", K.MERCHANT_ID_PATTERN, "MCH-NNNNN"),
+        matches("merchant_id", K.MERCHANT_ID_PATTERN, K.MERCHANT_ID_SHAPE),
         not_null("channel"),
         member_of("channel", K.TX_RULE_CHANNELS),
         not_null("transaction_type"),
         member_of("transaction_type", K.TX_RULE_TYPES),
         not_null("amount"),
-        Rule("amount", amount <= 0, F.concat(
-            F.lit("amount: valor no positivo ("), amount.cast("string"), F.lit(")"))),
-        Rule("transaction_date", F.col("transaction_date").isNull(), F.lit(
-            "transaction_date: nulo o formato no reconocido (esperado yyyy-MM-dd o dd/MM/yyyy)")),
+        Rule("amount", amount <= 0, _template(K.MSG_NOT_POSITIVE, amount.cast("string"))),
+        Rule("transaction_date", F.col("transaction_date").isNull(), F.lit(K.MSG_TX_DATE)),
         not_null("status"),
         member_of("status", K.TX_RULE_STATUS),
-        Rule("reference_id", F.coalesce(reverse_without_ref, F.lit(False)),
-             F.lit("reference_id: nulo crítico cuando transaction_type=reversa")),
+        Rule("reference_id", F.coalesce(reverse_without_ref, F.lit(False)), F.lit(K.MSG_REVERSAL_REFERENCE)),
     ]
 
 
 def _unparsed_date(field: str, raw_field: str) -> Rule:
     """The raw text held a value but no layout parsed it."""
     return Rule(field, clean_string(raw_field).isNotNull() & F.col(field).isNull(),
-                F.lit(f"{field}: formato de fecha no reconocido"))
+                F.lit(K.MSG_BAD_DATE.format(field=field)))
 
 
 EMAIL_PATTERN = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
@@ -99,7 +100,7 @@ def merchant_rules() -> list[Rule]:
     """Merchants: key present and well formed; catalogue values when present; dates parse."""
     return [
         not_null("merchant_id"),
-        matches("merchant_id", K.MERCHANT_ID_PATTERN, "MCH-NNNNN"),
+        matches("merchant_id", K.MERCHANT_ID_PATTERN, K.MERCHANT_ID_SHAPE),
         member_of("category", K.VALID_MERCHANT_CATEGORIES, nullable=True),
         member_of("country", K.VALID_COUNTRIES, nullable=True),
         _unparsed_date("affiliation_date", "_raw_affiliation_date"),
@@ -112,9 +113,9 @@ def user_rules() -> list[Rule]:
     """Users: key present and well formed; e-mail shape; catalogue values; dates parse."""
     return [
         not_null("user_id"),
-        matches("user_id", K.USER_ID_PATTERN, "USR-NNNNNN"),
+        matches("user_id", K.USER_ID_PATTERN, K.USER_ID_SHAPE),
         Rule("email", F.col("email").isNotNull() & ~F.col("email").rlike(EMAIL_PATTERN),
-             F.lit("email: formato inválido")),
+             F.lit(K.MSG_BAD_EMAIL)),
         member_of("country", K.VALID_COUNTRIES, nullable=True),
         member_of("segment", K.VALID_USER_SEGMENTS, nullable=True),
         _unparsed_date("registration_date", "_raw_registration_date"),
