@@ -16,8 +16,7 @@ from strata.functions import constants as K
 
 ColumnLike = str | Column
 
-ISO_DATE = "yyyy-MM-dd"
-LATIN_DATE = "dd/MM/yyyy"
+ISO_DATE, LATIN_DATE = K.DATE_LAYOUTS_TX
 # Text shape each layout needs (zero-padded); checked before parsing so that
 # rows that cannot match never reach the (exception-driven) parser.
 DATE_SHAPES = {
@@ -25,8 +24,8 @@ DATE_SHAPES = {
     "yyyy/MM/dd": r"^\d{4}/\d{2}/\d{2}$", "dd-MM-yyyy": r"^\d{2}-\d{2}-\d{4}$",
 }
 # Order matters: the first format that parses wins.
-TX_DATE_FORMATS = (ISO_DATE, LATIN_DATE)
-MULTI_DATE_FORMATS = (ISO_DATE, LATIN_DATE, "yyyy/MM/dd", "dd-MM-yyyy")
+TX_DATE_FORMATS = tuple(K.DATE_LAYOUTS_TX)
+MULTI_DATE_FORMATS = tuple(K.DATE_LAYOUTS_MULTI)
 
 
 def _col(c: ColumnLike) -> Column:
@@ -90,7 +89,7 @@ def normalize_amount(c: ColumnLike) -> Column:
     the right-most dot as the decimal point (so both ``1,234.56`` and
     ``1.234,56`` give 1234.56).  Signs and currency symbols are dropped.
     """
-    kept = F.regexp_replace(F.trim(_col(c)), r"[^0-9.,]", "")
+    kept = F.regexp_replace(F.trim(_col(c)), K.AMOUNT_DROP_CHARS, "")
     dotted = F.translate(kept, ",", ".")
     one_point = F.regexp_replace(dotted, r"\.(?=[^.]*\.)", "")
     value = one_point.try_cast("double")
@@ -103,9 +102,9 @@ def parse_amount(c: ColumnLike) -> Column:
     ``1,234.56`` -> 1234.56, ``12,5`` -> 12.50, ``-50`` -> -50.00;
     ambiguous shapes such as ``1.234,56`` do not parse (NULL).
     """
-    kept = F.regexp_replace(clean_string(c), r"[^0-9,.\-]", "")
-    thousands = kept.rlike(r"^\d{1,3}(,\d{3})+(\.\d+)?$")
-    decimal_comma = kept.rlike(r"^\d+,\d{1,2}$")
+    kept = F.regexp_replace(clean_string(c), K.SIGNED_AMOUNT_DROP_CHARS, "")
+    thousands = kept.rlike(K.THOUSANDS_SHAPE)
+    decimal_comma = kept.rlike(K.DECIMAL_COMMA_SHAPE)
     canonical = (
         F.when(thousands, F.regexp_replace(kept, ",", ""))
         .when(decimal_comma, F.translate(kept, ",", "."))

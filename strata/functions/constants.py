@@ -83,6 +83,18 @@ MSG_REVERSAL_REFERENCE = "reference_id: nulo crítico cuando transaction_type=re
 TX_ID_SHAPE = "TXN-YYYYMMDD-NNNNN"
 USER_ID_SHAPE = "USR-NNNNNN"
 MERCHANT_ID_SHAPE = "MCH-NNNNN"
+# Date layouts: transactions accept the first two, merchants / users all four.
+DATE_LAYOUTS_TX = ["yyyy-MM-dd", "dd/MM/yyyy"]
+DATE_LAYOUTS_MULTI = ["yyyy-MM-dd", "dd/MM/yyyy", "yyyy/MM/dd", "dd-MM-yyyy"]
+# Reader options of the landing sources.
+READ_DATE_FORMAT = "yyyy-MM-dd"
+READ_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+DEFAULT_DELIMITERS = {"csv": ",", "txt": "|"}
+# Amount text: characters removed, and the two accepted signed shapes.
+AMOUNT_DROP_CHARS = r"[^0-9.,]"
+SIGNED_AMOUNT_DROP_CHARS = r"[^0-9,.\-]"
+THOUSANDS_SHAPE = r"^\d{1,3}(,\d{3})+(\.\d+)?$"
+DECIMAL_COMMA_SHAPE = r"^\d+,\d{1,2}$"
 # --- end of fixed values ----------------------------------------------------
 
 # Messages of the merchant / user rules (our own additions, not reference values).

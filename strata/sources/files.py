@@ -18,13 +18,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions import constants as K
 from strata.sources.spec import SourceSpec, SpecError, build_schema
 
 CORRUPT = "_corrupt_record"
 EXTRA = "_extra_fields"
-DATE_FORMAT = "yyyy-MM-dd"
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
-DEFAULT_DELIMITER = {"csv": ",", "txt": "|"}
+DATE_FORMAT = K.READ_DATE_FORMAT
+TIMESTAMP_FORMAT = K.READ_TIMESTAMP_FORMAT
+DEFAULT_DELIMITER = K.DEFAULT_DELIMITERS
 
 
 def _reader(spark: SparkSession, streaming: bool, spec: SourceSpec, max_files: int | None):
