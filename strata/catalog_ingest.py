@@ -305,9 +305,13 @@ def q_enrich_stream_static(spark, sf_dir):
     mer = current(spark, sf_dir, S.MERCHANTS).cache()
     usr = current(spark, sf_dir, S.USERS).cache()
     stream = spark.readStream.schema(valid.schema).option("recursiveFileLookup", "true").parquet(silver_dir)
-    q = (stream.writeStream.foreachBatch(EnrichWriter(mer, usr, f"{root}/gold"))
-         .option("checkpointLocation", f"{root}/_ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
+    try:
+        q = (stream.writeStream.foreachBatch(EnrichWriter(mer, usr, f"{root}/gold"))
+             .option("checkpointLocation", f"{root}/_ckpt").trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        mer.unpersist()
+        usr.unpersist()
     return read_table(spark, f"{root}/gold").drop("_batch_id", *G.RUN_DEPENDENT)
 
 
