@@ -487,6 +487,20 @@ def q_table_registry(spark, sf_dir):
                      f"AS load_no FROM {name}")
 
 
+def q_quarantine_stream_fanin(spark, sf_dir):
+    """merchants' and users' rejected rows fanned into one quarantine stream."""
+    from strata.plans.jobs import quarantine_stream, run_bronze
+    a = Area(spark, "qfeed")
+    for src, drops in (("merchants", (0, 1, 2)), ("users", (0, 1))):
+        for d in drops:
+            a.land(spark, sf_dir, src, d)
+    run_bronze(spark, [a.specs["merchants"], a.specs["users"]], a.layout)
+    quarantine_stream(spark, a.layout)
+    quarantine_stream(spark, a.layout)  # nothing new: writes nothing
+    return read_table(spark, a.layout.table("silver", "quarantine_feed")).select(
+        "source_name", "target_table", "rejection_reason", "rejected_field", "raw_record")
+
+
 # --- all layers, end to end ----------------------------------------------------------------------------------
 
 E2E_DROPPED = ("_source_file", "_ingested_at", "_processed_at", "_load_date")
@@ -519,6 +533,7 @@ QUERIES = {
     "write_mode_scd2": q_write_mode_scd2,
     "load_mode_batch": q_load_mode_batch,
     "table_registry": q_table_registry,
+    "quarantine_stream_fanin": q_quarantine_stream_fanin,
     "scan_csv_roundtrip": q_scan_csv_roundtrip,
     "scan_txt_pipe": q_scan_txt_pipe,
     "corrupt_split_bad": q_corrupt_split_bad,
