@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import langid, licenses, quality_rank, quality_rules, toxicity
+from strata.llm import langid, licenses, mixing, quality_rank, quality_rules, toxicity
 from strata.llm.common import crc_mod, read
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality_rules.ledger(read(spark, sf_dir, "documents"))
     base = quality_rules.verdict("base")
@@ -44,6 +48,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_source_mixing": op2_source_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
     "op6_language_id": op6_language_id,
@@ -51,4 +56,6 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_source_mixing": mixing.oracle(),
+}
