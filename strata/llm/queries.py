@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import langid, licenses, mixing, quality_rank, quality_rules, toxicity
+from strata.llm import langid, licenses, mixing, near_dup, quality_rank, quality_rules, site_style, toxicity
 from strata.llm.common import crc_mod, read
 
 
@@ -35,6 +35,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _held_out(found, 3, 1), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op8_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     scored = quality_rank.score(docs, quality_rank.fit(docs, read(spark, sf_dir, "labels")))
@@ -47,13 +51,19 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held_out(scored, 5, 0), "score", "predicted", "n_restored")
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.main_text(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op2_source_mixing": op2_source_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
     "op6_language_id": op6_language_id,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_quality_rank": op8_quality_rank,
     "op9_toxicity": op9_toxicity,
+    "op10_main_text": op10_main_text,
 }
 
 ORACLES: dict[str, str] = {
