@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import langid, licenses, mixing, near_dup, quality_rank, quality_rules, site_style, toxicity
+from strata.llm import decontaminate, langid, licenses, mixing, near_dup, quality_rank, quality_rules, site_style, toxicity
 from strata.llm.common import crc_mod, read
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_source_mixing": op2_source_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
@@ -67,5 +73,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_decontaminate": decontaminate.oracle(),
     "op2_source_mixing": mixing.oracle(),
 }
