@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, langid, licenses, mixing, near_dup, quality_rank, quality_rules, site_style, toxicity
+from strata.llm import decontaminate, langid, licenses, line_templates, mixing, near_dup, quality_rank, quality_rules, site_style, toxicity
 from strata.llm.common import crc_mod, read
 
 
@@ -34,6 +34,10 @@ def _held_out(docs: DataFrame, mod: int, fold: int):
     return F.coalesce(crc_mod("doc_id", mod) == fold, F.lit(False)).alias("held_out")
 
 
+def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.dedup(read(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = langid.predict(docs, langid.fit(docs, langid.training_rows()))
@@ -65,6 +69,7 @@ QUERIES = {
     "op2_source_mixing": op2_source_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
+    "op5_line_templates": op5_line_templates,
     "op6_language_id": op6_language_id,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_quality_rank": op8_quality_rank,
@@ -75,4 +80,5 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op1_decontaminate": decontaminate.oracle(),
     "op2_source_mixing": mixing.oracle(),
+    "op5_line_templates": line_templates.oracle(),
 }
