@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bounded_broadcast, cut, per_batch, raw, small_batches
+from strata.llm.common import bounded_broadcast, cut, fresh, per_batch, raw, small_batches
 
 WIDTH = 5
 BANDS, ROWS = 25, 5
@@ -228,8 +228,9 @@ def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bands: in
           ) -> tuple[DataFrame, DataFrame]:
     """(documents with their class name, (node, root) of the classes that are linked)."""
     small_batches(docs.sparkSession)
-    sig = cut(docs.select("doc_id", raw("text").alias("raw")).select("doc_id", _signature(width, bands, rows).alias("s"))
-              .select("doc_id", "s.*"), "near-dup-signatures")
+    sig = cut(docs.select("doc_id", F.xxhash64("text").alias("text_key"), raw("text").alias("raw"))
+              .select("doc_id", "text_key", _signature(width, bands, rows).alias("s"))
+              .select("doc_id", "text_key", "s.*"), "near-dup-signatures")
     known = sig.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     repeated = bool(known.groupBy("doc_id").count().where("count > 1").limit(1).count())
     classes = cut(known.groupBy("cls").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"),
@@ -264,14 +265,37 @@ def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bands: in
         more = cut(verified(crossed, docs, width, percent, "near-dup-crossed", repeated), "near-dup-links")
         if more.limit(1).count():
             groups = components(groups.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
-    named = sig.join(classes.select("cls", "node"), "cls", "left").select("doc_id", "n_shingles", "node")
+    named = sig.join(classes.select("cls", "node"), "cls", "left").select("doc_id", "text_key", "n_shingles", "node")
     return named, groups
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``."""
+    """One row per document: ``doc_id, text_key`` (hash of the text), ``n_shingles, component_id, kept``."""
     named, groups = links(docs, **options)
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
     out = named.join(groups, "node", "left").withColumn(
         "component_id", F.when(alone, F.col("doc_id")).otherwise(F.coalesce("root", "node")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "text_key", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def keep_first(docs: DataFrame, **options) -> DataFrame:
+    """The input's rows and columns with one document of each group: the smallest id, and of the rows that
+    repeat that id inside the group one.
+
+    What goes is found as (id, hash of the text), so texts are only joined against narrow tables.
+    """
+    verdict = cut(near_duplicates(docs, **options), "near-dup-verdict")
+    named = verdict.where(F.col("component_id").isNotNull() & (F.col("n_shingles") > 0))
+    rows = (named.where("kept").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies")))
+    firsts = rows.groupBy("doc_id").agg(F.min("text_key").alias("first"), F.max("text_key").alias("last"))
+    others = (rows.join(firsts.where("first <> last"), "doc_id").where("text_key <> first").select("doc_id", "text_key"))
+    gone = cut(named.where(~F.col("kept")).select("doc_id", "text_key").union(others).distinct(), "near-dup-gone")
+    i, k = fresh(docs, "_gone_id"), fresh(docs, "_gone_key")
+    same = (F.col("doc_id") == F.col(i)) & (F.xxhash64("text") == F.col(k))
+    rest = docs.join(bounded_broadcast(gone.toDF(i, k), gone.count(), _ID_ROWS), same, "left_anti")
+    twice = cut(rows.where("copies > 1").select("doc_id", "text_key"), "near-dup-twice")
+    n = twice.count()
+    if not n:
+        return rest
+    small = bounded_broadcast(twice.toDF(i, k), n, _ID_ROWS)
+    return rest.join(small, same, "left_anti").unionByName(rest.join(small, same, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -45,7 +45,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(read(spark, sf_dir, "documents"))
+    return near_dup.near_duplicates(read(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op8_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
