@@ -279,21 +279,19 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """The input's rows and columns with one document of each group: the smallest id, and of the rows that
-    repeat that id inside the group one.
+    """The input's rows and columns with one document of each group: the smallest id, and one of the rows
+    that repeat that id and text.  Rows that share an id but not a text are not told to be copies by that alone.
 
     What goes is found as (id, hash of the text), so texts are only joined against narrow tables.
     """
     verdict = cut(near_duplicates(docs, **options), "near-dup-verdict")
     named = verdict.where(F.col("component_id").isNotNull() & (F.col("n_shingles") > 0))
-    rows = (named.where("kept").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies")))
-    firsts = rows.groupBy("doc_id").agg(F.min("text_key").alias("first"), F.max("text_key").alias("last"))
-    others = (rows.join(firsts.where("first <> last"), "doc_id").where("text_key <> first").select("doc_id", "text_key"))
-    gone = cut(named.where(~F.col("kept")).select("doc_id", "text_key").union(others).distinct(), "near-dup-gone")
+    gone = cut(named.where(~F.col("kept")).select("doc_id", "text_key").distinct(), "near-dup-gone")
     i, k = fresh(docs, "_gone_id"), fresh(docs, "_gone_key")
     same = (F.col("doc_id") == F.col(i)) & (F.xxhash64("text") == F.col(k))
     rest = docs.join(bounded_broadcast(gone.toDF(i, k), gone.count(), _ID_ROWS), same, "left_anti")
-    twice = cut(rows.where("copies > 1").select("doc_id", "text_key"), "near-dup-twice")
+    twice = named.where("kept").groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key")
+    twice = cut(twice, "near-dup-twice")
     n = twice.count()
     if not n:
         return rest
