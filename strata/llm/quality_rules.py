@@ -155,3 +155,31 @@ def ablations(book: DataFrame, policies: list[str] | None = None) -> DataFrame:
                               (F.col("seen_bits").bitwiseAND(F.lit(BIT[r]).cast("long")) != 0).alias("ever_failed"))
                      for i, (p, r) in enumerate(names)])
     return wide.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def oracle() -> str:
+    """DuckDB restatement of the measurements, rules and the production verdict over documents."""
+    bits = " + ".join(f"CASE WHEN {r.failed} THEN {1 << i} ELSE 0 END" for i, r in enumerate(RULES))
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+win AS (SELECT r, i, array_to_string(words[i:i + {WINDOW - 1}], ' ') AS w
+        FROM (SELECT r, words, unnest(range(1, len(words) - {WINDOW - 2})) AS i FROM w WHERE len(words) >= {WINDOW})),
+twice AS (SELECT r, w FROM win GROUP BY r, w HAVING count(*) > 1),
+hit AS (SELECT r, count(DISTINCT p) AS n FROM (
+          SELECT r, unnest(range(i, i + {WINDOW})) AS p FROM win JOIN twice USING (r, w)) GROUP BY r),
+m AS (
+  SELECT doc_id, len(words) AS n_words, len(array_to_string(words, '')) AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(hit.n, 0) AS n_repeat_words,
+         len(regexp_extract_all(text, '[A-Z]')) AS n_upper, len(regexp_extract_all(text, '[a-z]')) AS n_lower,
+         strlen(text) - len(regexp_replace(text, '[^\x00-\x7F]', '', 'g')) AS n_high, len(list_distinct(words)) AS n_unique_words
+  FROM w LEFT JOIN hit USING (r)),
+b AS (SELECT *, ({bits})::BIGINT AS failure_bits FROM m)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, failure_bits,
+       (failure_bits & {mask("base") | mask(PRODUCTION)}) = 0 AS kept
+FROM b
+"""

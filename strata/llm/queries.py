@@ -80,5 +80,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op1_decontaminate": decontaminate.oracle(),
     "op2_source_mixing": mixing.oracle(),
+    "op3_quality_rules": quality_rules.oracle(),
     "op5_line_templates": line_templates.oracle(),
 }
