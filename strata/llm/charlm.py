@@ -14,13 +14,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import cut
+
 START, END = "\x02", "\x03"
 LETTERS = re.compile(r"[^\W\d_]+")
 
-#: Flush a task's running sums when they hold this many distinct n-grams.
+#: A task's running word counts are spelled out into n-grams when they hold this many distinct words.
 _FLUSH = 400_000
 
 
@@ -33,41 +35,55 @@ def grams_of(word: str, order: int) -> list[str]:
     return [s[i:i + order] for i in range(len(word) + 1)]
 
 
+def _expand(words: dict[str, Counter], order: int) -> Iterator[pa.RecordBatch]:
+    """n-grams of counted words."""
+    for model, counts in words.items():
+        sums: dict[str, int] = defaultdict(int)
+        for w, n in counts.items():
+            s = START * (order - 1) + w + END
+            for i in range(len(w) + 1):
+                sums[s[i:i + order]] += n
+        yield pa.RecordBatch.from_arrays([pa.array([model] * len(sums), pa.string()), pa.array(list(sums), pa.string()),
+                                          pa.array(list(sums.values()), pa.int64())], names=["model", "gram", "n"])
+
+
 def count_grams(texts: DataFrame, order: int) -> DataFrame:
     """(model, gram, n): n-grams of ``order`` characters inside words, from columns ``model`` and ``raw``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: Counter = Counter()
-
-        def rows():
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.string()),
-                 pa.array(list(sums.values()), pa.int64())], names=["model", "gram", "n"])
-
+        words: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
-            words: dict[str, Counter] = defaultdict(Counter)
             for model, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words[model].update(words_of(text))
-            for model, counts in words.items():
-                for w, n in counts.items():
-                    for g in grams_of(w, order):
-                        sums[model, g] += n
-            if len(sums) > _FLUSH:
-                yield rows()
-                sums.clear()
-        if sums:
-            yield rows()
+            if sum(map(len, words.values())) > _FLUSH:
+                yield from _expand(words, order)
+                words.clear()
+        yield from _expand(words, order)
 
     partial = texts.select("model", "raw").mapInArrow(count, "model string, gram string, n bigint")
-    return partial.groupBy("model", "gram").agg(F.sum("n").alias("n"))
+    return cut(partial.groupBy("model", "gram").agg(F.sum("n").alias("n")), "char-grams")
 
 
 def collect_grams(counts: DataFrame, max_grams: int) -> dict[str, list[tuple[str, int]]]:
-    """The ``max_grams`` most frequent n-grams of each model (ties by n-gram), for the driver."""
-    w = Window.partitionBy("model").orderBy(F.desc("n"), "gram")
-    top = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_grams)
+    """The most frequent n-grams of each model, at most ``max_grams`` (whole classes of about equal counts), for the driver."""
+    size = F.floor(F.log2("n") * 8).cast("int")
+    classes: dict[str, list[tuple[int, int]]] = defaultdict(list)
+    for r in counts.groupBy("model", size.alias("size")).count().collect():  # at most 8 * 64 rows a model
+        classes[r[0]].append((r[1], r[2]))
+    least = {}
+    for model, sizes in classes.items():
+        total, least[model] = 0, None
+        for s, c in sorted(sizes, reverse=True):
+            total += c
+            if total > max_grams:
+                break
+            least[model] = s
+    keep = F.lit(False)
+    for model, s in least.items():
+        if s is not None:
+            keep = keep | ((F.col("model") == model) & (size >= s))
     out: dict[str, list[tuple[str, int]]] = defaultdict(list)
-    for r in top.select("model", "gram", "n").collect():
+    for r in counts.where(keep).select("model", "gram", "n").collect():
         out[r[0]].append((r[1], r[2]))
     return {m: sorted(v) for m, v in sorted(out.items())}
 

@@ -34,7 +34,7 @@ from strata.llm import charlm
 from strata.llm.common import crc_mod, per_batch, raw, small_batches
 from strata.llm.quality_rank import labelled_sample, newton
 
-ORDER = 5
+ORDER = 4
 MAX_GRAMS = 400_000
 LABEL_ROWS = 20_000
 LEXICON = 4_000
@@ -65,7 +65,8 @@ _MIXED = re.compile(rf"[^\W\d_][{re.escape(_LEET)}_.-]+[^\W\d_]|(?<!\S)[0-9@$!|+
 _MARK = re.compile(f"(?:{_MIXED.pattern})|(?:{_RUN.pattern})")
 _BLANK = re.compile(r"\s")
 _TAIL = re.compile(r"[!?.,;:*#%&$|<>+(-]+$")
-_KIND = np.array([1 if chr(c).isalpha() else 2 if chr(c) in _LEET else 3 if chr(c) in "._-" else 4 for c in range(255)] + [1], dtype=np.uint8)
+_KIND = np.array([1 if c >= 128 or chr(c).isalpha() else 2 if chr(c) in _LEET else 3 if chr(c) in "._-" else 4 for c in range(256)],
+                 dtype=np.uint8)
 
 
 class Decoder:
@@ -125,10 +126,13 @@ class Decoder:
         return best[1].strip()
 
 
-def restore(text: str, decoder: Decoder) -> tuple[str, int]:
+def restore(raw_text: bytes, decoder: Decoder) -> tuple[str, int]:
     """(text in lower case with suspicious tokens decoded, how many were changed)."""
-    text = text.lower()
+    suspects = suspicious(raw_text)
+    text = raw_text.decode("utf-8", "replace").lower()
     changed = 0
+    if not suspects:
+        return text, 0
 
     def spaced(m: re.Match) -> str:
         nonlocal changed
@@ -152,7 +156,6 @@ def restore(text: str, decoder: Decoder) -> tuple[str, int]:
         changed += 1
         return m.group().replace(whole, out)
 
-    suspects = suspicious(text)
     if suspects & 1:
         text = _SPACED.sub(spaced, text)
     if suspects & 2:
@@ -171,26 +174,30 @@ def restore(text: str, decoder: Decoder) -> tuple[str, int]:
     return text, changed
 
 
-def suspicious(text: str) -> int:
-    """Which passes a lower-case text needs (1: spaced letters, 2: mixed tokens or runs); cheap tests come first."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    if len(codes) < 3:
+def suspicious(text: bytes) -> int:
+    """Which passes a text needs (1: spaced letters, 2: mixed tokens or runs), from its bytes alone.
+
+    May call for a pass in vain, but never misses one for ASCII letters; of other letters it sees mixed
+    tokens and runs.
+    """
+    b = np.frombuffer(text.lower(), dtype=np.uint8)
+    if len(b) < 3:
         return 0
-    small = np.minimum(codes, 255).astype(np.uint8)
-    kind = _KIND[small]  # 1 letter, 2 leet, 3 joiner, 4 anything else
+    kind = _KIND[b]  # 1 letter, 2 leet, 3 joiner, 4 anything else
+    letter = kind == 1
     out = 0
-    # a run of three equal letters, or a leet character beside a letter
-    if bool(((codes[2:] == codes[1:-1]) & (codes[1:-1] == codes[:-2]) & (kind[2:] == 1)).any()):
-        out = 2 if _RUN.search(text) else 0
-    if not out:
-        letter, leet, inner = kind == 1, kind == 2, (kind == 2) | (kind == 3)
+    run = (b[2:] == b[1:-1]) & (b[1:-1] == b[:-2]) & letter[2:]
+    if bool(run.any()):
+        out = 2
+    elif len(b) >= 6 and bool(((b[4:] == b[2:-2]) & (b[2:-2] == b[:-4]) & (b[4:] >= 0xC3)).any()):
+        out = 2
+    else:
+        leet, inner = kind == 2, (kind == 2) | (kind == 3)
         if (bool((leet[1:] & letter[:-1]).any()) or bool((leet[:-1] & letter[1:]).any())
                 or bool((inner[1:-1] & letter[:-2] & letter[2:]).any())):
-            out = 2 if _MIXED.search(text) else 0
-    # three letters, each alone between separators
-    alone = (kind[1:-1] == 1) & (kind[:-2] != 1) & (kind[2:] != 1)
-    at = np.nonzero(alone)[0]
-    if len(at) >= 2 and bool((at[1:] - at[:-1] <= 3).any()) and _SPACED.search(text):
+            out = 2
+    at = np.nonzero(letter[1:-1] & ~letter[:-2] & ~letter[2:])[0]
+    if len(at) >= 2 and bool((at[1:] - at[:-1] <= 3).any()):
         out |= 1
     return out
 
@@ -217,30 +224,30 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.decoder = Decoder(model.lm)
-        self.cache: dict[str, float] = {}
+        self.known: dict[str, float] = {}
+        self.plain: set[str] = set()
 
     def weight(self, word: str) -> float:
-        w = self.cache.get(word)
+        """Log odds of a word: those of its longest known stem."""
+        w = self.known.get(word)
         if w is None:
-            if len(self.cache) > 300_000:
-                self.cache.clear()
             get = self.model.lexicon.get
-            # the longest known stem speaks for the word
             w = get(word + " ")
             for k in _LONGEST_FIRST:
                 if w is None and len(word) > k:
                     w = get(word[:k])
             w = w or 0.0
-            self.cache[word] = w
+            known = self.known if w > 1.0 else self.plain
+            if len(known) > 300_000:
+                known.clear()
+            known.add(word) if known is self.plain else known.update({word: w})
         return w
 
     def features(self, text: bytes) -> tuple[list[float], int]:
-        restored, changed = restore(text.decode("utf-8", "replace"), self.decoder)
+        restored, changed = restore(text, self.decoder)
         words = charlm.LETTERS.findall(restored)
-        weights = list(map(self.cache.get, words))
-        if None in weights:
-            weights = [self.weight(w) if v is None else v for w, v in zip(words, weights)]
-        hits = [(w, v) for w, v in zip(words, weights) if v > 1.0]
+        plain = self.plain
+        hits = [(w, v) for w in words if w not in plain and (v := self.weight(w)) > 1.0]
         strong = [w for w, v in hits if v > 3.0]
         n = max(len(words), 1)
         return [1.0, float(np.log1p(len(strong))), float(np.log1p(len(hits))), min(1.0, 20 * len(strong) / n),
@@ -254,7 +261,7 @@ def restored_stems(sample: DataFrame, lm: charlm.KneserNey) -> DataFrame:
         decoder, sums = Decoder(lm), (Counter(), Counter())
         for batch in batches:
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = set(charlm.LETTERS.findall(restore(text.decode("utf-8", "replace"), decoder)[0]))
+                words = set(charlm.LETTERS.findall(restore(text, decoder)[0]))
                 sums[1 if y == 1 else 0].update({s for w in words for s in stems(w)})
         keys = list(sums[0].keys() | sums[1].keys())
         yield pa.RecordBatch.from_arrays(
