@@ -68,14 +68,18 @@ def tokens_of_types(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(rf"[{NUM}{NAME}{UNIT}]|[\p{{L}}\p{{M}}\p{{N}}]+"), F.lit(0))
 
 
-def windows(template: Column, width: int = WINDOW) -> Column:
-    """Hashes of all windows of ``width`` tokens, in order."""
-    h = F.transform(template, lambda t: F.xxhash64(t))
+def windows(df: DataFrame, template: str, out: str, width: int = WINDOW) -> DataFrame:
+    """Add the hashes of all windows of ``width`` tokens, in order, as column ``out``.
+
+    Each doubling is a projection of its own: inside one expression every level would be evaluated
+    again for each of its uses.
+    """
+    df = df.withColumn(out, F.transform(template, lambda t: F.xxhash64(t)))
     step = 1
     while step < width:
-        h = F.zip_with(h, F.slice(h, step + 1, F.greatest(F.size(h), F.lit(1))), lambda a, b: F.xxhash64(a, b))
+        df = df.withColumn(out, F.zip_with(out, F.slice(out, step + 1, F.greatest(F.size(out), F.lit(1))), lambda a, b: F.xxhash64(a, b)))
         step *= 2
-    return F.slice(h, 1, F.greatest(F.size(template) - (width - 1), F.lit(0)))
+    return df.withColumn(out, F.slice(out, 1, F.greatest(F.size(template) - (width - 1), F.lit(0))))
 
 
 def items(benchmark: DataFrame) -> DataFrame:
@@ -102,14 +106,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, c
     """
     bench = cut(items(benchmark), "decon-items")
     literals = F.size(F.filter(F.slice("template", F.col("pos") + 1, WINDOW), lambda t: ~t.isin(NUM, NAME, UNIT)))
-    keys = (bench.where(F.col("n_tokens") >= WINDOW)
-            .select("item_id", "template", F.posexplode(windows(F.col("template"))).alias("pos", "hash"))
+    keys = (windows(bench.where(F.col("n_tokens") >= WINDOW), "template", "windows")
+            .select("item_id", "template", F.posexplode("windows").alias("pos", "hash"))
             .where(literals >= MIN_LITERALS)
             # a window that an item repeats counts once, where it stands first
             .groupBy("item_id", "hash").agg(F.min("pos").alias("item_pos")))
     keys = cut(keys.select("hash", "item_id", "item_pos"), "decon-windows")
-    own = docs.select("doc_id", F.xxhash64("text").alias("text_key"), tagged("text").alias("tagged"))
-    spread = own.select("doc_id", "text_key", F.posexplode(windows(canonical(F.col("tagged")))).alias("pos", "hash"))
+    own = docs.select("doc_id", F.xxhash64("text").alias("text_key"), canonical(tagged("text")).alias("template"))
+    # the outer form: for the inner one the optimizer adds a size filter and inlines all doublings into it
+    spread = windows(own, "template", "windows").select("doc_id", "text_key", F.posexplode_outer("windows").alias("pos", "hash"))
     hits = cut(spread.join(bounded_broadcast(keys, keys.count()), "hash")
                .groupBy("doc_id", "text_key", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"))
                .agg(F.array_sort(F.collect_set("item_pos")).alias("at")), "decon-hits")
