@@ -11,11 +11,12 @@ linked if ``100 * |intersection| >= 85 * |union|``.
 2. *Classes.*  Texts with the same set are one class, named by its smallest id; only classes go on.
 3. *Banding.*  ``BANDS`` bands of ``ROWS`` registers.  A pair at similarity 0.85 shares no band with
    probability (1 - 0.85^5)^25 < 5e-7.
-4. *Candidates.*  Every class is compared with a centre of each of its buckets (a different centre in
-   each band).  After grouping, members of a bucket that are still in different groups are compared
-   exhaustively, so no link inside a bucket is lost, while a bucket of thousands of copies costs a
-   multiple of its size and not its square.
-5. *Verification* on the full sets, then union-find inside partitions and star contraction between
+4. *Candidates.*  Every class is compared on full sets with a centre of each of its buckets and linked
+   classes are grouped.  Members around one centre that are still apart can only be linked if their
+   differences to the centre overlap; a prefix filter on those differences (``leftovers``) finds all
+   such pairs.  So no link inside a bucket is lost, while a crowd of copies costs a multiple of its size
+   and not its square.
+5. *Grouping.*  Verified links are grouped by union-find inside partitions and star contraction between
    them (every step in tables; nothing is collected).
 
 Defined results: NULL and empty texts have no shingles and are linked with nothing; a text of one to
@@ -207,21 +208,63 @@ def _alike(a: str, b: str, percent: int) -> Column:
     return F.least(F.col(a), F.col(b)) * 100 >= F.greatest(F.col(a), F.col(b)) * percent
 
 
-def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, label: str, repeated: bool) -> DataFrame:
-    """The ``pairs (u, v)`` of class names whose full sets are similar enough."""
+def with_sets(pairs: DataFrame, docs: DataFrame, width: int, label: str, repeated: bool) -> DataFrame:
+    """``pairs (u, v)`` of class names with the full sets ``a`` and ``b``, read back for these classes alone."""
     needed = cut(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), f"{label}-nodes")
-    n = needed.count()
     texts = docs.select(F.col("doc_id").alias("node"), raw("text").alias("raw")).join(
-        bounded_broadcast(needed, n, _ID_ROWS), "node")
+        bounded_broadcast(needed, needed.count(), _ID_ROWS), "node")
     sets = texts.select("node", _sets(width).alias("s"))
     if repeated:  # ids that several rows carry: each different text once
         sets = sets.dropDuplicates()
     sets = cut(sets, f"{label}-sets")
-    a = sets.select(F.col("node").alias("u"), F.col("s").alias("a"))
-    b = sets.select(F.col("node").alias("v"), F.col("s").alias("b"))
+    return (pairs.join(sets.select(F.col("node").alias("u"), F.col("s").alias("a")), "u")
+            .join(sets.select(F.col("node").alias("v"), F.col("s").alias("b")), "v"))
+
+
+def _linked(percent: int) -> Column:
     both = F.size(F.array_intersect("a", "b"))
-    return (pairs.join(a, "u").join(b, "v").where(both * 100 >= (F.size("a") + F.size("b") - both) * percent)
-            .select("u", "v"))
+    return both * 100 >= (F.size("a") + F.size("b") - both) * percent
+
+
+def star(classes: DataFrame) -> DataFrame:
+    """(u, v): every class with a centre ``v`` of each of its buckets.
+
+    The centre is the member whose buckets are largest together: in a crowd of edited copies the one nearest
+    to what they are copies of.
+    """
+    entries = classes.select("node", F.explode("bands").alias("key"))
+    buckets = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = cut(entries.join(buckets, "key"), "near-dup-members")
+    popular = members.groupBy("node").agg(F.sum("size").alias("pop"))
+    centres = members.join(popular, "node").groupBy("key").agg(
+        F.max(F.struct("pop", (-F.col("node")).alias("node"))).alias("c")).select("key", (-F.col("c.node")).alias("v"))
+    return (members.join(centres, "key").where("node <> v").select(F.col("node").alias("u"), "v").distinct())
+
+
+def leftovers(checked: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (u, v) among classes around one centre that grouping left apart.
+
+    Around a centre c let ``D_i`` be the symmetric difference of i and c.  i and j are linked only if their own
+    difference is at most ``t = (100 - percent) / (100 + percent) * (|i| + |j|)``, which means that ``D_i`` and
+    ``D_j`` share ``a = ceil((|D_i| + |D_j| - t) / 2)`` elements, and a >= 1 if i is not linked to c.  In any order
+    common to all sets they then share one of the first ``|D_i| - a + 1`` and ``|D_j| - a + 1`` elements.  Elements
+    that c lacks come first: they are rare, so crowds of differently edited copies do not meet.
+    """
+    names = groups.select(F.col("node").alias("_n"), F.col("root").alias("_r"))
+    named = (checked.join(names.toDF("u", "ur"), "u", "left").join(names.toDF("v", "vr"), "v", "left")
+             .withColumns({"ur": F.coalesce("ur", "u"), "vr": F.coalesce("vr", "v")}).withColumn("minor", F.col("ur") != F.col("vr")))
+    named = cut(named.select("u", "v", "n", "delta", "prefix", "ur", "minor"), "near-dup-around")
+    open_ = named.groupBy("v").agg(F.count_if("minor").alias("minors"), F.count(F.lit(1)).alias("all")).where("minors > 0 and `all` > 1")
+    rows = (named.join(open_.select("v"), "v")
+            .select(F.col("v").alias("c"), "u", "n", "delta", "ur", "minor", F.posexplode("prefix").alias("pos", "e")))
+    i = rows.where("minor").select("c", "e", *[F.col(x).alias(f"i_{x}") for x in ("u", "n", "delta", "ur", "pos")])
+    j = rows.select("c", "e", *[F.col(x).alias(f"j_{x}") for x in ("u", "n", "delta", "ur", "pos", "minor")])
+    t = F.lit((100 - percent) / (100 + percent)) * (F.col("i_n") + F.col("j_n"))
+    share = F.greatest(F.lit(1), F.ceil((F.col("i_delta") + F.col("j_delta") - t) / 2 - 1e-9))
+    both = i.join(j, ["c", "e"]).where(
+        (F.col("i_ur") != F.col("j_ur")) & (~F.col("j_minor") | (F.col("i_u") < F.col("j_u"))) & _alike("i_n", "j_n", percent)
+        & (F.col("i_pos") <= F.col("i_delta") - share) & (F.col("j_pos") <= F.col("j_delta") - share))
+    return both.select(F.col("i_u").alias("u"), F.col("j_u").alias("v")).distinct()
 
 
 def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS
@@ -233,36 +276,19 @@ def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bands: in
               .select("doc_id", "text_key", "s.*"), "near-dup-signatures")
     known = sig.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     repeated = bool(known.groupBy("doc_id").count().where("count > 1").limit(1).count())
-    classes = cut(known.groupBy("cls").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"),
-                                           F.first("bands").alias("bands")), "near-dup-classes")
-    entries = classes.select("node", "n", F.explode("bands").alias("key"))
-    centre = F.min(F.struct(F.xxhash64("node", "key").alias("h"), F.col("node"), F.col("n")))
-    buckets = (entries.groupBy("key").agg(F.count(F.lit(1)).alias("size"), centre.alias("c")).where("size > 1")
-               .select("key", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n")))
-    members = cut(entries.join(buckets, "key"), "near-dup-members")
-    star = cut(members.where((F.col("node") != F.col("centre")) & _alike("n", "centre_n", percent))
-               .select(F.col("node").alias("u"), F.col("centre").alias("v")).distinct(), "near-dup-star")
-    # a pair may stand in both directions: each member is sent to its centre
-    star = star.groupBy(F.greatest("u", "v").alias("_hi"), F.least("u", "v").alias("_lo")).agg(
-        F.min(F.struct("u", "v")).alias("p")).select("p.u", "p.v")
-    edges = cut(verified(star, docs, width, percent, "near-dup-star", repeated), "near-dup-links")
-    groups = components(edges)
-    # what is left: members of one bucket in different groups
-    placed = members.join(groups, "node", "left").select(
-        "key", "node", "n", "centre", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                      F.max(F.when(F.col("node") == F.col("centre"), F.col("root"))).alias("main")).where("lo <> hi")
-    rest = cut(placed.join(mixed.select("key", "main"), "key").select("key", "node", "n", "root", "main", "centre"), "near-dup-rest")
-    minor = rest.where("root <> main").select("key", F.col("node").alias("u"), F.col("n").alias("un"), F.col("root").alias("ur"))
-    other = rest.select("key", F.col("node").alias("v"), F.col("n").alias("vn"), F.col("root").alias("vr"), "main", "centre")
-    crossed = (minor.join(other, "key")
-               # pairs of two minors stand in both orders: once is enough; pairs with the centre are done
-               .where((F.col("ur") != F.col("vr")) & ((F.col("vr") == F.col("main")) | (F.col("u") < F.col("v")))
-                      & (F.col("v") != F.col("centre")) & (F.col("u") != F.col("centre")) & _alike("un", "vn", percent))
-               .select("u", "v").distinct())
-    crossed = cut(crossed, "near-dup-crossed")
+    classes = cut(known.groupBy("cls").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "near-dup-classes")
+    pairs = cut(star(classes), "near-dup-star")
+    # the longest prefix that any partner can call for: a partner's set is at most 100/percent times as large
+    longest = F.floor(F.col("n") * ((100 - percent) / (100 + percent) * (1 + 100 / percent))).cast("int") + 2
+    differ = F.concat(F.array_except("a", "b"), F.array_except("b", "a"))
+    checked = (with_sets(pairs, docs, width, "near-dup-star", repeated)
+               .select("u", "v", F.size("a").alias("n"), _linked(percent).alias("linked"), differ.alias("d"))
+               .select("u", "v", "n", "linked", F.size("d").alias("delta"), F.slice("d", 1, longest).alias("prefix")))
+    checked = cut(checked, "near-dup-checked")
+    groups = components(checked.where("linked").select("u", "v"))
+    crossed = cut(leftovers(checked, groups, percent), "near-dup-crossed")
     if crossed.limit(1).count():
-        more = cut(verified(crossed, docs, width, percent, "near-dup-crossed", repeated), "near-dup-links")
+        more = cut(with_sets(crossed, docs, width, "near-dup-crossed", repeated).where(_linked(percent)).select("u", "v"), "near-dup-links")
         if more.limit(1).count():
             groups = components(groups.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
     named = sig.join(classes.select("cls", "node"), "cls", "left").select("doc_id", "text_key", "n_shingles", "node")

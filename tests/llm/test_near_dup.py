@@ -60,20 +60,44 @@ def test_against_all_pairs(make_docs, crowd, messy):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
-def test_leftover_pairs_inside_buckets_are_compared(make_docs, crowd, monkeypatch):
-    """With centres that never match, every link must come from the second, exhaustive step."""
-    real, calls = N.verified, []
-
-    def blind(pairs, *rest):
-        calls.append(1)
-        return real(pairs, *rest) if len(calls) > 1 else real(pairs, *rest).where("u < 0")
-
-    monkeypatch.setattr(N, "verified", blind)
-    rows = crowd[:40] + variants(prose(EN, 503, 300), 25, 1, 4000)
+def test_leftover_pairs_inside_buckets_are_found(spark, make_docs):
+    """Copies of copies: far from the centre, near each other."""
+    base = prose(EN, 503, 120)
+    rows = [(4000, base)] + variants(base, 30, 1, 4001)
+    far = variants(base, 1, 14, 0)[0][1]                       # too far from the base for a link
+    rows += [(5000, far)] + [(5001 + k, " ".join(w if p != 7 + 3 * k else f"again{k}" for p, w in enumerate(far.split()))) for k in range(8)]
+    rows += [(6000 + k, v) for k, (_, v) in enumerate(variants(base, 60, 9, 0))]
     got = {r.doc_id: r.component_id for r in N.near_duplicates(make_docs(rows)).collect()}
-    assert len(calls) == 2
-    assert got == {d: c for d, _, c in slow_components(rows)}
-    assert {got[d] for d in range(4000, 4025)} == {4000}
+    want = {d: c for d, _, c in slow_components(rows)}
+    assert got == want
+    assert want[5003] == 5000 and want[4003] == 4000 and len({want[6000 + k] for k in range(60)}) > 20
+
+
+def test_leftovers_against_all_pairs(spark):
+    """The prefix filter around a centre misses no linked pair that grouping left apart."""
+    rng = np.random.default_rng(12)
+    centre = list(range(1000, 1150))
+    sets = {}
+    for i in range(120):
+        s = set(centre)
+        for block in rng.choice(15, rng.integers(0, 4), replace=False):
+            s -= set(range(1000 + 10 * block, 1000 + 10 * block + rng.integers(2, 9)))
+            s |= set(range(5000 + 100 * block, 5000 + 100 * block + rng.integers(0, 7)))
+        s |= set(rng.integers(10_000, 10_000_000, rng.integers(0, 9)).tolist())
+        sets[i] = s
+    c = set(centre)
+    linked = lambda a, b: 100 * len(a & b) >= 85 * len(a | b)
+    rows = []
+    for i, s in sets.items():
+        d = sorted(s - c) + sorted(c - s)
+        rows.append((i, 999, len(s), linked(s, c), len(d), d[: int(len(s) * (15 / 185 * (1 + 100 / 85))) + 2]))
+    checked = spark.createDataFrame(rows, "u long, v long, n int, linked boolean, delta int, prefix array<long>")
+    groups = N.components(checked.where("linked").select("u", "v"))
+    root = {r.node: r.root for r in groups.collect()}
+    got = {frozenset(map(int, r)) for r in N.leftovers(checked, groups, 85).collect()}
+    want = {frozenset((i, j)) for i in sets for j in sets if i < j and root.get(i, i) != root.get(j, j) and linked(sets[i], sets[j])}
+    assert want and want <= got
+    assert len(got) < 120 * 119 / 4
 
 
 def test_shuffle_path_gives_the_same(make_docs, crowd, monkeypatch):
