@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import clean as C
+from strata.functions import constants as K
 from strata.plans import gold as G
 from strata.plans import silver as S
 from strata.sources.fixtures import bronze, fixture
@@ -22,16 +23,16 @@ FIXED_RUN_ID = "catalog-run"
 # --- shared silver / gold inputs ----------------------------------------------------------------
 
 def tx_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.checked_transactions(bronze(spark, sf_dir, "tx_raw"))
+    return S.checked(bronze(spark, sf_dir, "tx_raw"), S.TRANSACTIONS)
 
 
 def tx_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.valid_rows(tx_checked(spark, sf_dir), S.TRANSACTIONS)
+    return S.current_state(S.valid_rows(tx_checked(spark, sf_dir), S.TRANSACTIONS), S.TRANSACTIONS)
 
 
 def current(spark: SparkSession, sf_dir: str, entity: S.Entity) -> DataFrame:
     raw = {"merchants": "mer_raw", "users": "usr_raw"}[entity.name]
-    changes = S.checked_changes(bronze(spark, sf_dir, raw), entity)
+    changes = S.checked(bronze(spark, sf_dir, raw), entity)
     return S.current_state(S.valid_rows(changes, entity), entity)
 
 
@@ -80,6 +81,18 @@ def q_clean_users(spark, sf_dir):
     return prepared.select(*C.USER_BUSINESS_COLUMNS, "load_no", "_record_hash")
 
 
+def q_catalogue_membership(spark, sf_dir):
+    """C14: cleaned transaction values against the reference lists and the (wider) lists that the rules accept."""
+    clean = S.prepare(bronze(spark, sf_dir, "tx_raw"), S.TRANSACTIONS)
+    lists = {"channel": (K.VALID_CHANNELS, K.TX_RULE_CHANNELS), "transaction_type": (K.VALID_TRANSACTION_TYPES, K.TX_RULE_TYPES),
+             "status": (K.VALID_TRANSACTION_STATUS, K.TX_RULE_STATUS), "currency": (K.VALID_CURRENCIES, K.VALID_CURRENCIES)}
+    values = clean.select(F.explode(F.array(*[F.struct(
+        F.lit(field).alias("field"), F.coalesce(F.col(field).isin(*listed), F.lit(False)).alias("listed"),
+        F.coalesce(F.col(field).isin(*accepted), F.lit(False)).alias("accepted")) for field, (listed, accepted) in lists.items()])).alias("v"))
+    return values.groupBy("v.field").agg(F.count_if("v.listed").alias("listed"), F.count_if("v.accepted").alias("accepted"),
+                                         F.count(F.lit(1)).alias("total"))
+
+
 # --- W1 / quality ----------------------------------------------------------------------------------
 
 def q_dedup_latest(spark, sf_dir):
@@ -104,7 +117,7 @@ def q_quality_error_array(spark, sf_dir):
 
 
 def q_quality_error_text(spark, sf_dir):
-    checked = S.checked_changes(bronze(spark, sf_dir, "usr_raw"), S.USERS)
+    checked = S.checked(bronze(spark, sf_dir, "usr_raw"), S.USERS)
     return checked.select("user_id", "load_no", "_record_hash",
                           F.array_join("quality_errors", "; ").alias("quality_error_text"),
                           (~F.col("_rejected")).alias("is_valid"))
@@ -119,9 +132,9 @@ def q_quarantine_records(spark, sf_dir):
     """Quarantine rows of all three sources (fan-in by ``unionByName``), run columns dropped."""
     parts = [
         S.quarantine_records(S.rejected_rows(tx_checked(spark, sf_dir)), S.TRANSACTIONS, FIXED_RUN_ID),
-        S.quarantine_records(S.rejected_rows(S.checked_changes(bronze(spark, sf_dir, "mer_raw"), S.MERCHANTS)),
+        S.quarantine_records(S.rejected_rows(S.checked(bronze(spark, sf_dir, "mer_raw"), S.MERCHANTS)),
                              S.MERCHANTS, FIXED_RUN_ID),
-        S.quarantine_records(S.rejected_rows(S.checked_changes(bronze(spark, sf_dir, "usr_raw"), S.USERS)),
+        S.quarantine_records(S.rejected_rows(S.checked(bronze(spark, sf_dir, "usr_raw"), S.USERS)),
                              S.USERS, FIXED_RUN_ID),
     ]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -176,6 +189,7 @@ QUERIES = {
     "clean_dates_multi": q_clean_dates_multi,
     "clean_merchants": q_clean_merchants,
     "clean_users": q_clean_users,
+    "catalogue_membership": q_catalogue_membership,
     "dedup_latest": q_dedup_latest,
     "quality_valid": q_quality_valid,
     "quality_rejected_reason": q_quality_rejected_reason,

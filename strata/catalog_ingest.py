@@ -8,6 +8,8 @@ and returns a batch DataFrame over what was written.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from strata.operators.dedup import record_hash
 from strata.plans import gold as G
 from strata.plans import observe as O
 from strata.plans import silver as S
+from strata.plans.jobs import transaction_part
 from strata.plans.bronze import file_load_no, repair_bad_users, reset_source, source_specs
 from strata.plans.views import MartStore
 from strata.session import fresh_dir
@@ -40,7 +43,7 @@ class Area:
 
     def land(self, spark, sf_dir, source: str, drop: int, **kw) -> None:
         if source == "transactions":
-            L.land_transactions(spark, fixture(spark, sf_dir, "tx_raw"), f"{self.landing}/transactions", drop)
+            L.land_transactions(spark, fixture(spark, sf_dir, "tx_raw"), f"{self.landing}/transactions", drop, **kw)
         elif source == "merchants":
             L.land_merchants(spark, fixture(spark, sf_dir, "mer_raw"), f"{self.landing}/merchants", drop, **kw)
         elif source == "users":
@@ -76,7 +79,7 @@ def q_corrupt_split_bad(spark, sf_dir):
     a = Area(spark, "corrupt")
     for d in (0, 1):
         a.land(spark, sf_dir, "users", d)
-    df = read_source(spark, a.specs["users"]).cache()
+    df = read_source(spark, a.specs["users"])
     bad = bad_rows(df, "users")
     return bad.select("record", file_load_no(F.col("path"), "users").alias("load_no"), "reason")
 
@@ -86,7 +89,7 @@ def q_corrupt_split_counts(spark, sf_dir):
     a = Area(spark, "split-counts")
     for d in (0, 1):
         a.land(spark, sf_dir, "users", d)
-    df = read_source(spark, a.specs["users"]).cache()  # the corrupt column alone may not drive a raw scan
+    df = read_source(spark, a.specs["users"])
     bad = F.col("_corrupt_record").isNotNull()
     return _with_load_no(df, "users").groupBy("load_no").agg(
         F.count_if(~bad).alias("good_rows"), F.count_if(bad).alias("bad_rows"))
@@ -101,13 +104,14 @@ def q_scan_json_multiline(spark, sf_dir):
 
 
 def q_scan_glob_filter(spark, sf_dir):
-    """Files outside the pattern (a stray ``.tmp`` and another source's CSV) are not read."""
+    """Files outside the pattern (stray ``.tmp`` files and another source's CSV) are not read."""
     a = Area(spark, "glob")
-    a.land(spark, sf_dir, "transactions", 0)
+    for d in (0, 1):
+        a.land(spark, sf_dir, "transactions", d)
     tx_dir = f"{a.landing}/transactions"
     stray = fixture(spark, sf_dir, "tx_raw").select(F.concat_ws(",", *L.TX_COLUMNS).alias("value"))
-    L.write_text(spark, tx_dir, "ignored.tmp", stray)
-    L.write_csv(spark, fixture(spark, sf_dir, "tx_raw").select(*L.TX_COLUMNS), tx_dir, "refunds", 0, files=1)
+    L.write_text(spark, tx_dir, "ignored", 0, "tmp", stray)
+    L.write_csv(spark, fixture(spark, sf_dir, "tx_raw").select(*L.TX_COLUMNS), tx_dir, "refunds", 0)
     df = good_rows(read_source(spark, a.specs["transactions"]))
     return _with_load_no(df, "transactions").select(*L.TX_COLUMNS, "load_no")
 
@@ -154,17 +158,67 @@ def q_evolve_rescue_json(spark, sf_dir):
     return _evolution(spark, sf_dir, "rescue").select(*L.MER_COLUMNS, "_rescued_data", "load_no")
 
 
+def _csv_drops(spark, sf_dir, label: str, mode: str):
+    """Two plain drops, then the second one again under a header with another order and one new column."""
+    a = Area(spark, label, transactions={"schema_evolution_mode": mode})
+    for d in (0, 1):
+        a.land(spark, sf_dir, "transactions", d)
+    _ok(ingest_source(spark, a.specs["transactions"], a.layout))
+    wide = fixture(spark, sf_dir, "tx_raw").filter(F.col("load_no") == 1).select(
+        "amount", F.concat(F.lit("till-"), "channel").alias("till"), *[c for c in reversed(L.TX_COLUMNS) if c != "amount"])
+    L.write_csv(spark, wide, f"{a.landing}/transactions", "transactions", 2)
+    return a, ingest_source(spark, a.specs["transactions"], a.layout)
+
+
+def q_evolve_csv_merge(spark, sf_dir):
+    """Delimited files bind by header; the new column is merged."""
+    a, res = _csv_drops(spark, sf_dir, "csv-merge", "merge")
+    _ok(res)
+    return _with_load_no(a.table(spark, "transactions"), "transactions").select(*L.TX_COLUMNS, "till", "load_no")
+
+
+def q_evolve_csv_fail(spark, sf_dir):
+    """Mode ``fail`` refuses the file with the new column and stores nothing of it."""
+    a, res = _csv_drops(spark, sf_dir, "csv-fail", "fail")
+    stored = _with_load_no(a.table(spark, "transactions"), "transactions").groupBy("load_no").agg(F.count(F.lit(1)).alias("rows"))
+    return stored.withColumns({"status": F.lit(res.status), "names_field": F.lit("till" in (res.error or ""))})
+
+
+def q_evolve_json_collision(spark, sf_dir):
+    """Keys that differ from a declared or an audit column in case or not at all are rescued, never merged."""
+    a = Area(spark, "json-collision")
+    rows = fixture(spark, sf_dir, "mer_raw").filter(F.col("load_no") == 0).select(*L.MER_COLUMNS)
+    clash = rows.select(F.to_json(F.struct(*L.MER_COLUMNS, F.lit("X").alias("note"))).alias("j")).select(
+        F.regexp_replace("j", '"note":"X"', '"STATUS":"odd","_source_file":"fake","note":"n"').alias("value"))
+    L.write_text(spark, f"{a.landing}/merchants", "merchants", 0, "json", clash)
+    spec = replace(a.specs["merchants"], multiline=False)
+    _ok(ingest_source(spark, spec, a.layout))
+    t = a.table(spark, "merchants")
+    return t.select(*L.MER_COLUMNS, "note", "_rescued_data", F.col("_source_file").contains("fake").alias("faked"))
+
+
+def q_scan_json_encoding(spark, sf_dir):
+    """The declared encoding is used."""
+    a = Area(spark, "json-latin1")
+    rows = fixture(spark, sf_dir, "mer_raw").select(*L.MER_COLUMNS)
+    staging = f"{a.landing}/merchants"
+    rows.write.option("encoding", "ISO-8859-1").option("ignoreNullFields", "true").json(staging)
+    spec = replace(a.specs["merchants"], multiline=False, encoding="ISO-8859-1")
+    return good_rows(read_source(spark, spec)).select(*L.MER_COLUMNS)
+
+
 # --- K1 / T1-T4: streaming ingestion --------------------------------------------------------------------------
 
 def q_audit_columns(spark, sf_dir):
     a = Area(spark, "audit")
-    a.land(spark, sf_dir, "transactions", 0)
+    for d in (0, 1):
+        a.land(spark, sf_dir, "transactions", d)
     ingest_source(spark, a.specs["transactions"], a.layout)
     t = a.table(spark, "transactions")
     return t.groupBy("_source_name", "_source_format", "_schema_version").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("_ingestion_ts").isNull()).alias("missing_ingestion_ts"),
-        F.count_if(~F.col("_source_file").contains("transactions_0_")).alias("foreign_files"))
+        F.count_if(~F.col("_source_file").rlike("/transactions_[01]_")).alias("foreign_files"))
 
 
 def q_stream_append_incremental(spark, sf_dir):
@@ -202,24 +256,53 @@ def q_batch_append(spark, sf_dir):
     return a.table(spark, "transactions").select(*L.TX_COLUMNS, "load_no")
 
 
+def _ok(res):
+    if res.status != "SUCCESS":
+        raise RuntimeError(res.error)
+    return res
+
+
+def _deduplicated(spark, sf_dir, source: str, mode: str, drops=(0, 1), runs: int = 2, **kw) -> DataFrame:
+    """One or several runs over the drops; whole rows of the stored table."""
+    a = Area(spark, f"dedup-{mode}", **{source: {"deduplication_mode": mode}})
+    columns = {"transactions": L.TX_COLUMNS, "users": L.USR_COLUMNS}[source]
+    for d in drops:
+        a.land(spark, sf_dir, source, d)
+        if runs > 1:
+            _ok(ingest_source(spark, a.specs[source], a.layout, **kw))
+    _ok(ingest_source(spark, a.specs[source], a.layout, **kw))
+    return _with_load_no(a.table(spark, source), source).select(*columns, "load_no")
+
+
 def q_dedup_drop_duplicates(spark, sf_dir):
-    """T4: streaming dropDuplicates on the key keeps state across runs."""
-    a = Area(spark, "dropdup", transactions={"deduplication_mode": "drop_duplicates"})
-    spec = a.specs["transactions"]
-    for d in (0, 1):
-        a.land(spark, sf_dir, "transactions", d)
-        ingest_source(spark, spec, a.layout)
-    return a.table(spark, "transactions").select("transaction_id")
+    """T4: the oldest row of each key stays, over both runs; rows without a key all stay."""
+    return _deduplicated(spark, sf_dir, "transactions", "drop_duplicates")
+
+
+def q_users_drop_duplicates(spark, sf_dir):
+    """T4 over the malformed feed: malformed lines leave first and cannot displace a good row."""
+    return _deduplicated(spark, sf_dir, "users", "drop_duplicates")
 
 
 def q_dedup_latest_stream(spark, sf_dir):
-    """T4 latest_record: newest row per key within each micro-batch (file, then content order)."""
-    a = Area(spark, "latest", transactions={"deduplication_mode": "latest_record"})
-    spec = a.specs["transactions"]
+    """T4 latest_record: the newest row of each key (file time, file, content)."""
+    return _deduplicated(spark, sf_dir, "transactions", "latest_record", runs=1)
+
+
+def q_dedup_latest_small_batches(spark, sf_dir):
+    """The same, one file per micro-batch."""
+    return _deduplicated(spark, sf_dir, "transactions", "latest_record", runs=1, max_files_per_trigger=1)
+
+
+def q_latest_by_file_time(spark, sf_dir):
+    """T4 with drops 9 and 10: the file's time decides, not its name as text."""
+    a = Area(spark, "latest-names", transactions={"deduplication_mode": "latest_record"})
+    rows = fixture(spark, sf_dir, "tx_raw")
     for d in (0, 1):
-        a.land(spark, sf_dir, "transactions", d)
-    ingest_source(spark, spec, a.layout)
-    return _with_load_no(a.table(spark, "transactions"), "transactions").select(*L.TX_COLUMNS, "load_no")
+        L.write_csv(spark, rows.filter(F.col("load_no") == d).select(*L.TX_COLUMNS), f"{a.landing}/transactions", "transactions", 9 + d)
+    _ok(ingest_source(spark, a.specs["transactions"], a.layout))
+    t = _with_load_no(a.table(spark, "transactions"), "transactions")
+    return t.select(*L.TX_COLUMNS, (F.col("load_no") - 9).cast("int").alias("load_no"))
 
 
 # --- K3 / K4 / K15: keyed sinks ------------------------------------------------------------------------------
@@ -230,9 +313,9 @@ def q_upsert_by_key(spark, sf_dir):
     target = f"{root}/silver/transactions"
     b = bronze(spark, sf_dir, "tx_raw")
     for d in (0, 1):
-        checked = S.checked_transactions(b.filter(F.col("load_no") == d))
-        valid = S.valid_rows(checked, S.TRANSACTIONS).drop("_seq")
-        U.upsert(spark, target, valid, ["transaction_id"])
+        checked = S.checked(b.filter(F.col("load_no") == d), S.TRANSACTIONS)
+        valid = S.current_state(S.valid_rows(checked, S.TRANSACTIONS), S.TRANSACTIONS).drop("_seq")
+        U.upsert(spark, target, valid, ["transaction_id"], buckets=2, part=transaction_part(spark))
     return U.read_keyed(spark, target).select(*L.TX_COLUMNS, "_source_file", "_record_hash")
 
 
@@ -262,7 +345,7 @@ def q_scd1_out_of_order(spark, sf_dir):
 def q_scd2_intervals(spark, sf_dir):
     root = fresh_dir(spark, "scd2")
     cdc = _cdc(spark, sf_dir)
-    for part in (0, 1):
+    for part in (0, 1, 0, 1):  # replayed: a version is known by key and sequence
         U.scd2_apply(spark, f"{root}/t", cdc.filter(F.col("tie") % 2 == part), ["key"], _cdc_seq(),
                      F.col("sequence_ts"), buckets=16)
     return U.read_keyed(spark, f"{root}/t").select(
@@ -326,7 +409,7 @@ def q_refresh_after_change(spark, sf_dir):
 
     def build():
         b = bronze(spark, sf_dir, "mer_raw").filter(F.col("load_no").isin(*state["drops"]))
-        mer = S.current_state(S.valid_rows(S.checked_changes(b, S.MERCHANTS), S.MERCHANTS), S.MERCHANTS)
+        mer = S.current_state(S.valid_rows(S.checked(b, S.MERCHANTS), S.MERCHANTS), S.MERCHANTS)
         return G.dim_merchant(G.enrich(tx_valid(spark, sf_dir), mer, current(spark, sf_dir, S.USERS)))
 
     store.define("dim_merchant", build)
@@ -338,13 +421,14 @@ def q_refresh_after_change(spark, sf_dir):
 # --- U1, L1/L2, observability ------------------------------------------------------------------------------------
 
 def q_layer_counts(spark, sf_dir):
-    """Rows per layer; silver and quarantine counted in one pass over the checked rows."""
-    b = bronze(spark, sf_dir, "tx_raw")
-    split = S.checked_transactions(b).agg(
-        F.count_if(~F.col("_rejected")).alias("silver_transactions"),
-        F.count_if(F.col("_rejected")).alias("silver_quarantine"))
-    silver = split.unpivot([], ["silver_transactions", "silver_quarantine"], "table_name", "row_count")
-    return O.layer_counts({"bronze_transactions": b}).unionByName(silver).distinct()
+    """Rows of the stored bronze, silver and quarantine tables after a run of both layers."""
+    from strata.plans.jobs import run_bronze, run_silver, stored_counts
+    a = Area(spark, "counts")
+    for d in (0, 1):
+        a.land(spark, sf_dir, "transactions", d)
+    run_bronze(spark, [a.specs["transactions"]], a.layout, raise_on_failure=True)
+    run_silver(spark, a.layout, sources=("transactions",), buckets=2, raise_on_failure=True)
+    return stored_counts(spark, a.layout)
 
 
 def q_latest_ingested_topk(spark, sf_dir):
@@ -395,8 +479,9 @@ BROKEN_SPECS = """[
 def q_ingest_isolation(spark, sf_dir):
     """O2: broken sources fail alone; the good one (and a strict-evolution one) still run."""
     a = Area(spark, "isolation", merchants={"schema_evolution_mode": "fail"})
-    a.land(spark, sf_dir, "transactions", 0)
-    a.land(spark, sf_dir, "merchants", 0)
+    for d in (0, 1):
+        a.land(spark, sf_dir, "transactions", d)
+        a.land(spark, sf_dir, "merchants", d)
     a.land(spark, sf_dir, "merchants", 2, extra_key="contact_email")
     broken = [s for s in parse_specs(BROKEN_SPECS % {"l": a.landing}) if s.active]
     specs = [a.specs["transactions"], *broken, a.specs["merchants"]]
@@ -424,16 +509,27 @@ def _two_runs(spark, sf_dir, label: str, mode: str):
     spec = a.specs["transactions"]
     for d in (0, 1):
         a.land(spark, sf_dir, "transactions", d)
-        res = ingest_source(spark, spec, a.layout)
-        if res.status != "SUCCESS":
-            raise RuntimeError(res.error)
+        _ok(ingest_source(spark, spec, a.layout))
     return a, a.layout.spec_paths(spec)[0]
 
 
 def q_write_mode_merge(spark, sf_dir):
-    """Bronze kept as one row per raw key: the newer drop replaces the older row."""
+    """Bronze kept as one row per raw key (the newer drop replaces the older row), with the rows set aside for want of a key."""
     _, path = _two_runs(spark, sf_dir, "wm-merge", "merge")
-    return _with_load_no(U.read_keyed(spark, path), "transactions").select(*L.TX_COLUMNS, "load_no")
+    both = U.read_keyed(spark, path).unionByName(U.unkeyed(spark, path), allowMissingColumns=True)
+    return _with_load_no(both, "transactions").select(*L.TX_COLUMNS, "load_no")
+
+
+def q_overwrite_small_batches(spark, sf_dir):
+    """Overwrite with one file per micro-batch: every batch of the last run stays, those of the first go."""
+    a = Area(spark, "wm-small", transactions={"write_mode": "overwrite"})
+    spec = a.specs["transactions"]
+    for drops in ((0,), (0, 1)):
+        for d in drops:
+            a.land(spark, sf_dir, "transactions", d + (2 if len(drops) > 1 else 0), rows=d)
+        _ok(ingest_source(spark, spec, a.layout, max_files_per_trigger=1))
+    t = _with_load_no(a.table(spark, "transactions"), "transactions")
+    return t.select(*L.TX_COLUMNS, (F.col("load_no") - 2).cast("int").alias("load_no"))
 
 
 def q_write_mode_overwrite(spark, sf_dir):
@@ -445,7 +541,9 @@ def q_write_mode_overwrite(spark, sf_dir):
 def q_write_mode_scd2(spark, sf_dir):
     """Every version kept; only the newest version of each raw key is current."""
     _, path = _two_runs(spark, sf_dir, "wm-scd2", "scd2")
-    return _with_load_no(U.read_keyed(spark, path), "transactions").select(
+    aside = U.unkeyed(spark, path).withColumns({"_is_current": F.lit(True), "_valid_to": F.lit(None).cast("timestamp")})
+    both = U.read_keyed(spark, path).unionByName(aside, allowMissingColumns=True)
+    return _with_load_no(both, "transactions").select(
         *L.TX_COLUMNS, "load_no", "_is_current", F.col("_valid_to").isNotNull().alias("closed"))
 
 
@@ -464,10 +562,21 @@ def q_load_mode_batch(spark, sf_dir):
 
 # --- K5 / K11 / K12 / K18 / S17: named tables ----------------------------------------------------------------
 
+def _fresh_layer(spark, layout) -> None:
+    """Forget this catalogue's earlier registrations (external names only; a managed table stays and conflicts)."""
+    for layer, name in (("bronze", "transactions"), ("silver", "transactions"), ("silver", "quarantine"),
+                        ("observability", "pipeline_event_log")):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {layer}.{name}").where("col_name = 'Type' AND data_type = 'EXTERNAL'") \
+            if spark.catalog.tableExists(f"{layer}.{name}") else None
+        if rows is not None and rows.count():
+            spark.sql(f"DROP TABLE {layer}.{name}")
+
+
 def q_table_registry(spark, sf_dir):
     """Bronze written by the stream, registered as ``bronze.transactions`` and read back by name in SQL."""
     from strata.plans.tables import describe, list_tables, register_table, table_properties
     a = Area(spark, "registry")
+    _fresh_layer(spark, a.layout)
     spec = a.specs["transactions"]
     for d in (0, 1):
         a.land(spark, sf_dir, "transactions", d)
@@ -487,6 +596,68 @@ def q_table_registry(spark, sf_dir):
                      f"AS load_no FROM {name}")
 
 
+def q_registry_all_layers(spark, sf_dir):
+    """Silver, quarantine and event log registered with declared columns; counts read by name in SQL."""
+    from strata.plans.jobs import register_layers, run_bronze, run_silver
+    a = Area(spark, "registry-all")
+    _fresh_layer(spark, a.layout)
+    for d in (0, 1):
+        a.land(spark, sf_dir, "transactions", d)
+    run_bronze(spark, [a.specs["transactions"]], a.layout, raise_on_failure=True)
+    run_silver(spark, a.layout, sources=("transactions",), buckets=2, raise_on_failure=True)
+    names = register_layers(spark, a.layout)
+    parts = [f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in names]
+    return spark.sql(" UNION ALL ".join(parts))
+
+
+def q_source_selection(spark, sf_dir):
+    """The job reads the spec file and runs the one selected source."""
+    from strata.plans.bronze import source_specs_json
+    from strata.plans.jobs import event_log_path, run_bronze
+    from strata.sources.stored import write_text
+    a = Area(spark, "selection")
+    for d in (0, 1):
+        a.land(spark, sf_dir, "transactions", d)
+    write_text(spark, f"{a.root}/sources.json", source_specs_json(a.landing))
+    run_bronze(spark, f"{a.root}/sources.json", a.layout, source_filter="Transactions", raise_on_failure=True)
+    return O.read_events(spark, event_log_path(a.layout)).select("source_name", "status", "records_processed", "source_filter")
+
+
+def q_failure_log(spark, sf_dir):
+    """A failing run is raised after its events are written."""
+    from strata.plans.jobs import JobFailure, event_log_path, run_bronze
+    a = Area(spark, "failure", merchants={"schema_evolution_mode": "fail"})
+    for d in (0, 1):
+        a.land(spark, sf_dir, "transactions", d)
+    a.land(spark, sf_dir, "merchants", 2, extra_key="contact_email")
+    raised = False
+    try:
+        run_bronze(spark, [a.specs["merchants"], a.specs["transactions"]], a.layout, raise_on_failure=True)
+    except JobFailure:
+        raised = True
+    return O.read_events(spark, event_log_path(a.layout)).select(
+        "source_name", "status", "records_processed", F.col("error_message").isNotNull().alias("has_error"),
+        F.lit(raised).alias("raised"))
+
+
+def q_reset_counts(spark, sf_dir):
+    """Several sources reset at once and counted; a re-run loads everything again."""
+    from strata.plans.bronze import reset_sources
+    a = Area(spark, "reset-all")
+    for d in (0, 1):
+        a.land(spark, sf_dir, "transactions", d)
+        a.land(spark, sf_dir, "users", d)
+    specs = [a.specs["transactions"], a.specs["users"]]
+    for r in ingest_all(spark, specs, a.layout):
+        _ok(r)
+    rows = reset_sources(spark, specs, a.layout)
+    after = spark.createDataFrame(rows, "source_name string, status string, rows_left long, bad_left long")
+    for r in ingest_all(spark, specs, a.layout):
+        _ok(r)
+    again = O.layer_counts({s.source_name: a.table(spark, s.source_name) for s in specs}).withColumnRenamed("table_name", "source_name")
+    return after.join(again, "source_name").withColumnRenamed("row_count", "reloaded")
+
+
 def q_quarantine_stream_fanin(spark, sf_dir):
     """merchants' and users' rejected rows fanned into one quarantine stream."""
     from strata.plans.jobs import quarantine_stream, run_bronze
@@ -506,28 +677,63 @@ def q_quarantine_stream_fanin(spark, sf_dir):
 E2E_DROPPED = ("_source_file", "_ingested_at", "_processed_at", "_load_date")
 
 
+def _medallion(spark, sf_dir, label: str, tx_runs=((0, 1),), **kw):
+    """Landing files -> bronze streams -> incremental silver -> incremental gold; one pass per entry of ``tx_runs``."""
+    from strata.plans.jobs import run_bronze, run_gold, run_silver
+    a = Area(spark, label)
+    for src, drops in (("merchants", (0, 1, 2)), ("users", (0, 1))):
+        for d in drops:
+            a.land(spark, sf_dir, src, d)
+    runs, store = [], None
+    for drops in tx_runs:
+        for d in drops:
+            a.land(spark, sf_dir, "transactions", d)
+        run_id = O.new_run_id()
+        runs.append(run_id)
+        run_bronze(spark, list(a.specs.values()), a.layout, run_id, raise_on_failure=True, **kw)
+        run_silver(spark, a.layout, run_id, buckets=2, raise_on_failure=True, **kw)
+        store = run_gold(spark, a.layout, run_id, buckets=2, **kw)
+    return a, runs, store
+
+
 def q_medallion_end_to_end(spark, sf_dir):
-    """Landing files -> bronze streams -> incremental silver -> gold marts; the fact mart is returned.
+    """All layers over two runs, the second with the second transaction drop; the fact mart is returned.
 
     Run-dependent columns (real file paths, wall-clock times) are left out of the result.
     """
-    from strata.plans.jobs import run_bronze, run_gold, run_silver
-    a = Area(spark, "e2e")
-    for src, drops in (("transactions", (0, 1)), ("merchants", (0, 1, 2)), ("users", (0, 1))):
-        for d in drops:
-            a.land(spark, sf_dir, src, d)
-    run_id = O.new_run_id()
-    bronze_results = run_bronze(spark, list(a.specs.values()), a.layout, run_id)
-    silver_results = run_silver(spark, a.layout, run_id)
-    failed = [r for r in [*bronze_results, *silver_results] if r.status != "SUCCESS"]
-    if failed:
-        raise RuntimeError(f"layer run failed: {[(r.source_name, r.error) for r in failed]}")
-    store = run_gold(spark, a.layout, run_id)
-    return store.read("fact_transactions").drop(*E2E_DROPPED)
+    return _medallion(spark, sf_dir, "e2e", ((0,), (1,)))[2].read("fact_transactions").drop(*E2E_DROPPED)
+
+
+def q_medallion_small_batches(spark, sf_dir):
+    """All layers with one file per micro-batch give the same."""
+    return _medallion(spark, sf_dir, "e2e-small", max_files_per_trigger=1)[2].read("fact_transactions").drop(*E2E_DROPPED)
+
+
+def q_medallion_events(spark, sf_dir):
+    """O3: event rows of all three layers over two runs; the second gold run sees the new accepted rows only."""
+    from strata.plans.jobs import event_log_path
+    a, runs, _ = _medallion(spark, sf_dir, "e2e-events", ((0,), (1,)))
+    number = F.when(F.col("pipeline_run_id") == runs[0], 1).otherwise(2)
+    return O.read_events(spark, event_log_path(a.layout)).select(
+        number.alias("run_no"), "layer", "source_name", "status", "records_processed", "records_failed")
 
 
 QUERIES = {
     "medallion_end_to_end": q_medallion_end_to_end,
+    "medallion_small_batches": q_medallion_small_batches,
+    "medallion_events": q_medallion_events,
+    "overwrite_small_batches": q_overwrite_small_batches,
+    "users_drop_duplicates": q_users_drop_duplicates,
+    "dedup_latest_small_batches": q_dedup_latest_small_batches,
+    "latest_by_file_time": q_latest_by_file_time,
+    "evolve_csv_merge": q_evolve_csv_merge,
+    "evolve_csv_fail": q_evolve_csv_fail,
+    "evolve_json_collision": q_evolve_json_collision,
+    "scan_json_encoding": q_scan_json_encoding,
+    "registry_all_layers": q_registry_all_layers,
+    "source_selection": q_source_selection,
+    "failure_log": q_failure_log,
+    "reset_counts": q_reset_counts,
     "write_mode_merge": q_write_mode_merge,
     "write_mode_overwrite": q_write_mode_overwrite,
     "write_mode_scd2": q_write_mode_scd2,

@@ -90,11 +90,9 @@ DATE_LAYOUTS_MULTI = ["yyyy-MM-dd", "dd/MM/yyyy", "yyyy/MM/dd", "dd-MM-yyyy"]
 READ_DATE_FORMAT = "yyyy-MM-dd"
 READ_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DEFAULT_DELIMITERS = {"csv": ",", "txt": "|"}
-# Amount text: characters removed, and the two accepted signed shapes.
+# Amount text: characters removed.
 AMOUNT_DROP_CHARS = r"[^0-9.,]"
 SIGNED_AMOUNT_DROP_CHARS = r"[^0-9,.\-]"
-THOUSANDS_SHAPE = r"^\d{1,3}(,\d{3})+(\.\d+)?$"
-DECIMAL_COMMA_SHAPE = r"^\d+,\d{1,2}$"
 # --- end of fixed values ----------------------------------------------------
 
 # Messages of the merchant / user rules (our own additions, not reference values).

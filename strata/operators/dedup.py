@@ -17,7 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEDUP_MODES = ("none", "drop_duplicates", "latest_record")
 NULL_MARK = "\\N"          # stands for NULL inside the hashed text
 HASH_SEP = "\u001f"         # unit separator between hashed fields
 
@@ -35,16 +34,15 @@ def record_hash(columns: Sequence[str]) -> Column:
     return F.sha2(F.concat_ws(HASH_SEP, *parts), 256)
 
 
-def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], null_keys: bool = True) -> DataFrame:
     """Newest row per key; ``order`` lists the recency columns, most significant first.
 
     The ordering must be total for a deterministic result - end it with a
     content hash (see :func:`record_hash`) when timestamps can tie.
 
     Rows with a NULL key component are passed through untouched (a second,
-    filtered branch over the same input: the NULL test is pushed below the
-    projections, so only those rows pay for them).  Everything in the plan is
-    deterministic, so a lost executor's tasks recompute exactly the same rows.
+    filtered branch over the same input).  Callers whose input cannot hold any, or
+    that do not want them, pass ``null_keys=False`` and read the input once.
     """
     if not keys:
         raise ValueError("latest_by needs at least one key column")
@@ -56,36 +54,4 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
         .filter(F.col("_rn") == 1)
         .drop("_rn")
     )
-    return keyed.unionByName(df.filter(~present))
-
-
-def latest_by_ingestion(df: DataFrame, keys: Sequence[str], hash_columns: Sequence[str]) -> DataFrame:
-    """W1 with a total order: ingestion time, then source file, then content hash (all newest first)."""
-    return latest_by(df, keys, [
-        F.col("_ingestion_ts").desc(), F.col("_source_file").desc(),
-        record_hash(hash_columns).desc(),
-    ])
-
-
-def drop_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """T4 ``drop_duplicates``: one arbitrary row per key (streams keep this state across runs)."""
-    if not keys:
-        raise ValueError("drop_duplicates needs a primary key")
-    return df.dropDuplicates(list(keys))
-
-
-def apply_deduplication(df: DataFrame, mode: str, keys: Sequence[str],
-                        order: Sequence[Column] | None = None) -> DataFrame:
-    """T4 dispatcher.  ``latest_record`` is a true latest-per-key (batch / foreachBatch only)."""
-    mode = (mode or "none").lower()
-    if mode == "none":
-        return df
-    if not keys:
-        raise ValueError(f"deduplication_mode='{mode}' requires a primary_key")
-    if mode == "drop_duplicates":
-        return drop_duplicates(df, keys)
-    if mode == "latest_record":
-        if df.isStreaming:
-            raise ValueError("latest_record is applied per micro-batch inside foreachBatch")
-        return latest_by(df, keys, order or [F.col("_ingestion_ts").desc()])
-    raise ValueError(f"deduplication_mode '{mode}' is not one of {DEDUP_MODES}")
+    return keyed.unionByName(df.filter(~present)) if null_keys else keyed

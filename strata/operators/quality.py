@@ -124,39 +124,11 @@ def user_rules() -> list[Rule]:
 
 # --- evaluation ---------------------------------------------------------------------------------
 
-def rejected_flag(rules: list[Rule]) -> Column:
-    """TRUE when any rule fails (NULL-safe)."""
-    flag = F.lit(False)
-    for r in rules:
-        flag = flag | r.fails()
-    return flag
-
-
-def first_reason(rules: list[Rule]) -> Column:
-    """Q2: message of the first failing rule (NULL for valid rows)."""
-    return F.coalesce(*[F.when(r.fails(), r.message) for r in rules])
-
-
-def first_field(rules: list[Rule]) -> Column:
-    return F.coalesce(*[F.when(r.fails(), F.lit(r.field)) for r in rules])
-
-
-def error_array(rules: list[Rule]) -> Column:
-    """Q3: every failing message, in rule order."""
-    return F.array_compact(F.array(*[F.when(r.fails(), r.message) for r in rules]))
-
-
-def with_quality_errors(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Q3: ``quality_errors`` array plus ``is_valid``."""
-    return (with_verdict(df, rules).drop("_rejected", "rejection_reason", "rejected_field")
-            .withColumn("is_valid", F.size("quality_errors") == 0))
-
-
 _VERDICT = ("_rejected", "rejection_reason", "rejected_field", "quality_errors")
 
 
 def with_verdict(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Flag, first reason, offending field and error array.
+    """Flag, first reason, offending field and error array.
 
     Each rule predicate is evaluated once into a flag column; the four
     outputs are derived from the flags (small plan, no repeated evaluation).
@@ -175,10 +147,3 @@ def with_verdict(df: DataFrame, rules: list[Rule]) -> DataFrame:
         F.coalesce(*[F.when(f, F.lit(r.field)) for f, r in zip(flags, rules)]).alias("rejected_field"),
         F.array_compact(F.array(*[F.when(f, r.message) for f, r in zip(flags, rules)])).alias("quality_errors"),
     )
-
-
-def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) from a frame that went through :func:`with_verdict`."""
-    valid = checked.filter(~F.col("_rejected")).drop("_rejected", "rejection_reason", "rejected_field")
-    rejected = checked.filter(F.col("_rejected")).drop("_rejected")
-    return valid, rejected

@@ -1,73 +1,120 @@
-"""Keyed tables on plain parquet: upsert (K3), SCD type 1 (K4), SCD type 2.
+"""Keyed tables on plain parquet: upsert (K3), SCD type 1 (K4), SCD type 2 (K15), one row per key (T4).
 
-Layout: a keyed table is a parquet directory partitioned by
-``_bucket = pmod(xxhash64(keys), N)``.  An upsert
+Layout: a parquet folder partitioned by ``_part`` and ``_bucket``.  ``_part`` is an immutable piece of the
+key (the day inside a transaction id, say; ``all`` if the key has none), ``_bucket`` a hash of the key
+inside it.  Keys, bucket count and part expression are stored with the table in ``_keyed.json`` and win
+over what a caller passes, so a changed session setting cannot split a key's home in two.
 
-1. computes the buckets the incoming batch touches (a list bounded by N,
-   not by the data),
-2. reads only those bucket partitions of the target (partition pruning),
-3. merges them with the batch (anti-join + union, or latest-by-sequence),
-4. writes them back with *dynamic* partition overwrite.
+A batch rewrites the partitions it touches and no others: it finds them (a list bounded by the number
+of partitions), reads them with partition pruning, merges, and writes them back with dynamic partition
+overwrite.  With a day in the key a one-day batch rewrites one day.
 
-So the cost follows the touched buckets, not the table size, and a replay of
-the same batch produces the same state (idempotent).  The previous files of a
-bucket are only replaced at job commit, so lost executors simply re-run
-their tasks against the unchanged inputs.
+Rows whose key or sequence holds a NULL have no home.  They are kept beside the table in
+``<target>_unkeyed`` (``unkeyed()`` reads them), one folder per batch id, so a replay replaces its own.
 
-Limits: the commit is not atomic across buckets; a bucket that becomes
-empty is kept (deletes are stored as tombstones instead, see ``scd1_apply``).
+Limits: the commit is not atomic across partitions.  If a job dies inside its commit, partitions that
+were deleted but not yet replaced have lost the rows that the batch did not bring; replay from the layer
+below, or use a table format with atomic commits.  Deletes are stored as tombstones.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-
 from contextlib import contextmanager
+from dataclasses import asdict, dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.dedup import latest_by
-from strata.session import checkpoint_root
+from strata.session import fresh_dir
+from strata.sources.stored import delete_path, path_exists, read_stored, read_text, remember_schema, write_text
 
-BUCKET = "_bucket"
-# Buckets of a keyed table.  An upsert rewrites whole buckets, so size them to the
-# table (e.g. table bytes / 1 GB; thousands for multi-TB tables).  The session
-# setting ``strata.keyed.buckets`` overrides this default for callers that use it.
+PART, BUCKET, SEQ, OP = "_part", "_bucket", "_seq", "_op"
+DELETE = "DELETE"
+META_FILE = "_keyed.json"
+#: Buckets inside one part of a new table; size them to part bytes / ~1 GB.
 DEFAULT_BUCKETS = 64
 BUCKETS_CONF = "strata.keyed.buckets"
 
 
+class KeyedTableError(ValueError):
+    """A batch does not fit the stored table's keys."""
+
+
+@dataclass(frozen=True)
+class Home:
+    """Where a key lives: fixed when the table is created."""
+
+    keys: list[str]
+    buckets: int
+    part: str | None = None  # SQL over the key columns
+
+
 def default_buckets(spark: SparkSession) -> int:
     return int(spark.conf.get(BUCKETS_CONF, str(DEFAULT_BUCKETS)))
-SEQ = "_seq"
-OP = "_op"
-DELETE = "DELETE"
+
+
+def stored_home(spark: SparkSession, target: str) -> Home | None:
+    text = read_text(spark, f"{target}/{META_FILE}")
+    return Home(**json.loads(text)) if text else None
+
+
+def home_of(spark: SparkSession, target: str, keys: Sequence[str], buckets: int, part: str | None) -> Home:
+    """The stored layout, or the given one, stored now."""
+    home = stored_home(spark, target)
+    if home is None:
+        home = Home(list(keys), int(buckets), part)
+        write_text(spark, f"{target}/{META_FILE}", json.dumps(asdict(home)))
+    elif home.keys != list(keys):
+        raise KeyedTableError(f"{target} is keyed by {home.keys}, not by {list(keys)}")
+    return home
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p)
+def housed(df: DataFrame, home: Home) -> DataFrame:
+    part = F.coalesce(F.nullif(F.expr(home.part).cast("string"), F.lit("")), F.lit("none")) if home.part else F.lit("all")
+    return df.withColumns({PART: part, BUCKET: bucket_of(home.keys, home.buckets)})
+
+
+def _whole(df: DataFrame, columns: Sequence[str]) -> Column:
+    """No column, and no field of a struct column, is NULL (a struct itself never is)."""
+    ok = F.lit(True)
+    for c in columns:
+        kind = df.schema[c].dataType
+        ok = ok & F.col(c).isNotNull()
+        for f in kind.fields if isinstance(kind, T.StructType) else []:
+            ok = ok & F.col(c)[f.name].isNotNull()
+    return ok
+
 
+def _set_aside(df: DataFrame, target: str, batch_id) -> None:
+    (df.withColumn("_batch", F.lit(str(batch_id))).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(f"{target}_unkeyed"))
 
-def _write_buckets(df: DataFrame, path: str) -> None:
-    """Group rows by bucket for few files per bucket; ``rebalance`` (not ``repartition``)
-    lets AQE split an oversized bucket - e.g. a hot key's SCD2 history - over several tasks."""
-    (df.hint("rebalance", BUCKET).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(path))
+
+def unkeyed(spark: SparkSession, target: str) -> DataFrame | None:
+    """Rows that a keyed table could not take; None if there never were any."""
+    return spark.read.parquet(f"{target}_unkeyed") if path_exists(spark, f"{target}_unkeyed") else None
+
+
+def _write_parts(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Few files per partition; ``rebalance`` (not ``repartition``) lets AQE split an oversized one,
+    e.g. a hot key's SCD2 history, over several tasks."""
+    remember_schema(spark, path, df.schema)
+    (df.hint("rebalance", PART, BUCKET).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(PART, BUCKET).parquet(path))
 
 
 @contextmanager
 def held(df: DataFrame, hold: bool = True):
-    """Persist a batch that is read twice (bucket list, then merge); release it afterwards.
+    """Persist a batch that is read twice (partition list, then merge); release it afterwards.
 
     ``hold=False`` when the caller already persisted the batch's input.
     """
@@ -81,88 +128,120 @@ def held(df: DataFrame, hold: bool = True):
         kept.unpersist()
 
 
-def touched_buckets(batch: DataFrame) -> list[int]:
-    """Distinct bucket ids of a batch - at most N small integers."""
-    return sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
-
-
-def read_keyed(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    return df if buckets is None else df.filter(F.col(BUCKET).isin(buckets))
+def touched(batch: DataFrame) -> list[tuple[str, int]]:
+    """Distinct (part, bucket) pairs of a batch: at most as many as the table has partitions."""
+    return sorted((r[0], r[1]) for r in batch.select(PART, BUCKET).distinct().collect())
+
+
+def read_keyed(spark: SparkSession, path: str, pairs: list[tuple[str, int]] | None = None) -> DataFrame:
+    """The table, or the given partitions of it (pruned by part and bucket, then exactly)."""
+    df = read_stored(spark, path)
+    if pairs is None:
+        return df
+    exact = spark.createDataFrame(pairs, f"{PART} string, {BUCKET} int")
+    return (df.where(F.col(PART).isin(sorted({p for p, _ in pairs})) & F.col(BUCKET).isin(sorted({b for _, b in pairs})))
+            .join(F.broadcast(exact), [PART, BUCKET], "left_semi"))  # one short row per touched partition
+
+
+def _exists(spark: SparkSession, target: str) -> bool:
+    return stored_home(spark, target) is not None and path_exists(spark, f"{target}/_schema.json")
+
+
+def _merge(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[str], required: Sequence[str], combine,
+           buckets: int, part: str | None, hold: bool, batch_id, keep_unkeyed: bool = False) -> None:
+    """Split off rows without a home, then replace the touched partitions by ``combine(current or None, incoming)``."""
+    existed = _exists(spark, target)
+    home = home_of(spark, target, keys, buckets, part)
+    with held(batch, hold) as batch:
+        ok = _whole(batch, required)
+        homeless = batch.where(~ok)
+        if homeless.limit(1).count():
+            if keep_unkeyed:  # a part of the table that belongs to this batch alone
+                _write_parts(spark, homeless.withColumns({PART: F.lit(f"unkeyed-{batch_id}"), BUCKET: F.lit(0)}), target)
+            else:
+                _set_aside(homeless, target, batch_id)
+        incoming = housed(batch.where(ok), home)
+        if not existed:
+            _write_parts(spark, combine(None, incoming), target)
+            return
+        pairs = touched(incoming)
+        if pairs:
+            _write_parts(spark, combine(read_keyed(spark, target, pairs), incoming), target)
 
 
-def upsert(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[str],
-           buckets: int = DEFAULT_BUCKETS, hold: bool = True) -> None:
+def upsert(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[str], buckets: int = DEFAULT_BUCKETS,
+           hold: bool = True, part: str | None = None, batch_id="manual") -> None:
     """MERGE by key - matched rows are replaced whole, new keys inserted.
 
     ``batch`` must hold at most one row per key (deduplicate first).
     """
-    incoming = batch.withColumn(BUCKET, bucket_of(keys, buckets))
-    if not path_exists(spark, target):
-        _write_buckets(incoming, target)
-        return
-    with held(incoming, hold) as incoming:
-        ids = touched_buckets(incoming)
-        if not ids:
-            return
-        current = read_keyed(spark, target, ids)
+    def combine(current, incoming):
+        if current is None:
+            return incoming
         kept = current.join(incoming.select(*keys), list(keys), "left_anti")
-        _write_buckets(kept.unionByName(incoming, allowMissingColumns=True), target)
+        return kept.unionByName(incoming, allowMissingColumns=True)
+
+    _merge(spark, target, batch, keys, keys, combine, buckets, part, hold, batch_id)
+
+
+def keep_one(spark: SparkSession, target: str, rows: DataFrame, keys: Sequence[str], seq: Column, newest: bool = True,
+             buckets: int = DEFAULT_BUCKETS, hold: bool = True, part: str | None = None, batch_id="manual",
+             keep_unkeyed: bool = False) -> None:
+    """T4: one row per key over all batches - the newest (or oldest) by ``seq``, whatever order they arrive in.
+
+    ``keep_unkeyed`` leaves rows without a key in the table (all of them) instead of beside it.
+    """
+    order = F.col(SEQ).desc() if newest else F.col(SEQ).asc()
+
+    def combine(current, incoming):
+        both = incoming if current is None else current.unionByName(incoming, allowMissingColumns=True)
+        return latest_by(both, keys, [order], null_keys=False)
 
+    _merge(spark, target, rows.withColumn(SEQ, seq), keys, [*keys, SEQ], combine, buckets, part, hold, batch_id, keep_unkeyed)
 
-def scd1_apply(spark: SparkSession, target: str, changes: DataFrame, keys: Sequence[str],
-               seq: Column, buckets: int = DEFAULT_BUCKETS, hold: bool = True) -> None:
+
+def scd1_apply(spark: SparkSession, target: str, changes: DataFrame, keys: Sequence[str], seq: Column,
+               buckets: int = DEFAULT_BUCKETS, hold: bool = True, part: str | None = None, batch_id="manual") -> None:
     """SCD type 1 from a change feed, robust to out-of-order arrival.
 
-    Each stored row keeps its sequence value (``_seq``); a change is applied
-    only if its sequence is greater than the stored one, so an older change
-    that arrives late is ignored.  Deletes (``_op = 'DELETE'``) are stored as
-    tombstones so a late older upsert cannot resurrect the key; readers use
-    :func:`scd1_current`.
+    Each stored row keeps its sequence value (``_seq``); a change is applied only if its sequence is
+    greater than the stored one, so an older change that arrives late is ignored.  Deletes
+    (``_op = 'DELETE'``) are stored as tombstones so a late older upsert cannot resurrect the key;
+    readers use :func:`scd1_current`.
     """
-    incoming = changes.withColumns({SEQ: seq, BUCKET: bucket_of(keys, buckets)})
-    if OP not in incoming.columns:
-        incoming = incoming.withColumn(OP, F.lit("UPSERT"))
-    incoming = incoming.filter(F.col(SEQ).isNotNull())
-    if not path_exists(spark, target):
-        _write_buckets(latest_by(incoming, keys, [F.col(SEQ).desc()]), target)
-        return
-    with held(incoming, hold) as incoming:
-        ids = touched_buckets(incoming)
-        if not ids:
-            return
-        candidates = read_keyed(spark, target, ids).unionByName(incoming, allowMissingColumns=True)
-        _write_buckets(latest_by(candidates, keys, [F.col(SEQ).desc()]), target)
+    if OP not in changes.columns:
+        changes = changes.withColumn(OP, F.lit("UPSERT"))
+    keep_one(spark, target, changes, keys, seq, True, buckets, hold, part, batch_id)
 
 
 def scd1_current(spark: SparkSession, target: str) -> DataFrame:
     """Reader view of an SCD1 table: live rows only, control columns hidden."""
     df = read_keyed(spark, target)
-    return df.filter(F.col(OP) != DELETE).drop(SEQ, OP, BUCKET)
+    return df.filter(F.col(OP) != DELETE).drop(SEQ, OP, BUCKET, PART)
 
 
 def next_in_order(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str],
-                  prefix: str = "_next_", partitions: int | None = None) -> DataFrame:
+                  prefix: str = "_next_", partitions: int | None = None, scratch: str | None = None) -> DataFrame:
     """For every row, ``columns`` of the next row of the same key in ``order`` (NULL on a key's last row).
 
     Equivalent to ``lead(c) OVER (PARTITION BY keys ORDER BY order)`` but without
     putting a whole key in one task: rows are range-partitioned on (keys, order),
-    so a hot key is split across many partitions of similar size; the range
-    partitioning is checkpointed (lineage cut into ``spark.checkpoint.dir``) so
-    every later read sees the same partitions.  ``lead`` then runs per range
+    so a hot key is split across many partitions of similar size; the ranges are
+    written to ``scratch`` under the shared work root (the caller may delete it once the
+    result is stored) so every later read sees the same ranges.  ``lead`` then runs per range
     partition, and each partition's last row takes its successor from the first
     row of the next non-empty partition - a frame of at most ``partitions`` rows.
     Keys must not be NULL.
     """
     spark = df.sparkSession
-    checkpoint_root(spark)
     n = partitions or max(spark.sparkContext.defaultParallelism,
                           int(spark.conf.get("spark.sql.shuffle.partitions")))
     sort_cols = [*keys, order]
     carried = list(dict.fromkeys([*keys, *columns]))
-    ranged = (df.repartitionByRange(n, *[F.col(c) for c in sort_cols])
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
+    scratch = scratch or fresh_dir(spark, "ranges")
+    stamped = df.repartitionByRange(n, *[F.col(c) for c in sort_cols]).withColumn("_pid", F.spark_partition_id())
+    stamped.write.parquet(scratch)
+    ranged = spark.read.schema(stamped.schema).parquet(scratch)
     within = Window.partitionBy("_pid").orderBy(*sort_cols)
     local = ranged.withColumns({"_has_next": F.lead(F.lit(True)).over(within),
                                 **{f"_ln_{c}": F.lead(c).over(within) for c in carried}})
@@ -178,40 +257,29 @@ def next_in_order(df: DataFrame, keys: Sequence[str], order: str, columns: Seque
     return out.drop("_pid", "_has_next", "_succ", *[f"_ln_{c}" for c in carried])
 
 
-def scd2_apply(spark: SparkSession, target: str, changes: DataFrame, keys: Sequence[str],
-               seq: Column, valid_from: Column, buckets: int = DEFAULT_BUCKETS, hold: bool = True) -> None:
+def scd2_apply(spark: SparkSession, target: str, changes: DataFrame, keys: Sequence[str], seq: Column, valid_from: Column,
+               buckets: int = DEFAULT_BUCKETS, hold: bool = True, part: str | None = None, batch_id="manual") -> None:
     """K15 (extension): SCD type 2 history with validity intervals.
 
-    Every distinct change is a version; ``_valid_to`` is the next version's
-    ``_valid_from`` in sequence order (computed by :func:`next_in_order`, so
-    a key with a huge history is still spread over many tasks);
-    ``_is_current`` marks the open version.  Re-applying a batch is harmless:
-    versions are deduplicated by (key, sequence).
+    Every distinct change is a version; ``_valid_to`` is the next version's ``_valid_from`` in sequence
+    order (computed by :func:`next_in_order`, so a key with a huge history is still spread over many
+    tasks); ``_is_current`` marks the open version.  Re-applying a batch is harmless: versions are
+    deduplicated by (key, sequence), so the sequence must be a property of the change (its own time,
+    file, content) and not of the run.
     """
-    incoming = changes.withColumns({SEQ: seq, "_valid_from": valid_from,
-                                    BUCKET: bucket_of(keys, buckets)})
-    if OP not in incoming.columns:
-        incoming = incoming.withColumn(OP, F.lit("UPSERT"))
-    incoming = incoming.filter(F.col(SEQ).isNotNull())
-
-    def write_history(versions: DataFrame) -> None:
-        versions = versions.dropDuplicates([*keys, SEQ])
-        history = next_in_order(versions, keys, SEQ, ["_valid_from"])
-        history = history.withColumnRenamed("_next__valid_from", "_valid_to").withColumn(
+    changes = changes.withColumns({SEQ: seq, "_valid_from": valid_from})
+    if OP not in changes.columns:
+        changes = changes.withColumn(OP, F.lit("UPSERT"))
+    scratch = fresh_dir(spark, "ranges")
+
+    def combine(current, incoming):
+        both = incoming if current is None else current.drop("_valid_to", "_is_current").unionByName(
+            incoming, allowMissingColumns=True)
+        history = next_in_order(both.dropDuplicates([*keys, SEQ]), keys, SEQ, ["_valid_from"], scratch=scratch)
+        return history.withColumnRenamed("_next__valid_from", "_valid_to").withColumn(
             "_is_current", F.col("_valid_to").isNull() & (F.col(OP) != DELETE))
-        _write_buckets(history, target)
 
-    if not path_exists(spark, target):
-        write_history(incoming)
-        return
-    with held(incoming, hold) as incoming:
-        ids = touched_buckets(incoming)
-        if not ids:
-            return
-        old = read_keyed(spark, target, ids).drop("_valid_to", "_is_current")
-        write_history(old.unionByName(incoming, allowMissingColumns=True))
-
-
-def overwrite(df: DataFrame, path: str) -> None:
-    """K15 ``overwrite`` write mode: replace the whole table (static overwrite)."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    try:
+        _merge(spark, target, changes, keys, [*keys, SEQ], combine, buckets, part, hold, batch_id)
+    finally:
+        delete_path(spark, scratch)

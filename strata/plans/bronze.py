@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.sources.landing import MER_COLUMNS, TX_COLUMNS, USR_COLUMNS
-from strata.sources.spec import SourceSpec, parse_specs
+from strata.plans.tables import refresh_table
+from strata.sources.spec import SourceSpec, parse_specs, select_sources
+from strata.sources.stored import SCHEMA_FILE, children, delete_path, path_exists, read_stored
 from strata.streaming.ingest import Layout, add_audit_columns, ingest_batch
 
 
@@ -87,7 +89,7 @@ class RepairWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         fixed = add_audit_columns(repaired_users(batch, self.spec.delimiter or "|"), self.spec)
-        fixed = fixed.withColumn("_source_file", F.lit(self.bad_path))
+        fixed = fixed.withColumns({"_source_file": F.lit(self.bad_path), "_file_time": F.current_timestamp()})
         self.rows += ingest_batch(batch.sparkSession, fixed, self.spec, self.layout, f"repair-{batch_id}")
 
 
@@ -106,10 +108,7 @@ def repair_bad_users(spark: SparkSession, spec: SourceSpec, layout: Layout) -> i
 
 def count_bad_records(spark: SparkSession, bad_path: str) -> int:
     """Rows in a source's bad-record folder; 0 when the folder is missing or empty."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(bad_path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
+    if not path_exists(spark, bad_path):
         return 0
     return spark.read.schema(BAD_RECORD_SCHEMA).option("recursiveFileLookup", "true") \
         .option("pathGlobFilter", "*.json").json(bad_path).count()
@@ -117,30 +116,59 @@ def count_bad_records(spark: SparkSession, bad_path: str) -> int:
 
 # --- K13: reset ------------------------------------------------------------------------------------------
 
-def delete_path(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.delete(p, True)) if fs.exists(p) else False
+
+def empty_table(spark: SparkSession, path: str) -> None:
+    """Truncate a stored table: its rows, keys and run markers go, its remembered columns stay."""
+    for name in children(spark, path):
+        if name != SCHEMA_FILE:
+            delete_path(spark, f"{path}/{name}")
+    delete_path(spark, f"{path}_unkeyed")
 
 
 def reset_source(spark: SparkSession, spec: SourceSpec, layout: Layout,
                  delete_bad_records: bool = True) -> dict[str, str]:
-    """Truncate the source's table and forget its stream state, each step isolated."""
+    """Truncate the source's table and forget its stream state, each step isolated.
+
+    A registered table keeps working: its partitions are synchronised with the empty folder.
+    """
     target, ckpt, bad = layout.spec_paths(spec)
-    steps = {"table": target, "checkpoint": ckpt}
+    name = f"`{spec.target_schema or 'bronze'}`.`{spec.table}`"
+
+    def sync() -> None:
+        if spark.catalog.tableExists(name):
+            refresh_table(spark, name)
+
+    steps = {"table": lambda: empty_table(spark, target), "checkpoint": lambda: delete_path(spark, ckpt)}
     if delete_bad_records:
-        steps["bad_records"] = bad
+        steps["bad_records"] = lambda: delete_path(spark, bad)
+    steps["registered"] = sync
     out = {}
-    for step, path in steps.items():
+    for step, run in steps.items():
         try:
-            delete_path(spark, path)
+            run()
             out[step] = "OK"
         except Exception as e:  # noqa: BLE001 - report per step, keep going
             out[step] = f"ERROR {type(e).__name__}: {str(e)[:200]}"
     return out
 
 
+def reset_sources(spark: SparkSession, specs: list[SourceSpec], layout: Layout, source_filter: str = "all",
+                  delete_bad_records: bool = True) -> list[tuple[str, str, int, int]]:
+    """Reset every selected source, one failing alone; ``(source, status, rows left, bad rows left)``."""
+    out = []
+    for spec in select_sources(specs, source_filter):
+        steps = reset_source(spark, spec, layout, delete_bad_records)
+        target, _, bad = layout.spec_paths(spec)
+        try:
+            left = read_stored(spark, target).count() if path_exists(spark, target) else 0
+            bad_left = count_bad_records(spark, bad)
+            status = "OK" if not left and set(steps.values()) == {"OK"} else "FAILED"
+        except Exception:  # noqa: BLE001
+            left, bad_left, status = -1, -1, "FAILED"
+        out.append((spec.source_name, status, left, bad_left))
+    return out
+
+
 def file_load_no(path_col: Column, stem: str) -> Column:
     """Drop number encoded in a landed file name ``<stem>_<drop>_<n>.<ext>``."""
     return F.regexp_extract(path_col, stem + r"_(\d+)_\d+\.[a-z]+$", 1).cast("int")

@@ -1,8 +1,9 @@
 """Silver layer: bronze rows -> cleaned, deduplicated, rule-checked rows.
 
-Order of operations (fixing the source system's defects):
-clean first (so ``' X '`` and ``'X'`` are one key), then keep the latest row
-per key, then evaluate the rules; NULL keys skip dedup and are quarantined.
+Order of operations: clean first (so ``' X '`` and ``'X'`` are one key), then evaluate the rules on
+every row.  Every rejected row is quarantined; of the rows that pass, the newest per key is the
+state.  A newer version that is rejected therefore never hides an older valid one, and the outcome
+does not depend on which rows arrive in one micro-batch.
 
 Every function returns a lazy DataFrame; callers decide where to materialise.
 """
@@ -50,12 +51,6 @@ def raw_json(columns) -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"})
 
 
-def sequence(df_has_hash: bool = True) -> Column:
-    """Recency order of a change: ingestion time, source file, content hash."""
-    return F.struct(F.col("_ingestion_ts").alias("ts"), F.col("_source_file").alias("file"),
-                    F.col("_record_hash").alias("hash"))
-
-
 def prepare(bronze: DataFrame, entity: Entity) -> DataFrame:
     """Bronze -> cleaned rows with lineage: ``_record_hash``, ``_raw_record``, ``_seq``.
 
@@ -72,7 +67,8 @@ def prepare(bronze: DataFrame, entity: Entity) -> DataFrame:
         digest.alias("_record_hash"),
         raw_json(entity.columns).alias("_raw_record"),
         *[F.col(d).alias(f"_raw_{d}") for d in entity.raw_dates],
-        F.struct(F.col("_ingestion_ts").alias("ts"), F.col("_source_file").alias("file"),
+        # recency is a property of the row: its file's time, the file, the content
+        F.struct(F.col("_file_time").alias("ts"), F.col("_source_file").alias("file"),
                  digest.alias("hash")).alias("_seq"),
     )
 
@@ -87,13 +83,8 @@ def check(df: DataFrame, entity: Entity) -> DataFrame:
     return Q.with_verdict(df, entity.rules())
 
 
-def checked_transactions(bronze: DataFrame) -> DataFrame:
-    """clean -> latest per transaction_id -> rules (one row per key, NULL keys kept)."""
-    return check(latest(prepare(bronze, TRANSACTIONS), TRANSACTIONS), TRANSACTIONS)
-
-
-def checked_changes(bronze: DataFrame, entity: Entity) -> DataFrame:
-    """Change feed for SCD1 entities: every change is checked (no dedup before the merge)."""
+def checked(bronze: DataFrame, entity: Entity) -> DataFrame:
+    """Clean and check every row; row-local, so it runs on streams and batches alike."""
     return check(prepare(bronze, entity), entity)
 
 
@@ -110,6 +101,11 @@ def rejected_rows(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col("_rejected"))
 
 
+def current_state(valid: DataFrame, entity: Entity) -> DataFrame:
+    """Newest valid row per key (valid rows always have a key, so the input is read once)."""
+    return latest_by(valid, entity.keys, [F.col("_seq").desc()], null_keys=False)
+
+
 QUARANTINE_COLUMNS = [
     "quarantine_id", "event_ts", "event_date", "source_name", "target_table",
     "rejection_reason", "rejected_field", "quality_errors", "raw_record",
@@ -121,8 +117,8 @@ def quarantine_records(rejected: DataFrame, entity: Entity, run_id: str | Column
                        batch_id: int | Column = 0, event_ts: Column | None = None) -> DataFrame:
     """Q5 / K9: one quarantine row per rejected input row (superset schema, D14).
 
-    ``quarantine_id`` is a content hash (source, raw payload, file, batch), so a
-    replayed batch produces the same ids instead of fresh random UUIDs.
+    ``quarantine_id`` hashes source, raw payload, file, batch and the row's place (``_row_id``), so equal
+    rows get ids of their own and a replayed batch produces the same ids instead of fresh random ones.
     """
     ts = event_ts if event_ts is not None else F.current_timestamp()
     run = run_id if isinstance(run_id, Column) else F.lit(run_id)
@@ -130,7 +126,7 @@ def quarantine_records(rejected: DataFrame, entity: Entity, run_id: str | Column
     return rejected.select(
         F.sha2(F.concat_ws("\u001f", F.lit(entity.name), F.col("_raw_record"),
                            F.coalesce(F.col("_source_file"), F.lit("")),
-                           batch.cast("string")), 256).alias("quarantine_id"),
+                           batch.cast("string"), F.col("_row_id")), 256).alias("quarantine_id"),
         ts.alias("event_ts"),
         ts.cast("date").alias("event_date"),
         F.lit(entity.name).alias("source_name"),
@@ -143,8 +139,3 @@ def quarantine_records(rejected: DataFrame, entity: Entity, run_id: str | Column
         run.alias("pipeline_run_id"),
         batch.cast("long").alias("batch_id"),
     )
-
-
-def current_state(changes_valid: DataFrame, entity: Entity) -> DataFrame:
-    """SCD1 state of a full change set: newest valid change per key."""
-    return latest_by(changes_valid, entity.keys, [F.col("_seq").desc()])

@@ -9,6 +9,7 @@ do we create a private folder and register it as the checkpoint dir.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -114,6 +115,10 @@ def checkpoint_root(spark: SparkSession) -> str:
             # getCheckpointDir returns <dir>/<app-uuid>; keep our tables beside it
             configured = current.rsplit("/", 1)[0]
     if not configured:
+        # a private folder is only shared where driver and executors are one process
+        if not re.match(r"local(\[[^,\]]*(,\s*\d+)?\])?$", sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set (master {sc.master}): stored tables, stream checkpoints and "
+                               "lineage cuts need a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
         sc.setCheckpointDir(configured)
     elif not sc.getCheckpointDir():
@@ -133,19 +138,3 @@ def work_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unique directory path under the work root (created lazily by writers)."""
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def spread(df, min_partitions: int | None = None):
-    """Guarantee a scan at least as many partitions as the session has cores.
-
-    Large inputs already arrive in thousands of splits and pass through
-    untouched; a small single-file table (one row group = one task) would
-    otherwise run every row-level expression on a single core.
-    """
-    spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as is
-        return df
-    return df.repartition(target) if splits < target else df

@@ -17,8 +17,6 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import spread
-
 TX_RAW = """
 WITH o AS (
   SELECT o_orderkey AS k, o_custkey AS ck, o_orderstatus AS st, o_orderpriority AS pr,
@@ -40,9 +38,9 @@ SELECT
        WHEN k % 5 = 2 THEN 'USD ' || amt WHEN k % 5 = 3 THEN ' ' || amt || ' ' ELSE amt END AS amount,
   CASE WHEN k % 2 = 0 THEN ' usd' ELSE 'pen ' END AS currency,
   CASE WHEN k % 59 = 0 THEN '2024-13-45' WHEN k % 3 = 0 THEN substr(d,9,2) || '/' || substr(d,6,2) || '/' || substr(d,1,4) ELSE d END AS transaction_date,
-  CASE WHEN k % 53 = 0 THEN NULL WHEN k % 47 = 0 THEN 'desconocida' WHEN st = 'F' THEN 'APROBADO' WHEN st = 'O' THEN ' pendiente ' ELSE 'Rechazado' END AS status,
+  CASE WHEN k % 53 = 0 THEN NULL WHEN k % 47 = 0 OR (v = 1 AND k % 40 = 13) THEN 'desconocida' WHEN st = 'F' THEN 'APROBADO' WHEN st = 'O' THEN ' pendiente ' ELSE 'Rechazado' END AS status,
   CASE WHEN k % 8 = 2 THEN '  ' WHEN k % 4 = 2 THEN 'TXN-' || replace(d,'-','') || '-' || lpad(CAST((k + 1) % 100000 AS STRING),5,'0') ELSE NULL END AS reference_id,
-  v AS load_no,
+  v AS load_no, CAST(k AS STRING) || '-' || CAST(v AS STRING) AS _row_id,
   'landing/transactions_' || CAST(v AS STRING) || '.csv' AS _source_file
 FROM o
 """
@@ -54,7 +52,7 @@ SELECT 'MCH-' || lpad(CAST(s_suppkey AS STRING),5,'0') AS merchant_id, ' ' || s_
   CASE s_suppkey % 4 WHEN 0 THEN '2020-01-15' WHEN 1 THEN '15/01/2020' WHEN 2 THEN '2020/01/15' ELSE '15-01-2020' END AS affiliation_date,
   CASE WHEN v = 2 THEN 'suspended' WHEN s_suppkey % 7 = 0 THEN 'inactivo' ELSE 'Active' END AS status,
   CASE WHEN v = 1 AND s_suppkey % 5 = 0 THEN 'sin clasificar' WHEN s_acctbal < 2000 THEN 'ALTO' WHEN s_acctbal < 6000 THEN 'medio' ELSE 'bajo' END AS risk_level,
-  v AS load_no, 'landing/merchants_' || CAST(v AS STRING) || '.json' AS _source_file
+  v AS load_no, CAST(s_suppkey AS STRING) || '-' || CAST(v AS STRING) AS _row_id, 'landing/merchants_' || CAST(v AS STRING) || '.json' AS _source_file
 FROM {supplier} CROSS JOIN (SELECT 0 AS v UNION ALL SELECT 1 UNION ALL SELECT 2) vv
 WHERE v = 0 OR (v = 1 AND s_suppkey % 2 = 0) OR (v = 2 AND s_suppkey % 6 = 0)
 """
@@ -69,7 +67,7 @@ SELECT CASE WHEN c_custkey % 211 = 0 AND v = 0 THEN 'NULL' ELSE 'USR-' || lpad(C
   CASE c_nationkey % 5 WHEN 0 THEN 'Chile' WHEN 1 THEN 'ARG' WHEN 2 THEN 'ecuador' WHEN 3 THEN 'BRAZIL' ELSE 'PE' END AS country,
   CASE WHEN v = 1 THEN 'vip' WHEN c_mktsegment = 'BUILDING' THEN 'Standard' WHEN c_mktsegment = 'MACHINERY' THEN 'new' WHEN c_mktsegment = 'HOUSEHOLD' THEN 'estándar' ELSE 'Premium' END AS segment,
   CASE c_custkey % 2 WHEN 0 THEN '2019-03-04' ELSE '04/03/2019' END AS registration_date,
-  v AS load_no, 'landing/users_' || CAST(v AS STRING) || '.txt' AS _source_file
+  v AS load_no, CAST(c_custkey AS STRING) || '-' || CAST(v AS STRING) AS _row_id, 'landing/users_' || CAST(v AS STRING) || '.txt' AS _source_file
 FROM {customer} CROSS JOIN (SELECT 0 AS v UNION ALL SELECT 1) vv WHERE v = 0 OR c_custkey % 4 = 1
 """
 
@@ -95,8 +93,8 @@ INGESTION_EPOCH = "2024-01-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; small single-split files are spread over the session's cores."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # On Spark the version fan-out is a generator, not a join with a constant table.
@@ -126,9 +124,10 @@ def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_fixture_audit(df: DataFrame, source: str, fmt: str, schema_version: int = 1) -> DataFrame:
+    at = F.timestamp_add("DAY", F.col("load_no"), F.lit(INGESTION_EPOCH).cast("timestamp_ntz"))
     return df.withColumns({
-        "_ingestion_ts": F.timestamp_add(
-            "DAY", F.col("load_no"), F.lit(INGESTION_EPOCH).cast("timestamp_ntz")),
+        "_ingestion_ts": at,
+        "_file_time": at,
         "_source_name": F.lit(source),
         "_source_format": F.lit(fmt),
         "_schema_version": F.lit(schema_version),

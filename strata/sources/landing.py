@@ -3,7 +3,7 @@
 Spark writes each drop into a staging folder; the part files are then
 published under the source's naming pattern (``<stem>_<drop>_<n>.<ext>``)
 with the Hadoop FileSystem API, so this works on any cluster file system.
-Each output partition becomes one file; no file is assembled on the driver.
+Each partition of the drop becomes one file, so the number of files follows the data.
 """
 
 from __future__ import annotations
@@ -43,20 +43,20 @@ def _staging(landing: str) -> str:
 
 
 def write_csv(spark: SparkSession, df: DataFrame, landing: str, stem: str, drop, sep: str = ",",
-              ext: str = "csv", files: int = 2) -> list[str]:
+              ext: str = "csv") -> list[str]:
     """Headered delimited files; whitespace is preserved, values with the separator are quoted."""
     staging = _staging(landing)
-    (df.coalesce(files).write.option("header", True).option("sep", sep)
+    (df.write.option("header", True).option("sep", sep)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(staging))
     return _publish(spark, staging, landing, stem, str(drop), ext)
 
 
 def write_lines(spark: SparkSession, lines: Column, df: DataFrame, header: str, landing: str, stem: str,
-                drop, ext: str = "txt", files: int = 2) -> list[str]:
+                drop, ext: str = "txt") -> list[str]:
     """Pre-built text lines (may be malformed on purpose) under a header line."""
     staging = _staging(landing)
-    (df.select(lines.alias(header)).coalesce(files).write
+    (df.select(lines.alias(header)).write
      .option("header", True).option("quote", "").option("escape", "").option("sep", "\t")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(staging))
@@ -81,24 +81,19 @@ def _json_array_lines(batches):
         yield pd.DataFrame({"value": ["]"]})
 
 
-def write_json_array(spark: SparkSession, df: DataFrame, landing: str, stem: str, drop,
-                     files: int = 2) -> list[str]:
+def write_json_array(spark: SparkSession, df: DataFrame, landing: str, stem: str, drop) -> list[str]:
     """Multi-line JSON files whose root is an array of objects (NULL fields omitted)."""
     staging = _staging(landing)
-    objs = df.select(F.to_json(F.struct(*df.columns)).alias("j")).coalesce(files)
+    objs = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
     objs.mapInPandas(_json_array_lines, "value string").write.text(staging)
     return _publish(spark, staging, landing, stem, str(drop), "json")
 
 
-def write_text(spark: SparkSession, landing: str, name: str, content_df: DataFrame) -> None:
-    """A stray file (e.g. ``ignored.tmp``) that the glob filter must skip."""
+def write_text(spark: SparkSession, landing: str, stem: str, drop, ext: str, content_df: DataFrame) -> list[str]:
+    """Stray text files (e.g. ``ignored_0_00000.tmp``) that the glob filter must skip."""
     staging = _staging(landing)
-    content_df.coalesce(1).write.text(staging)
-    fs, sp = _fs(spark, staging)
-    part = [st.getPath() for st in fs.listStatus(sp) if st.getPath().getName().startswith("part-")][0]
-    fs.mkdirs(_fs(spark, landing)[1])
-    fs.rename(part, spark._jvm.org.apache.hadoop.fs.Path(f"{landing.rstrip('/')}/{name}"))
-    fs.delete(sp, True)
+    content_df.write.text(staging)
+    return _publish(spark, staging, landing, stem, str(drop), ext)
 
 
 # --- the three reference sources as landing drops -------------------------------------------------------
@@ -125,8 +120,9 @@ def user_line(usr: DataFrame) -> Column:
     return F.when(shape["nine"], nine).when(shape["seven"], seven).otherwise(F.concat_ws("|", *cols))
 
 
-def land_transactions(spark, tx_raw: DataFrame, landing: str, drop: int) -> list[str]:
-    return write_csv(spark, tx_raw.filter(F.col("load_no") == drop).select(*TX_COLUMNS),
+def land_transactions(spark, tx_raw: DataFrame, landing: str, drop: int, rows: int | None = None) -> list[str]:
+    """``rows``: the load whose rows the drop holds, if not its own number."""
+    return write_csv(spark, tx_raw.filter(F.col("load_no") == (drop if rows is None else rows)).select(*TX_COLUMNS),
                      landing, "transactions", drop)
 
 

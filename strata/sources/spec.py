@@ -74,6 +74,8 @@ class SourceSpec:
     infer_column_types: bool = False
     table_properties: dict[str, str] = field(default_factory=dict)
     max_files_per_trigger: int | None = None
+    max_new_columns: int = 200
+    sequence_column: str | None = None
     load_mode: str = "available_now"
     trigger_interval: str = "1 minute"
     active: bool = False
@@ -90,6 +92,11 @@ class SourceSpec:
     def glob(self) -> str:
         return self.file_pattern or f"*.{self.fmt}"
 
+    @property
+    def recency_column(self) -> str | None:
+        """Column that says which of two rows of a key is newer: declared, else the first timestamp column."""
+        return self.sequence_column or next((c for c, t in self.columns if (t or "").strip().lower() == "timestamp"), None)
+
     @property
     def column_names(self) -> list[str]:
         return [c for c, _ in self.columns]

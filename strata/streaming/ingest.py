@@ -1,41 +1,46 @@
 """Incremental bronze ingestion.
 
-One source = one Structured Streaming query:
+One source = one Structured Streaming query over the *names* of its landing files:
 
-    file stream (declared schema, glob filter, checkpoint)
-      -> foreachBatch(batch, batch_id):
-           persist the micro-batch once
+    file stream (glob filter, checkpoint)
+      -> foreachBatch(names, batch_id):
+           read the batch's files (declared schema), persist once
            malformed rows  -> bad-record JSON   (partition batch_id)
-           good rows       -> evolution mode -> dedup mode -> audit columns
-                           -> target table     (partition _batch_id, or keyed upsert)
-           counts via DataFrame.observe (no extra pass)
+           good rows       -> evolution mode -> audit columns -> target table
+           counts from the persisted batch
       -> trigger(availableNow=True): everything new since the checkpoint, then stop
 
-Both writes use dynamic partition overwrite keyed by the batch id, so a
-micro-batch replayed after a failure rewrites its own partitions instead of
-appending duplicates (``foreachBatch`` is at-least-once).
-``maxFilesPerTrigger`` bounds the size of one micro-batch at scale.
+Malformed rows leave before anything else happens to a batch.  Append and overwrite tables are
+partitioned by ``_batch_id`` and written with dynamic partition overwrite, so a replayed micro-batch
+replaces its own partitions.  Everything that compares rows of one key - ``merge``, ``scd2``,
+``drop_duplicates`` (the oldest row stays) and ``latest_record`` (the newest) - goes to a keyed table and
+decides by a sequence that belongs to the row: declared timestamp column or file time, then file name,
+then content.  So the stored result does not depend on how files were cut into micro-batches, on their
+order or on replays.  Rows with a NULL key are duplicates of nothing: the dedup modes keep them all.
 """
 
 from __future__ import annotations
 
 import time
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import upsert as U
-from strata.operators.dedup import drop_duplicates, latest_by, record_hash
-from strata.sources.files import apply_evolution, bad_rows, good_rows, read_source
+from strata.operators.dedup import record_hash
+from strata.sources.files import CORRUPT, FILE_TIME, apply_evolution, bad_rows, good_rows, list_files, new_files, read_batch, get_reader
 from strata.sources.spec import SourceSpec, SpecError, build_schema
+from strata.sources.stored import children, delete_path, read_stored, remember_schema, write_text
 
 BATCH = "_batch_id"
 # Files per micro-batch unless the spec or caller says otherwise: a first backfill over a
 # huge landing folder becomes many bounded micro-batches instead of one giant persisted one.
 DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+DEDUP_MODES = ("none", "drop_duplicates", "latest_record")
+KEYED_MODES = ("merge", "scd2")
 
 
 @dataclass(frozen=True)
@@ -77,9 +82,7 @@ class IngestResult:
     query: object | None = None   # the running StreamingQuery for load_mode=streaming
 
     def as_dict(self) -> dict:
-        d = asdict(self)
-        d.pop("query", None)
-        return d
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "query"}
 
 
 def add_audit_columns(df: DataFrame, spec: SourceSpec, ingestion_ts=None) -> DataFrame:
@@ -94,17 +97,40 @@ def add_audit_columns(df: DataFrame, spec: SourceSpec, ingestion_ts=None) -> Dat
     return df.withColumns(cols)
 
 
-def add_processed_columns(df: DataFrame, processed_at=None) -> DataFrame:
-    """Processing time and its date (one value per query, so every row of a run agrees)."""
-    ts = processed_at if processed_at is not None else F.current_timestamp()
-    return df.withColumns({"_processed_at": ts, "_load_date": ts.cast("date")})
-
-
 def _write_partitioned(df: DataFrame, path: str, fmt: str = "parquet", part: str = BATCH) -> None:
+    if fmt == "parquet":
+        remember_schema(df.sparkSession, path, df.schema)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part).format(fmt).save(path))
 
 
+def sequence(spec: SourceSpec) -> Column:
+    """Recency of a landed row, a property of the row alone: declared time (file time without one), file, content."""
+    own = F.col(f"`{spec.recency_column}`").cast("timestamp") if spec.recency_column else F.lit(None).cast("timestamp")
+    return F.struct(F.coalesce(own, F.col(FILE_TIME)).alias("at"), F.col(FILE_TIME).alias("file_time"),
+                    F.col("_source_file").alias("file"), record_hash(spec.column_names).alias("hash"))
+
+
+def _finished(spark: SparkSession, target: str) -> int:
+    """Last batch of the last finished overwrite run (-1: none)."""
+    return max([int(n.removeprefix("_finished-")) for n in children(spark, target) if n.startswith("_finished-")], default=-1)
+
+
+def finish_overwrite(spark: SparkSession, target: str, batches: list[int]) -> None:
+    """End of an overwrite run: batches of earlier runs go.  Batches of a run that died before its end stay with
+    those of the run that went on from its checkpoint."""
+    if not batches:
+        return
+    before = _finished(spark, target)
+    for name in children(spark, target):
+        if name.startswith(f"{BATCH}=") and int(name.split("=", 1)[1]) <= before and int(name.split("=", 1)[1]) not in batches:
+            delete_path(spark, f"{target}/{name}")
+    last = max(batches)
+    write_text(spark, f"{target}/_finished-{last:012d}", "")
+    if before != last:
+        delete_path(spark, f"{target}/_finished-{before:012d}")
+
+
 class BronzeBatchWriter:
     """The ``foreachBatch`` function of one source."""
 
@@ -116,55 +142,51 @@ class BronzeBatchWriter:
         self.batches: list[int] = []
         self.failure: Exception | None = None
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+    def __call__(self, names: DataFrame, batch_id: int) -> None:
+        # names only, at most max_files_per_trigger of them
+        self.write_files(names.sparkSession, sorted(r[0] for r in names.collect()), batch_id)
+
+    def write_files(self, spark: SparkSession, files: list[str], batch_id: int) -> None:
         try:
-            self._process(batch, batch_id)
+            if files:
+                self._process(spark, files, batch_id)
         except Exception as e:  # remembered so the run result names the real cause
             self.failure = e
             raise
 
-    def _process(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+    def _process(self, spark: SparkSession, files: list[str], batch_id: int) -> None:
         spec = self.spec
-        cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        batch = read_batch(spark, spec, files)
+        cached = batch.rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            bad_obs, good_obs = Observation(f"bad_{batch_id}"), Observation(f"good_{batch_id}")
+            # fills the cache in one pass; both branches read it
+            n_good, n_bad = cached.agg(F.count_if(F.col(CORRUPT).isNull()), F.count_if(F.col(CORRUPT).isNotNull())).first()
             bad = bad_rows(cached, spec.source_name).withColumn("batch_id", F.lit(batch_id))
-            bad = bad.observe(bad_obs, F.count(F.lit(1)).alias("n"))
             _write_partitioned(bad, self.bad_path, "json", "batch_id")
-
-            good = apply_evolution(good_rows(cached), spec)
-            mode = (spec.deduplication_mode or "none").lower()
-            if mode == "latest_record":
-                good = latest_by(good, spec.primary_key, [
-                    F.col("_source_file").desc(), record_hash(spec.column_names).desc()])
-            good = add_audit_columns(good, spec).withColumn(BATCH, F.lit(batch_id).cast("long"))
-            good = good.observe(good_obs, F.count(F.lit(1)).alias("n"))
-            self._write_good(spark, good)
-            self.rows += int(good_obs.get.get("n", 0))
-            self.bad += int(bad_obs.get.get("n", 0))
+            good = apply_evolution(good_rows(cached), spec, batch.extra_names)
+            good = add_audit_columns(good, spec).withColumn(BATCH, F.lit(str(batch_id)))
+            self._write_good(spark, good, batch_id)
+            self.rows += int(n_good)
+            self.bad += int(n_bad)
             self.batches.append(batch_id)
         finally:
             cached.unpersist()
 
-    def _write_good(self, spark: SparkSession, good: DataFrame) -> None:
+    def _write_good(self, spark: SparkSession, good: DataFrame, batch_id: int) -> None:
         spec = self.spec
-        wmode = (spec.write_mode or "append").lower()
-        if wmode == "append":
+        wmode, dmode = (spec.write_mode or "append").lower(), (spec.deduplication_mode or "none").lower()
+        keys = list(spec.primary_key)
+        common = {"buckets": self.buckets, "batch_id": batch_id}
+        if wmode == "scd2":
+            U.scd2_apply(spark, self.target, good, keys, sequence(spec), F.col(FILE_TIME), **common)
+        elif wmode == "merge" or dmode != "none":
+            if wmode == "overwrite":
+                raise SpecError(f"[{spec.source_name}] write_mode=overwrite cannot deduplicate across batches")
+            # rows without a key are duplicates of nothing: the dedup modes keep them, merge sets them aside
+            U.keep_one(spark, self.target, good, keys, sequence(spec), newest=dmode != "drop_duplicates",
+                       keep_unkeyed=wmode != "merge", **common)
+        elif wmode in ("append", "overwrite"):
             _write_partitioned(good, self.target)
-        elif wmode == "overwrite":
-            U.overwrite(good, self.target)
-        elif wmode == "merge":
-            if not spec.primary_key:
-                raise SpecError(f"[{spec.source_name}] write_mode=merge requires a primary_key")
-            latest = latest_by(good, spec.primary_key, [F.col("_source_file").desc(),
-                                                        record_hash(spec.column_names).desc()])
-            U.upsert(spark, self.target, latest, spec.primary_key, self.buckets)
-        elif wmode == "scd2":
-            if not spec.primary_key:
-                raise SpecError(f"[{spec.source_name}] write_mode=scd2 requires a primary_key")
-            seq = F.struct(F.col("_ingestion_ts"), F.col("_source_file"), record_hash(spec.column_names))
-            U.scd2_apply(spark, self.target, good, spec.primary_key, seq, F.col("_ingestion_ts"), self.buckets)
         else:
             raise SpecError(f"[{spec.source_name}] write_mode '{wmode}' is not one of append|overwrite|merge|scd2")
 
@@ -195,33 +217,30 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, layout: Layout,
     writer = None
     try:
         build_schema(spec)
+        get_reader(spec.fmt)
         load_mode = (spec.load_mode or "available_now").lower()
         if load_mode not in ("available_now", "streaming", "batch"):
             raise SpecError(f"[{spec.source_name}] load_mode '{load_mode}' is not one of "
                             "available_now | streaming | batch")
-        dmode = (spec.deduplication_mode or "none").lower()
-        if dmode not in ("none", "drop_duplicates", "latest_record"):
-            raise SpecError(f"deduplication_mode '{dmode}' is not one of none|drop_duplicates|latest_record")
-        if dmode != "none" and not spec.primary_key:
-            raise SpecError(f"[{spec.source_name}] deduplication_mode='{dmode}' requires a primary_key")
+        dmode, wmode = (spec.deduplication_mode or "none").lower(), (spec.write_mode or "append").lower()
+        if dmode not in DEDUP_MODES:
+            raise SpecError(f"deduplication_mode '{dmode}' is not one of {'|'.join(DEDUP_MODES)}")
+        for name, on in (("deduplication_mode", dmode if dmode != "none" else ""), ("write_mode", wmode if wmode in KEYED_MODES else "")):
+            if on and not spec.primary_key:
+                raise SpecError(f"[{spec.source_name}] {name}='{on}' requires a primary_key")
         writer = BronzeBatchWriter(spec, target, bad_path, U.default_buckets(spark))
         if load_mode == "batch":
-            frame = read_source(spark, spec, streaming=False)
-            if dmode == "drop_duplicates":
-                frame = drop_duplicates(frame, spec.primary_key)
-            writer(frame, int(batch_id if batch_id is not None else time.time()))
+            writer.write_files(spark, list_files(spark, spec), int(batch_id if batch_id is not None else time.time()))
         else:
             max_files = max_files_per_trigger or spec.max_files_per_trigger or DEFAULT_MAX_FILES_PER_TRIGGER
-            stream = read_source(spark, spec, streaming=True, max_files=max_files)
-            if dmode == "drop_duplicates":
-                # streaming dedup keeps its key state in the checkpoint: global across runs
-                stream = drop_duplicates(stream, spec.primary_key)
-            w = stream.writeStream.foreachBatch(writer).option("checkpointLocation", ckpt)
+            w = new_files(spark, spec, max_files).writeStream.foreachBatch(writer).option("checkpointLocation", ckpt)
             if load_mode == "streaming":
                 result.query = w.trigger(processingTime=spec.trigger_interval).start()
                 result.status = "RUNNING"
                 return result
             w.trigger(availableNow=True).start().awaitTermination()
+        if wmode == "overwrite":
+            finish_overwrite(spark, target, writer.batches)
         result.records, result.records_failed, result.batches = writer.rows, writer.bad, writer.batches
         result.status = "SUCCESS"
     except Exception as e:  # noqa: BLE001 - per-source isolation (O2)
@@ -233,19 +252,23 @@ def ingest_source(spark: SparkSession, spec: SourceSpec, layout: Layout,
     return result
 
 
+def failures(results: list[IngestResult]) -> list[str]:
+    """Names of sources that failed (a running stream has not)."""
+    return [r.source_name for r in results if r.status == "FAILED"]
+
+
 def ingest_all(spark: SparkSession, specs: list[SourceSpec], layout: Layout,
                raise_on_failure: bool = False, **kw) -> list[IngestResult]:
     """O2: every source in turn; one failing source does not stop the others."""
     results = [ingest_source(spark, s, layout, **kw) for s in specs]
-    failed = [r for r in results if r.status != "SUCCESS"]
-    if raise_on_failure and failed:
-        raise RuntimeError(f"{len(failed)} source(s) failed: {[r.source_name for r in failed]}")
+    if raise_on_failure and failures(results):
+        raise RuntimeError(f"{len(failures(results))} source(s) failed: {failures(results)}")
     return results
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Stored table (schema-merged across batches that added columns)."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """Stored table with its remembered schema."""
+    return read_stored(spark, path)
 
 
 def ingest_batch(spark: SparkSession, df: DataFrame, spec: SourceSpec, layout: Layout,
@@ -256,6 +279,6 @@ def ingest_batch(spark: SparkSession, df: DataFrame, spec: SourceSpec, layout: L
     """
     target, _, _ = layout.spec_paths(spec)
     obs = Observation(f"batch_{batch_key}")
-    out = df.withColumn(BATCH, F.lit(batch_key)).observe(obs, F.count(F.lit(1)).alias("n"))
+    out = df.withColumn(BATCH, F.lit(str(batch_key))).observe(obs, F.count(F.lit(1)).alias("n"))
     _write_partitioned(out, target)
     return int(obs.get.get("n", 0))

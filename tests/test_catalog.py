@@ -7,7 +7,7 @@ import __spark_entry__ as E
 from tools.check import TABLES, canon
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(E.queries())
+KEYS = sorted(E.CATALOGUE)
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +19,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(KEYS) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)

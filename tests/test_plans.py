@@ -22,6 +22,15 @@ def test_no_python_eval_or_nested_loops(spark, key):
     assert not SLOW_PATH.findall(executed(spark, key))
 
 
+@pytest.mark.parametrize("key", ["fact_transactions", "dim_user", "quarantine_records", "scd1_users"])
+def test_inputs_are_scanned_once_and_never_dealt_round_robin(spark, key):
+    plan = executed(spark, key).split("+- == Initial Plan ==")[0]
+    assert "RoundRobinPartitioning" not in plan and "REPARTITION_BY_NUM" not in plan
+    scans = len(re.findall(r"FileScan parquet", plan))
+    # orders twice (the feed is a union over it), supplier and customer once
+    assert scans == {"fact_transactions": 4, "dim_user": 4, "quarantine_records": 4, "scd1_users": 1}[key]
+
+
 def test_dedup_limits_rows_before_the_shuffle(spark):
     plan = executed(spark, "dedup_latest")
     assert "WindowGroupLimit" in plan and "Partial" in plan

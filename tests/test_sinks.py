@@ -1,5 +1,6 @@
 """Keyed sinks: upsert idempotence, SCD1 arrival-order independence and tombstones, SCD2."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import upsert as U
@@ -20,14 +21,78 @@ def test_upsert_replaces_and_inserts_idempotently(spark):
     assert rows(U.read_keyed(spark, target), "k", "v") == [(1, "a"), (2, "B"), (3, "c")]
 
 
-def test_upsert_reads_only_touched_buckets(spark):
+def days(spark, n_days, per_day=20):
+    return spark.range(n_days * per_day).select(
+        F.format_string("TXN-202401%02d-%05d", F.col("id") % n_days + 1, F.col("id")).alias("k"), F.lit("x").alias("v"))
+
+
+def files_of(spark, target):
+    return {r[0] for r in U.read_keyed(spark, target).select("_metadata.file_path").distinct().collect()}
+
+
+DAY = "substr(k, 5, 8)"
+
+
+def test_a_one_day_batch_rewrites_one_day(spark):
+    target = fresh_dir(spark, "t-days")
+    U.upsert(spark, target, days(spark, 10), ["k"], buckets=2, part=DAY)
+    before = files_of(spark, target)
+    batch = spark.createDataFrame([(f"TXN-20240103-{i:05d}", "y") for i in range(2, 200, 10)], "k string, v string")
+    U.upsert(spark, target, batch, ["k"], buckets=2, part=DAY)
+    after = files_of(spark, target)
+    assert {f for f in before - after} == {f for f in before if "_part=20240103" in f}
+    assert {f for f in after - before} == {f for f in after if "_part=20240103" in f}
+    assert U.read_keyed(spark, target).where("v = 'y'").count() == 20 and U.read_keyed(spark, target).count() == 200
+
+
+def test_touched_partitions_are_read_by_pruning(spark):
     target = fresh_dir(spark, "t-prune")
-    U.upsert(spark, target, spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("v")), ["k"], 16)
-    batch = spark.createDataFrame([(7, "y")], "k long, v string").withColumn(U.BUCKET, U.bucket_of(["k"], 16))
-    ids = U.touched_buckets(batch)
-    assert len(ids) == 1
-    plan = U.read_keyed(spark, target, ids)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(_bucket" in plan
+    U.upsert(spark, target, days(spark, 10), ["k"], buckets=2, part=DAY)
+    plan = U.read_keyed(spark, target, [("20240103", 0)])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "20240103" in plan
+
+
+def test_stored_layout_wins_over_a_changed_setting(spark):
+    target = fresh_dir(spark, "t-layout")
+    rows_ = spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    U.upsert(spark, target, rows_, ["k"], buckets=16)
+    U.upsert(spark, target, rows_, ["k"], buckets=32)
+    assert U.read_keyed(spark, target).count() == 100 and U.stored_home(spark, target).buckets == 16
+    with pytest.raises(U.KeyedTableError):
+        U.upsert(spark, target, rows_, ["v"], buckets=16)
+
+
+def test_null_keys_and_sequences_are_set_aside_once(spark):
+    target = fresh_dir(spark, "t-null")
+    batch = spark.createDataFrame([(1, 1, "a"), (None, 1, "n"), (2, None, "s"), (None, None, "b")], "k int, seq int, v string")
+    for _ in range(3):  # replayed
+        U.scd1_apply(spark, target, batch, ["k"], F.struct("seq", F.lit("x").alias("file")), buckets=2, batch_id=5)
+        U.upsert(spark, f"{target}-u", batch.drop("seq"), ["k"], buckets=2, batch_id=5)
+    assert rows(U.scd1_current(spark, target), "v") == [("a",)]
+    assert sorted(r.v for r in U.unkeyed(spark, target).collect()) == ["b", "n", "s"]
+    assert rows(U.read_keyed(spark, f"{target}-u"), "v") == [("a",), ("s",)]
+    assert sorted(r.v for r in U.unkeyed(spark, f"{target}-u").collect()) == ["b", "n"]
+
+
+def test_keep_one_does_not_depend_on_batches(spark):
+    data = [(k, s, f"{k}{s}") for k in (1, 2, 3) for s in (4, 1, 3)] + [(None, 9, "n1"), (None, 9, "n2")]
+    for newest in (True, False):
+        states = []
+        for cut in ([data], [[r] for r in data], [data[5:], data[:5], data[2:]]):
+            target = fresh_dir(spark, "t-keep")
+            for i, part in enumerate(cut):
+                U.keep_one(spark, target, spark.createDataFrame(part, "k int, seq int, v string"), ["k"], F.col("seq"), newest,
+                           buckets=2, batch_id=i, keep_unkeyed=True)
+            states.append({r.v for r in U.read_keyed(spark, target).collect()})
+        assert states[0] == states[1] == states[2] == {f"{k}{4 if newest else 1}" for k in (1, 2, 3)} | {"n1", "n2"}
+
+
+def test_scd2_replay_keeps_the_history(spark):
+    target = fresh_dir(spark, "t-scd2-replay")
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (None, 3, "n")], "key int, seq int, val string")
+    for _ in range(2):
+        U.scd2_apply(spark, target, df, ["key"], F.col("seq"), F.col("seq"), buckets=2, batch_id=1)
+    assert U.read_keyed(spark, target).count() == 2 and U.unkeyed(spark, target).count() == 1
 
 
 CHANGES = [  # key, seq, op, val
@@ -79,7 +144,7 @@ def test_upsert_one_row_per_key_after_replayed_drops(spark, sf_small):
     target = fresh_dir(spark, "t-upsert-drops")
     b = bronze(spark, sf_small, "tx_raw")
     for d in (0, 1, 1):  # the second drop is applied twice
-        valid = S.valid_rows(S.checked_transactions(b.filter(F.col("load_no") == d)), S.TRANSACTIONS)
+        valid = S.current_state(S.valid_rows(S.checked(b.filter(F.col("load_no") == d), S.TRANSACTIONS), S.TRANSACTIONS), S.TRANSACTIONS)
         U.upsert(spark, target, valid.drop("_seq"), ["transaction_id"], buckets=8)
     t = U.read_keyed(spark, target)
     assert t.count() == t.select("transaction_id").distinct().count()
