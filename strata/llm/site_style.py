@@ -51,14 +51,17 @@ DROPPED = frozenset(
 OPAQUE = frozenset("script style textarea title noscript iframe noframes template svg math xmp".split())
 #: Words in a class, id or role that mark a branch as no main text.
 MARKS = frozenset(
-    "ad ads adv advert adverts advertisement advertisements advertising adsense adslot adbox adunit banner billboard "
+    "ad ads adv advert adverts advertisement advertisements advertising adsense adslot adbox adunit alert banner billboard "
     "breadcrumb breadcrumbs comment comments commentlist consent contentinfo cookie cookies copyright dfp dialog "
-    "disclaimer disqus footer gdpr login masthead menu menubar modal nav navbar navigation newsletter notice notices "
+    "disclaimer disqus footer gdpr header login masthead menu menubar modal nav navbar navigation newsletter notice notices "
     "notification outbrain overlay paginate pagination pager popup promo promos promoted promotion recommended related "
-    "replies reply respond search share sharing sharebar shoutbox sidebar signin signup skip social sponsor sponsored "
+    "rail replies reply respond responses search share sharing sharebar shoutbox sidebar sidenav signin signup skip social sponsor sponsored "
     "sponsors subscribe subscription taboola toc toolbar topbar trending widget widgets".split())
 #: Of those, the ones that may also name a part of the article itself.
 OUTSIDE_ONLY = frozenset("header banner".split())
+#: Words that turn a name into a remark about the page ("has-sidebar"), and words that a part of the text starts with.
+REMARKS = frozenset("has with no without".split())
+CONTENT = frozenset("content article post entry story layout wrapper container".split())
 #: Text elements that repetition alone never removes.
 RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote ul ol li dl dt dd table tbody thead tfoot tr td th figure "
                     "figcaption article main body html".split())
@@ -92,8 +95,12 @@ def _attributes(raw: str) -> dict[str, str]:
 
 def _name(tag: str, attrs: dict[str, str]) -> tuple[str, set[str], bool]:
     """(name in the style tree, marking words, hidden)."""
-    label = " ".join(attrs.get(a, "") for a in ("class", "id", "role"))
-    words = {w.lower() for w in _PART.findall(label)} | set(label.lower().split())
+    words: set[str] = set()
+    for token in " ".join(attrs.get(a, "") for a in ("class", "id", "role")).split():
+        parts = [w.lower() for w in _PART.findall(token)] or [token.lower()]
+        marks = {w for w in (*parts, token.lower()) if w in MARKS}
+        if marks and not REMARKS & set(parts) and not (parts[0] in CONTENT and parts[-1] not in MARKS):
+            words |= marks
     hidden = "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(attrs.get("style", "")))
     short = ".".join(attrs.get("class", "").split()[:3]) or ("#" + attrs["id"] if attrs.get("id") and not re.search(r"\d", attrs["id"]) else "")
     return f"{tag}.{short}" if short else tag, words, hidden
@@ -173,10 +180,9 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], list[Element], bool]:
         if tag in DROPPED or hidden or (tag == "header" and not top.main):
             kind = 2
         elif tag not in ("html", "body") and not (is_main and "comment" not in words and "comments" not in words):
-            marked = words & MARKS
-            if marked and not (top.main and marked <= OUTSIDE_ONLY):
+            if words and not (top.main and words <= OUTSIDE_ONLY):
                 kind = max(kind, 1)
-        elif is_main and words & {"comment", "comments", "related", "teaser", "promo"}:
+        elif is_main and words & {"comment", "comments", "related", "promo", "sidebar"}:
             kind = max(kind, 1)
         main = top.main or (is_main and kind == 0)
         has_main = has_main or main

@@ -63,6 +63,9 @@ def test_real_pages_against_regular_expressions(spark):
     ("<p title='a>b'>x</p>", "x"), ("a<!-- c -->b<!-- open", "ab"), ("<nav>n</nav><p>x</p><div hidden>h</div>", "x"),
     ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"), ("<div class=menu>m</div><p>t</p>", "t"), ("<p>1 < 2 &#x263a; &notanentity;</p>", "1 < 2 ☺ ¬anentity;"),
     ("</p></div><b>x</b>", "x"), ("<article>a</article><p>b</p>", "a"), ("<ul><li>a<ul><li>b</ul><li>c</ul>", "a\nb\nc"),
+    ("<div class='has-sidebar'><p>x</p><div class='site-header'>s</div><div id='AdSlot1'>a</div></div>", "x"),
+    ("<div class='content-with-menu'>x<div class='main-menu'>m</div><div class='post-comments'>c</div><div class='post-body'>y</div></div>", "x\ny"),
+    ("<article><div class='post-header'><h1>t</h1></div><div class='comment'>c</div><article class='comments'>d</article>x</article>", "t\nx"),
     ("<div style='display: none'>h</div><p>x", "x"), ("<textarea><p>t</textarea>y", "y"), ("<p" + "x" * 10_000, ""),
 ])
 def test_fragments(page, text):
