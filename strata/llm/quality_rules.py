@@ -92,9 +92,9 @@ class Rule:
 RULES = [
     Rule("too_few_words", "n_words < 10"),
     Rule("repeated_windows", "100 * n_repeat_words > 20 * n_words"),
-    Rule("symbol_heavy", "n_symbols > 2 * n_words"),
+    Rule("symbol_heavy", "4 * n_symbols > n_words"),
     Rule("shouting", "n_upper > 2 * n_lower and n_upper > n_high and n_words >= 10"),
-    Rule("repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule("repeated_lines", "100 * n_dup_lines > 50 * n_lines"),
     Rule("short_words", "word_chars < 2 * n_words"),
     Rule("long_words", "word_chars > 20 * n_words"),
     Rule("few_letters", "2 * (n_upper + n_lower + n_high) < word_chars"),
