@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import decontaminate, line_templates, mixing, near_dup, quality_rank
-from strata.llm.common import cut, read
+from strata.llm.common import cut, cut_mark, drop_cuts, read
 from strata.session import tune
 
 
@@ -54,11 +54,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read back for the next."""
+    """All stages over ``documents``; each result is written and read back for the next.
+
+    A stage's intermediate tables, and the result it read, are deleted once its own result is written.
+    """
     tune(spark)
-    docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if name != STAGES[-1][0]:
-            docs = cut(docs, f"pipeline-{name}")
-    return docs
+    docs, mark = read(spark, sf_dir, "documents"), cut_mark()
+    for name, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_cuts(spark, mark, docs)
+    return STAGES[-1][1](spark, docs, sf_dir)

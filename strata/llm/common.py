@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from strata.session import fresh_dir
+from strata.sources.stored import delete_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -40,15 +41,36 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+#: Intermediate tables of this process, oldest first.
+_CUTS: list[str] = []
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
     Cuts the lineage on storage that every executor sees, so a lost executor costs at most the
-    tasks it was running.
+    tasks it was running.  Who knows that tables are no longer read deletes them (``drop_cuts``).
     """
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _CUTS.append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def cut_mark() -> int:
+    """Tables cut so far; pass it to ``drop_cuts`` later."""
+    return len(_CUTS)
+
+
+def drop_cuts(spark: SparkSession, mark: int, *keep: DataFrame) -> None:
+    """Delete the tables cut since the mark, but for those that ``keep`` frames are read from."""
+    kept = {k.cut_path for k in keep}
+    for path in _CUTS[mark:]:
+        if path not in kept:
+            delete_path(spark, path)
+    _CUTS[mark:] = [p for p in _CUTS[mark:] if p in kept]
 
 
 def fresh(df: DataFrame, stem: str) -> str:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bounded_broadcast, cut, fresh, per_batch, raw, small_batches
+from strata.llm.common import bounded_broadcast, cut, cut_mark, drop_cuts, fresh, per_batch, raw, small_batches
 
 WIDTH = 5
 BANDS, ROWS = 25, 5
@@ -184,6 +184,7 @@ def components(edges: DataFrame, label: str = "near-dup") -> DataFrame:
     e = cut(pairs.repartition("v").mapInArrow(_forest, "u bigint, v bigint"), f"{label}-edges")
     before = None
     while True:
+        mark = cut_mark() - 1  # the table read in this round goes once the next one is written
         # large star: every larger neighbour of u goes to the smallest node around u
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
@@ -193,11 +194,14 @@ def components(edges: DataFrame, label: str = "near-dup") -> DataFrame:
         e = (e.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
              .union(least.select("u", F.col("m").alias("v"))).distinct())
         e = cut(e, f"{label}-edges")
+        drop_cuts(e.sparkSession, mark, e)
         now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             break
         before = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out.cut_path = e.cut_path
+    return out
 
 
 # -- candidates and verification ------------------------------------------------------------------
@@ -277,6 +281,7 @@ def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bands: in
     known = sig.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     repeated = bool(known.groupBy("doc_id").count().where("count > 1").limit(1).count())
     classes = cut(known.groupBy("cls").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "near-dup-classes")
+    mark = cut_mark()
     pairs = cut(star(classes), "near-dup-star")
     # the longest prefix that any partner can call for: a partner's set is at most 100/percent times as large
     longest = F.floor(F.col("n") * ((100 - percent) / (100 + percent) * (1 + 100 / percent))).cast("int") + 2
@@ -291,6 +296,7 @@ def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bands: in
         more = cut(with_sets(crossed, docs, width, "near-dup-crossed", repeated).where(_linked(percent)).select("u", "v"), "near-dup-links")
         if more.limit(1).count():
             groups = components(groups.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
+    drop_cuts(docs.sparkSession, mark, groups)
     named = sig.join(classes.select("cls", "node"), "cls", "left").select("doc_id", "text_key", "n_shingles", "node")
     return named, groups
 
