@@ -42,6 +42,8 @@ BANDS, ROWS = 25, 5
 PERCENT = 85
 #: Elements whose permutations are held at a time (one byte a register each).
 _CHUNK = 100_000
+#: Longs in the bitmap of a difference (a power of two).
+_BITMAP = 4
 #: Ids of eight bytes that may be broadcast.
 _ID_ROWS = 1_000_000
 
@@ -245,6 +247,15 @@ def star(classes: DataFrame) -> DataFrame:
     return (members.join(centres, "key").where("node <> v").select(F.col("node").alias("u"), "v").distinct())
 
 
+def bitmap(elements: str) -> Column:
+    """``64 * _BITMAP`` bits, one set for each element by its hash, as a struct of longs."""
+    def word(k: int) -> Column:
+        mine = F.filter(elements, lambda e: F.shiftrightunsigned(e, 6).bitwiseAND(_BITMAP - 1) == k)
+        return F.aggregate(mine, F.lit(0).cast("long"), lambda acc, e: acc.bitwiseOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), e.bitwiseAND(63).cast("int"))))
+    return F.struct(*[word(k).alias(f"b{k}") for k in range(_BITMAP)])
+
+
 def leftovers(checked: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (u, v) among classes around one centre that grouping left apart.
 
@@ -252,22 +263,26 @@ def leftovers(checked: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     difference is at most ``t = (100 - percent) / (100 + percent) * (|i| + |j|)``, which means that ``D_i`` and
     ``D_j`` share ``a = ceil((|D_i| + |D_j| - t) / 2)`` elements, and a >= 1 if i is not linked to c.  In any order
     common to all sets they then share one of the first ``|D_i| - a + 1`` and ``|D_j| - a + 1`` elements.  Elements
-    that c lacks come first: they are rare, so crowds of differently edited copies do not meet.
+    that c lacks come first: they are mostly rare, so crowds of differently edited copies hardly meet.  Those that
+    do are held against ``t`` once more by bitmaps of their differences: the two bitmaps cannot differ in more bits
+    than the differences do in elements.
     """
     names = groups.select(F.col("node").alias("_n"), F.col("root").alias("_r"))
     named = (checked.join(names.toDF("u", "ur"), "u", "left").join(names.toDF("v", "vr"), "v", "left")
              .withColumns({"ur": F.coalesce("ur", "u"), "vr": F.coalesce("vr", "v")}).withColumn("minor", F.col("ur") != F.col("vr")))
-    named = cut(named.select("u", "v", "n", "delta", "prefix", "ur", "minor"), "near-dup-around")
+    named = cut(named.select("u", "v", "n", "delta", "prefix", "bits", "ur", "minor"), "near-dup-around")
     open_ = named.groupBy("v").agg(F.count_if("minor").alias("minors"), F.count(F.lit(1)).alias("all")).where("minors > 0 and `all` > 1")
     rows = (named.join(open_.select("v"), "v")
-            .select(F.col("v").alias("c"), "u", "n", "delta", "ur", "minor", F.posexplode("prefix").alias("pos", "e")))
-    i = rows.where("minor").select("c", "e", *[F.col(x).alias(f"i_{x}") for x in ("u", "n", "delta", "ur", "pos")])
-    j = rows.select("c", "e", *[F.col(x).alias(f"j_{x}") for x in ("u", "n", "delta", "ur", "pos", "minor")])
+            .select(F.col("v").alias("c"), "u", "n", "delta", "ur", "minor", "bits", F.posexplode("prefix").alias("pos", "e")))
+    own = ("u", "n", "delta", "ur", "pos", "minor", "bits")
+    i = rows.where("minor").select("c", "e", *[F.col(x).alias(f"i_{x}") for x in own])
+    j = rows.select("c", "e", *[F.col(x).alias(f"j_{x}") for x in own])
     t = F.lit((100 - percent) / (100 + percent)) * (F.col("i_n") + F.col("j_n"))
     share = F.greatest(F.lit(1), F.ceil((F.col("i_delta") + F.col("j_delta") - t) / 2 - 1e-9))
+    apart = sum((F.bit_count(F.col(f"i_bits.b{k}").bitwiseXOR(F.col(f"j_bits.b{k}"))) for k in range(_BITMAP)), F.lit(0))
     both = i.join(j, ["c", "e"]).where(
         (F.col("i_ur") != F.col("j_ur")) & (~F.col("j_minor") | (F.col("i_u") < F.col("j_u"))) & _alike("i_n", "j_n", percent)
-        & (F.col("i_pos") <= F.col("i_delta") - share) & (F.col("j_pos") <= F.col("j_delta") - share))
+        & (F.col("i_pos") <= F.col("i_delta") - share) & (F.col("j_pos") <= F.col("j_delta") - share) & (apart <= t))
     return both.select(F.col("i_u").alias("u"), F.col("j_u").alias("v")).distinct()
 
 
@@ -288,7 +303,7 @@ def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bands: in
     differ = F.concat(F.array_except("a", "b"), F.array_except("b", "a"))
     checked = (with_sets(pairs, docs, width, "near-dup-star", repeated)
                .select("u", "v", F.size("a").alias("n"), _linked(percent).alias("linked"), differ.alias("d"))
-               .select("u", "v", "n", "linked", F.size("d").alias("delta"), F.slice("d", 1, longest).alias("prefix")))
+               .select("u", "v", "n", "linked", F.size("d").alias("delta"), F.slice("d", 1, longest).alias("prefix"), bitmap("d").alias("bits")))
     checked = cut(checked, "near-dup-checked")
     groups = components(checked.where("linked").select("u", "v"))
     crossed = cut(leftovers(checked, groups, percent), "near-dup-crossed")

@@ -91,7 +91,9 @@ def test_leftovers_against_all_pairs(spark):
     for i, s in sets.items():
         d = sorted(s - c) + sorted(c - s)
         rows.append((i, 999, len(s), linked(s, c), len(d), d[: int(len(s) * (15 / 185 * (1 + 100 / 85))) + 2]))
-    checked = spark.createDataFrame(rows, "u long, v long, n int, linked boolean, delta int, prefix array<long>")
+        rows[-1] += (d,)
+    checked = spark.createDataFrame(rows, "u long, v long, n int, linked boolean, delta int, prefix array<long>, d array<long>")
+    checked = checked.withColumn("bits", N.bitmap("d")).drop("d")
     groups = N.components(checked.where("linked").select("u", "v"))
     root = {r.node: r.root for r in groups.collect()}
     got = {frozenset(map(int, r)) for r in N.leftovers(checked, groups, 85).collect()}
