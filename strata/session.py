@@ -89,7 +89,7 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     if spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) in (None, ""):
-        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
     # Streaming dedup keeps every key seen: keep that state in RocksDB (off-heap,
     # spills to local disk, checkpointed incrementally) unless the launcher chose a store.
     if not spark.sparkContext.getConf().contains(STATE_STORE_CONF):
