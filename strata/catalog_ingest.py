@@ -133,7 +133,7 @@ def q_schema_from_spec(spark, sf_dir):
                       "val", (F.col("tie") % 2 == 0).alias("flag"), (F.col("tie") % 7).cast("int").alias("bucket"))
     L.write_csv(spark, rows, f"{root}/landing", "changes", 0)
     assert [f.dataType.simpleString() for f in build_schema(spec).fields][:3] == ["bigint", "date", "bigint"]
-    return good_rows(read_source(spark, spec)).drop("_extra_fields", "_source_file")
+    return good_rows(read_source(spark, spec)).drop("_extra_fields", "_source_file", "_file_time")
 
 
 # --- S12: evolution -------------------------------------------------------------------------------------------
@@ -315,7 +315,7 @@ def q_upsert_by_key(spark, sf_dir):
     for d in (0, 1):
         checked = S.checked(b.filter(F.col("load_no") == d), S.TRANSACTIONS)
         valid = S.current_state(S.valid_rows(checked, S.TRANSACTIONS), S.TRANSACTIONS).drop("_seq")
-        U.upsert(spark, target, valid, ["transaction_id"], buckets=2, part=transaction_part(spark))
+        U.upsert(spark, target, valid, ["transaction_id"], buckets=1, part=transaction_part(spark))
     return U.read_keyed(spark, target).select(*L.TX_COLUMNS, "_source_file", "_record_hash")
 
 
@@ -427,7 +427,7 @@ def q_layer_counts(spark, sf_dir):
     for d in (0, 1):
         a.land(spark, sf_dir, "transactions", d)
     run_bronze(spark, [a.specs["transactions"]], a.layout, raise_on_failure=True)
-    run_silver(spark, a.layout, sources=("transactions",), buckets=2, raise_on_failure=True)
+    run_silver(spark, a.layout, sources=("transactions",), buckets=1, raise_on_failure=True)
     return stored_counts(spark, a.layout)
 
 
@@ -604,7 +604,7 @@ def q_registry_all_layers(spark, sf_dir):
     for d in (0, 1):
         a.land(spark, sf_dir, "transactions", d)
     run_bronze(spark, [a.specs["transactions"]], a.layout, raise_on_failure=True)
-    run_silver(spark, a.layout, sources=("transactions",), buckets=2, raise_on_failure=True)
+    run_silver(spark, a.layout, sources=("transactions",), buckets=1, raise_on_failure=True)
     names = register_layers(spark, a.layout)
     parts = [f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in names]
     return spark.sql(" UNION ALL ".join(parts))
@@ -691,8 +691,8 @@ def _medallion(spark, sf_dir, label: str, tx_runs=((0, 1),), **kw):
         run_id = O.new_run_id()
         runs.append(run_id)
         run_bronze(spark, list(a.specs.values()), a.layout, run_id, raise_on_failure=True, **kw)
-        run_silver(spark, a.layout, run_id, buckets=2, raise_on_failure=True, **kw)
-        store = run_gold(spark, a.layout, run_id, buckets=2, **kw)
+        run_silver(spark, a.layout, run_id, buckets=1, raise_on_failure=True, **kw)
+        store = run_gold(spark, a.layout, run_id, buckets=1, **kw)
     return a, runs, store
 
 
