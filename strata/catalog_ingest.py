@@ -315,7 +315,8 @@ def q_upsert_by_key(spark, sf_dir):
     for d in (0, 1):
         checked = S.checked(b.filter(F.col("load_no") == d), S.TRANSACTIONS)
         valid = S.current_state(S.valid_rows(checked, S.TRANSACTIONS), S.TRANSACTIONS).drop("_seq")
-        U.upsert(spark, target, valid, ["transaction_id"], buckets=1, part=transaction_part(spark))
+        # a year a part: as many parts as this feed has days would be one file for every few rows
+        U.upsert(spark, target, valid, ["transaction_id"], buckets=1, part=transaction_part(spark, digits=4))
     return U.read_keyed(spark, target).select(*L.TX_COLUMNS, "_source_file", "_record_hash")
 
 
