@@ -1,7 +1,7 @@
 """MinHash near-duplicate detection with SuperMinHash signatures.
 
 A text's set is its distinct five-word shingles (A-Z lowered, words between blanks).  Two texts are
-linked if ``100 * |intersection| >= 85 * |union|``.
+linked if ``100 * |intersection| >= percent * |union|``: 85 for the operator, 80 for the pipeline's stage.
 
 1. *Signatures.*  SuperMinHash: element ``e`` draws a random permutation of the registers one
    position after the other; at step ``j`` register ``p[j]`` is offered ``j + r`` with ``r`` uniform
@@ -10,7 +10,7 @@ linked if ``100 * |intersection| >= 85 * |union|``.
    it: steps stop early (one or two for usual texts).  Whole batches are processed step by step.
 2. *Classes.*  Texts with the same set are one class, named by its smallest id; only classes go on.
 3. *Banding.*  ``BANDS`` bands of ``ROWS`` registers.  A pair at similarity 0.85 shares no band with
-   probability (1 - 0.85^5)^25 < 5e-7.
+   probability (1 - 0.85^5)^25 < 5e-7, one at 0.80 with (1 - 0.80^5)^25 < 5e-5.
 4. *Candidates.*  Every class is compared on full sets with a centre of each of its buckets and linked
    classes are grouped.  Members around one centre that are still apart can only be linked if their
    differences to the centre overlap; a prefix filter on those differences (``leftovers``) finds all

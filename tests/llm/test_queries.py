@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline as P
+from strata.llm import near_dup
 from strata.llm.queries import ORACLES, QUERIES
 from tools.check import TABLES, canon
 
@@ -72,3 +73,14 @@ def test_pipeline_on_awkward_and_empty_tables(spark, messy, make_docs):
             out = stage(spark, docs, SF)
             assert out.count() <= docs.count()
             docs = out if name != "mix" else docs
+
+
+def test_near_dups_stage_takes_copies_from_four_fifths_on(spark, make_docs):
+    rows = []
+    for k in (8, 9, 10, 11, 12):  # 104 words, 100 shingles: the last k words differ, similarity (100 - k) / (100 + k)
+        words = [f"w{k}n{i}" for i in range(104)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:-k] + [f"x{w}" for w in words[-k:]]))]
+    docs = make_docs(rows)
+    kept = {r.doc_id for r in P.near_dups(spark, docs, SF).collect()}
+    assert kept == {16, 18, 20, 22, 24, 25}  # 0.85, 0.83, 0.82, 0.80 go; 0.79 stays
+    assert {r.doc_id for r in near_dup.near_duplicates(docs).collect() if not r.kept} == {17}  # operator 7: 0.85
