@@ -1,7 +1,8 @@
 """Line dedup by a log-template tree.
 
 Every line walks a tree of fixed depth: token count, then the leading tokens, then its template.
-Tokens that are variable by themselves (digits, addresses) are masked first.  At the bottom a line
+Tokens that are variable by themselves (digits, addresses) are masked first, unless the line has more of
+them than literal words: rows of figures hardly have a template, and only equal rows recur.  At the bottom a line
 belongs to the literal template of its masked tokens and, if it is long enough, to ``FIELDS`` templates
 in which one run of tokens behind the leading ones is a free field; two lines that differ only
 inside such a run share a template.  A template recurs if lines of different documents
@@ -38,6 +39,7 @@ _LAST = (1 << 63) - 1
 
 _VARIABLE = re.compile(rb"[0-9@]|://|^www\.")
 _ANY_VARIABLE = re.compile(rb"[0-9@]|://|www\.")
+_LETTER = re.compile(rb"[a-z\x80-\xff]")
 
 
 def _signed(b: bytes) -> int:
@@ -51,7 +53,11 @@ def templates(line: bytes) -> tuple[int, list[int]] | None:
     if n < MIN_TOKENS:
         return None
     if _ANY_VARIABLE.search(line):
-        tokens = [b"<*>" if _VARIABLE.search(t) else t for t in tokens]
+        masked = [b"<*>" if _VARIABLE.search(t) else t for t in tokens]
+        # tokens without a letter (rules, column bars) count for neither side
+        if sum(t == b"<*>" for t in masked) > sum(t != b"<*>" and _LETTER.search(t) is not None for t in masked):
+            return _signed(b" ".join(tokens)), []
+        tokens = masked
     fields = []
     if n >= MIN_FIELD_TOKENS:
         rest = n - LEADING

@@ -98,3 +98,15 @@ def test_clean_and_awkward_rows(messy, make_docs):
     assert left[3].text is None and left[4].text == "" and left[1].text == prose(EN, 1, 80) and left[1].n_chars == 1
     assert L.clean(make_docs([])).count() == 0
     assert L.dedup(make_docs([])).count() == 0
+
+
+def test_rows_of_different_figures_stay(make_docs):
+    first = "1 2 3 4 5 6\n| 10 | 20 | 30 | 40 |\nBolts 1.25 1.30 1.35 1.40 1.45\n7 8 9 10 11 12"
+    other = "12.5 13.6 14.2 15.1 16.0 17.9\n| 11 | 21 | 31 | 41 |\nBolts 2.25 2.30 2.35 2.40 2.45\n7  8 9 10 11 12"
+    long_rows = [" ".join(str(100 * d + (0 if i < 11 else d) + i) if i >= 11 else str(i) for i in range(14)) for d in (1, 2)]
+    docs = make_docs([(1, first), (2, other), (3, "21 22 23 24 25 26"), (4, long_rows[0]), (5, long_rows[1]),
+                      (6, "order 17 of alice was sent on 2024-01-05"), (7, "order 18 of alice was sent on 2024-02-06")])
+    got = {r.doc_id: (r.n_dropped, r.text) for r in L.dedup(docs).collect()}
+    assert got[1] == (0, first) and got[2] == (1, "\n".join(other.split("\n")[:3]))  # the equal row alone goes
+    assert [got[d][0] for d in (3, 4, 5, 6, 7)] == [0, 0, 0, 0, 1]
+    assert {r.doc_id for r in L.clean(docs).collect()} == {1, 2, 3, 4, 5, 6}
