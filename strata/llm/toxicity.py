@@ -20,6 +20,7 @@ empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -51,7 +52,7 @@ CHANNEL = {
     "#": [("", 2.0), ("h", 2.0)], ".": [("", 0.6)], "-": [("", 0.6)], "_": [("", 0.6)], "'": [("", 0.6)], " ": [("", 0.2)],
 }
 KEEP = 9.0         # a digit or symbol that is itself
-LONGEST = 32       # longer tokens are keys or addresses, not words
+LONGEST = 32       # longer tokens (repeats collapsed) are several words if joiners part them, else keys
 REPEATED = 0.8     # cost of reading a run of three or more as one or two letters
 
 _LEET = "0123456789@$!|+(<€£¥*#"
@@ -63,10 +64,17 @@ _SPACED = re.compile(r"(?<![^\W_])[^\W_@](?:[ ._*-]{1,2}[^\W_]){2,}(?![^\W_])")
 _RUN = re.compile(r"([^\W\d_])\1{2,}")
 _MIXED = re.compile(rf"[^\W\d_][{re.escape(_LEET)}_.-]+[^\W\d_]|(?<!\S)[0-9@$!|+][^\W\d_]|[^\W\d_](?:[0-9]{{1,2}}|[@$])(?!\S)")
 _MARK = re.compile(f"(?:{_MIXED.pattern})|(?:{_RUN.pattern})")
+_REPEAT = re.compile(r"(.)\1{2,}", re.DOTALL)
+_JOINER = re.compile(r"[._-]")
 _BLANK = re.compile(r"\s")
 _TAIL = re.compile(r"[!?.,;:*#%&$|<>+(-]+$")
-_KIND = np.array([1 if c >= 128 or chr(c).isalpha() else 2 if chr(c) in _LEET else 3 if chr(c) in "._-" else 4 for c in range(256)],
-                 dtype=np.uint8)
+_KIND = np.array([1 if c == 128 or chr(c).isalpha() else 2 if chr(c) in _LEET else 3 if chr(c) in "._-" else 4 for c in range(129)],
+                 dtype=np.uint8)  # 128: any other character
+_FAR_LEET = [ord(c) for c in _LEET if ord(c) >= 128]
+#: Cells between attempts to settle the beginning that all readings share.
+_SETTLE = 64
+#: Longer tokens are not remembered.
+_REMEMBER = 128
 
 
 class Decoder:
@@ -95,6 +103,8 @@ class Decoder:
         return cells
 
     def decode(self, token: str, breaks: bool = False) -> str:
+        if len(token) > _REMEMBER:
+            return self._decode(token, breaks)
         key = (token, breaks)
         if key not in self.cache:
             if len(self.cache) > 50_000:
@@ -105,7 +115,8 @@ class Decoder:
     def _decode(self, token: str, breaks: bool) -> str:
         start, logp = charlm.START * self.width, self.model.logp
         states: dict[str, tuple[float, str]] = {start: (0.0, "")}
-        for options in self.lattice(token):
+        settled: list[str] = []
+        for at, options in enumerate(self.lattice(token), 1):
             new: dict[str, tuple[float, str]] = {}
 
             def offer(state, cost, out):
@@ -122,8 +133,12 @@ class Decoder:
                     if breaks and piece and s != start:
                         offer(start, c - logp(s + charlm.END), o + " ")
             states = new
+            if at % _SETTLE == 0:  # what all readings begin with is final: the cost stays linear in the length
+                shared = os.path.commonprefix([o for _, o in states.values()])
+                settled.append(shared)
+                states = {s: (c, o[len(shared):]) for s, (c, o) in states.items()}
         best = min(((c - (logp(s + charlm.END) if s != start else 0.0), o) for s, (c, o) in states.items()))
-        return best[1].strip()
+        return "".join([*settled, best[1]]).strip()
 
 
 def restore(raw_text: bytes, decoder: Decoder) -> tuple[str, int]:
@@ -137,7 +152,7 @@ def restore(raw_text: bytes, decoder: Decoder) -> tuple[str, int]:
     def spaced(m: re.Match) -> str:
         nonlocal changed
         found = re.sub(r"[ ._*-]+", "", m.group())
-        if len(set(found)) < 3 or found.isdigit() or len(found) > 4 * LONGEST:
+        if len(set(found)) < 3 or found.isdigit():
             return m.group()
         changed += 1
         return decoder.decode(found, True)
@@ -146,11 +161,14 @@ def restore(raw_text: bytes, decoder: Decoder) -> tuple[str, int]:
         nonlocal changed
         whole = m.group(1)
         core = _TAIL.sub("", whole)
-        if not core or len(core) > LONGEST or "@" in core and "." in core.split("@", 1)[1]:
+        if not core or "@" in core and "." in core.split("@", 1)[1]:
             return m.group()
         if not _MIXED.search(core) and not _RUN.search(core):
             return m.group()
-        out = decoder.decode(core)
+        long = len(core) > LONGEST and len(_REPEAT.sub(r"\1\1", core)) > LONGEST
+        if long and not _JOINER.search(core):
+            return m.group()
+        out = decoder.decode(core, long)
         if out == core:
             return m.group()
         changed += 1
@@ -158,7 +176,7 @@ def restore(raw_text: bytes, decoder: Decoder) -> tuple[str, int]:
 
     if suspects & 1:
         text = _SPACED.sub(spaced, text)
-    if suspects & 2:
+    if suspects & 2 or changed:  # a decoded run may keep a digit
         parts, done = [], 0
         for m in _MARK.finditer(text):
             if m.start() < done:
@@ -174,31 +192,41 @@ def restore(raw_text: bytes, decoder: Decoder) -> tuple[str, int]:
     return text, changed
 
 
-def suspicious(text: bytes) -> int:
-    """Which passes a text needs (1: spaced letters, 2: mixed tokens or runs), from its bytes alone.
+def suspicious(raw_text: bytes) -> int:
+    """Which passes a text needs (1: spaced letters, 2: mixed tokens or runs), from its characters alone.
 
-    May call for a pass in vain, but never misses one for ASCII letters; of other letters it sees mixed
-    tokens and runs.
+    May call for a pass in vain, but never misses one: what is no ASCII may be a letter or not.
     """
-    b = np.frombuffer(text.lower(), dtype=np.uint8)
-    if len(b) < 3:
+    if raw_text.isascii():
+        code = np.frombuffer(raw_text.lower(), dtype=np.uint8)
+        kind = _KIND[code]  # 1 letter, 2 leet, 3 joiner, 4 anything else
+    else:
+        code = np.frombuffer(raw_text.decode("utf-8", "replace").lower().encode("utf-32-le"), dtype=np.uint32)
+        kind = _KIND[np.minimum(code, 128)]
+        kind[np.isin(code, _FAR_LEET)] = 2
+    if len(code) < 2:
         return 0
-    kind = _KIND[b]  # 1 letter, 2 leet, 3 joiner, 4 anything else
-    letter = kind == 1
+    letter, leet = kind == 1, kind == 2
     out = 0
-    run = (b[2:] == b[1:-1]) & (b[1:-1] == b[:-2]) & letter[2:]
-    if bool(run.any()):
+    if (bool(((code[2:] == code[1:-1]) & (code[1:-1] == code[:-2]) & letter[2:]).any())
+            or bool((leet[1:] & letter[:-1]).any()) or bool((leet[:-1] & letter[1:]).any())):
         out = 2
-    elif len(b) >= 6 and bool(((b[4:] == b[2:-2]) & (b[2:-2] == b[:-4]) & (b[4:] >= 0xC3)).any()):
-        out = 2
-    else:
-        leet, inner = kind == 2, (kind == 2) | (kind == 3)
-        if (bool((leet[1:] & letter[:-1]).any()) or bool((leet[:-1] & letter[1:]).any())
-                or bool((inner[1:-1] & letter[:-2] & letter[2:]).any())):
+    else:  # letters on both sides of a run of joiners and leet
+        outer = np.nonzero((kind == 1) | (kind == 4))[0]
+        apart = outer[1:] - outer[:-1] > 1
+        if bool((apart & letter[outer[1:]] & letter[outer[:-1]]).any()):
             out = 2
-    at = np.nonzero(letter[1:-1] & ~letter[:-2] & ~letter[2:])[0]
-    if len(at) >= 2 and bool((at[1:] - at[:-1] <= 3).any()):
-        out |= 1
+    far = code >= 128
+    digit = (code >= 48) & (code <= 57)
+    alnum = letter | digit
+    # characters that may stand alone, and the one or two separators between three of them
+    edge = np.concatenate([[True], ~alnum | far, [True]])
+    at = np.nonzero((alnum | far) & edge[:-2] & edge[2:])[0]
+    if len(at) >= 3:
+        gap = at[1:] - at[:-1]
+        near = (gap == 2) | (gap == 3)
+        if bool((near[1:] & near[:-1]).any()):
+            out |= 1
     return out
 
 

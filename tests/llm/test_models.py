@@ -177,3 +177,33 @@ def test_toxicity_awkward_rows(messy, make_docs, toxic_model, tables):
     assert toxicity.score(make_docs([]), toxic_model).count() == 0
     untaught = toxicity.fit(messy, tables[1].limit(0))
     assert {r.score for r in toxicity.score(messy, untaught).collect()} == {0.0}
+
+
+@pytest.mark.parametrize("hidden,plain", [("st..upid", "stupid"), ("id--iot", "idiot"), ("1 d 1 0 t", "idiot"), ("st" + "u" * 40 + "pid", "stupid")])
+def test_restores_what_hardly_shows(toxic_model, hidden, plain):
+    d = toxicity.Decoder(toxic_model.lm)
+    got, n = toxicity.restore(f"the {hidden} and".encode(), d)
+    assert n == 1 and got.split()[1].rstrip("s") == plain.rstrip("s")
+
+
+def test_restores_runs_of_any_length(toxic_model, monkeypatch):
+    d = toxicity.Decoder(toxic_model.lm)
+    hidden = " ".join("stupididiotmoronloser" * 10)  # 210 letters
+    got, n = toxicity.restore(f"the , {hidden}".encode(), d)
+    assert n == 1 and sum(w in ("stupid", "idiot", "moron", "loser") for w in got.split()) >= 20  # how words are parted is the model's guess
+    phrase = "stupid-m0ron-and-a-stupid-1d10t-and-l0ser"
+    assert {"moron", "idiot", "loser"} <= set(toxicity.restore(phrase.encode(), d)[0].split())
+    monkeypatch.setattr(toxicity, "_SETTLE", 10 ** 9)
+    assert toxicity.restore(f"the , {hidden}".encode(), toxicity.Decoder(toxic_model.lm)) == (got, n)
+
+
+def test_gate_misses_nothing(toxic_model, monkeypatch):
+    rng = np.random.default_rng(11)
+    chars = list("   aabbst1050..--__**!@$'(,\néſ€哈哈Kſ٣—")
+    texts = ["".join(rng.choice(chars, rng.integers(1, 14))) for _ in range(6000)]
+    d = toxicity.Decoder(toxic_model.lm)
+    gated = [toxicity.restore(t.encode(), d) for t in texts]
+    assert sum(n for _, n in gated) > 500
+    assert any(not toxicity.suspicious(t.encode()) for t in texts)
+    monkeypatch.setattr(toxicity, "suspicious", lambda raw: 3)
+    assert [toxicity.restore(t.encode(), d) for t in texts] == gated
