@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, langid, licenses, line_templates, mixing, near_dup, quality_rank, quality_rules, site_style, toxicity
+from strata.llm import decontaminate, filter_audit, langid, licenses, line_templates, mixing, near_dup, quality_rank, quality_rules, site_style, toxicity
 from strata.llm.common import crc_mod, read
 
 
@@ -64,6 +64,10 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_style.main_text(read(spark, sf_dir, "pages"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_source_mixing": op2_source_mixing,
@@ -75,6 +79,7 @@ QUERIES = {
     "op8_quality_rank": op8_quality_rank,
     "op9_toxicity": op9_toxicity,
     "op10_main_text": op10_main_text,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
@@ -82,4 +87,5 @@ ORACLES: dict[str, str] = {
     "op2_source_mixing": mixing.oracle(),
     "op3_quality_rules": quality_rules.oracle(),
     "op5_line_templates": line_templates.oracle(),
+    "op11_filter_audit": filter_audit.oracle(),
 }
