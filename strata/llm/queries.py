@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, filter_audit, langid, licenses, line_templates, mixing, near_dup, quality_rank, quality_rules, site_style, toxicity
+from strata.llm import decontaminate, filter_audit, langid, licenses, line_templates, mixing, near_dup, prefix_trie, quality_rank, quality_rules, simhash, site_style, toxicity
 from strata.llm.common import crc_mod, read
 
 
@@ -68,6 +68,14 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read(spark, sf_dir, "conversations"))
+
+
+def op13_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_source_mixing": op2_source_mixing,
@@ -80,6 +88,8 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_main_text": op10_main_text,
     "op11_filter_audit": op11_filter_audit,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_simhash_bktree": op13_simhash_bktree,
 }
 
 ORACLES: dict[str, str] = {
@@ -88,4 +98,5 @@ ORACLES: dict[str, str] = {
     "op3_quality_rules": quality_rules.oracle(),
     "op5_line_templates": line_templates.oracle(),
     "op11_filter_audit": filter_audit.oracle(),
+    "op12_prefix_trie": prefix_trie.oracle(),
 }
