@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.catalog import enriched, tx_valid
+from strata.operators import changes as C
 from strata.operators import upsert as U
 from strata.operators.dedup import record_hash
 from strata.plans import gold as G
@@ -353,6 +354,30 @@ def q_scd2_intervals(spark, sf_dir):
         "key", "sequence_ts", "tie", "op", "attr", "val", "_valid_from", "_valid_to", "_is_current")
 
 
+# --- K19: change frames ----------------------------------------------------------------------------------------
+
+def q_upsert_change_feed(spark, sf_dir):
+    """What each of two drops changed in the keyed transactions; the second is replayed and counts once."""
+    target = f"{fresh_dir(spark, 'change-feed')}/silver/transactions"
+    b = bronze(spark, sf_dir, "tx_raw")
+    for d in (0, 1, 1):
+        checked = S.checked(b.filter(F.col("load_no") == d), S.TRANSACTIONS)
+        valid = S.current_state(S.valid_rows(checked, S.TRANSACTIONS), S.TRANSACTIONS).drop("_seq")
+        U.upsert(spark, target, valid, ["transaction_id"], buckets=1, part=transaction_part(spark, digits=4), batch_id=d, changes=True)
+    return C.read_changes(spark, target).select(
+        F.col(C.CHANGE).alias("change"), F.col(C.VERSION).cast("int").alias("version"), *L.TX_COLUMNS)
+
+
+def q_scd1_change_feed(spark, sf_dir):
+    """Changes with deletes, odd ones first; late older changes change nothing, tombstones take rows away."""
+    target = f"{fresh_dir(spark, 'scd1-feed')}/t"
+    cdc = _cdc(spark, sf_dir)
+    for part in (1, 0, 0):
+        U.scd1_apply(spark, target, cdc.filter(F.col("tie") % 2 == part), ["key"], _cdc_seq(), buckets=16, batch_id=part, changes=True)
+    return C.read_changes(spark, target).select(
+        F.col(C.CHANGE).alias("change"), F.col(C.VERSION).cast("int").alias("version"), "key", "sequence_ts", "tie", "op", "attr", "val")
+
+
 # --- Q8: repair -------------------------------------------------------------------------------------------------
 
 def q_repair_bad_users(spark, sf_dir):
@@ -719,7 +744,58 @@ def q_medallion_events(spark, sf_dir):
         number.alias("run_no"), "layer", "source_name", "status", "records_processed", "records_failed")
 
 
+def _incremental(spark, sf_dir, label: str):
+    """Three runs of all layers; gold follows changes alone.  Merchants and users change after their transactions came."""
+    from strata.plans.incremental import run_gold_incremental
+    from strata.plans.jobs import PART_CONF, run_bronze, run_silver
+    a = Area(spark, label)
+    spark.conf.set(PART_CONF, "4")  # parts are sized to the table: a year of this feed; stored with the tables
+    for drops in ({"merchants": 0, "users": 0, "transactions": 0}, {"merchants": 1, "transactions": 1}, {"merchants": 2, "users": 1}):
+        for source, drop in drops.items():
+            a.land(spark, sf_dir, source, drop)
+        run_bronze(spark, list(a.specs.values()), a.layout, raise_on_failure=True)
+        run_silver(spark, a.layout, buckets=1, raise_on_failure=True, changes=("merchants", "users"))
+        run_gold_incremental(spark, a.layout, buckets=4)
+    spark.conf.unset(PART_CONF)
+    return a
+
+
+def q_gold_dimension_refresh(spark, sf_dir):
+    """After late dimension drops the wide table equals one built from the final dimensions."""
+    from strata.plans.jobs import read_wide
+    a = _incremental(spark, sf_dir, "dimension-refresh")
+    return read_wide(spark, a.layout).drop(*E2E_DROPPED)
+
+
+#: Columns of the marts that no run decides.
+MART_COLUMNS = {
+    "fact_transactions": [c for c in G.FACT_COLUMNS if c not in ("_source_file", "_ingested_at", "_processed_at", "_load_date")],
+    "dim_merchant": ["merchant_id", "merchant_name", "category", "country", "affiliation_date", "affiliation_status", "risk_level"],
+    "dim_user": ["user_id", "full_name", "document_id", "email", "phone", "country", "risk_segment", "preferred_channel", "registration_date"],
+    "dim_channel": ["channel_id", "channel_code", "channel_name", "channel_group"],
+    "dim_date": ["date_key", "calendar_date", "day_of_month", "week_of_year", "month", "month_name", "quarter", "year"],
+}
+
+
+def q_marts_incremental(spark, sf_dir):
+    """K8 / A3-A5 / M5-M9: the five marts after three incremental runs, one text per row."""
+    from functools import reduce
+
+    from strata.plans.incremental import mart
+    a = _incremental(spark, sf_dir, "marts-incremental")
+
+    def flat(name: str, columns: list[str]) -> DataFrame:
+        exact = {"amount": "decimal(18,2)", "reverse_rate": "decimal(4,2)"}
+        values = [F.coalesce((F.col(c).cast(exact[c]) if c in exact else F.col(c)).cast("string"), F.lit("-")) for c in columns]
+        return mart(spark, a.layout, name).select(F.lit(name).alias("mart"), F.concat_ws("|", *values).alias("row"))
+    return reduce(DataFrame.unionByName, [flat(n, c) for n, c in MART_COLUMNS.items()])
+
+
 QUERIES = {
+    "upsert_change_feed": q_upsert_change_feed,
+    "scd1_change_feed": q_scd1_change_feed,
+    "gold_dimension_refresh": q_gold_dimension_refresh,
+    "marts_incremental": q_marts_incremental,
     "medallion_end_to_end": q_medallion_end_to_end,
     "medallion_small_batches": q_medallion_small_batches,
     "medallion_events": q_medallion_events,

@@ -5,9 +5,12 @@ key (the day inside a transaction id, say; ``all`` if the key has none), ``_buck
 inside it.  Keys, bucket count and part expression are stored with the table in ``_keyed.json`` and win
 over what a caller passes, so a changed session setting cannot split a key's home in two.
 
-A batch rewrites the partitions it touches and no others: it finds them (a list bounded by the number
-of partitions), reads them with partition pruning, merges, and writes them back with dynamic partition
-overwrite.  With a day in the key a one-day batch rewrites one day.
+A batch rewrites the partitions it touches and no others: it finds them, reads them (pruned by a list of up
+to ``LISTED`` partitions, joined on the stored partition columns beyond that), merges, and writes them back with
+dynamic partition overwrite.  With a day in the key a one-day batch rewrites one day.
+
+With ``changes=True`` (stored with the table) every batch leaves its row-level differences in
+``<target>_changes`` before the table is written (K19, ``operators/changes.py``).
 
 Rows whose key or sequence holds a NULL have no home.  They are kept beside the table in
 ``<target>_unkeyed`` (``unkeyed()`` reads them), one folder per batch id, so a replay replaces its own.
@@ -22,13 +25,14 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from contextlib import contextmanager
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators import changes as C
 from strata.operators.dedup import latest_by
 from strata.session import fresh_dir
 from strata.sources.stored import delete_path, path_exists, read_stored, read_text, remember_schema, write_text
@@ -38,6 +42,8 @@ DELETE = "DELETE"
 META_FILE = "_keyed.json"
 #: Buckets inside one part of a new table; size them to part bytes / ~1 GB.
 DEFAULT_BUCKETS = 64
+#: Touched partitions that are listed on the driver to prune a read (two short values each).
+LISTED = 10_000
 BUCKETS_CONF = "strata.keyed.buckets"
 
 
@@ -52,6 +58,7 @@ class Home:
     keys: list[str]
     buckets: int
     part: str | None = None  # SQL over the key columns
+    changes: bool = False    # keeps a change feed
 
 
 def default_buckets(spark: SparkSession) -> int:
@@ -63,14 +70,14 @@ def stored_home(spark: SparkSession, target: str) -> Home | None:
     return Home(**json.loads(text)) if text else None
 
 
-def home_of(spark: SparkSession, target: str, keys: Sequence[str], buckets: int, part: str | None) -> Home:
-    """The stored layout, or the given one, stored now."""
+def home_of(spark: SparkSession, target: str, keys: Sequence[str], buckets: int, part: str | None, changes: bool = False) -> Home:
+    """The stored layout, or the given one, stored now.  A table begins to keep changes when it is first asked to."""
     home = stored_home(spark, target)
-    if home is None:
-        home = Home(list(keys), int(buckets), part)
-        write_text(spark, f"{target}/{META_FILE}", json.dumps(asdict(home)))
-    elif home.keys != list(keys):
+    if home is not None and home.keys != list(keys):
         raise KeyedTableError(f"{target} is keyed by {home.keys}, not by {list(keys)}")
+    if home is None or changes and not home.changes:
+        home = replace(home, changes=True) if home else Home(list(keys), int(buckets), part, changes)
+        write_text(spark, f"{target}/{META_FILE}", json.dumps(asdict(home)))
     return home
 
 
@@ -128,19 +135,23 @@ def held(df: DataFrame, hold: bool = True):
         kept.unpersist()
 
 
-def touched(batch: DataFrame) -> list[tuple[str, int]]:
-    """Distinct (part, bucket) pairs of a batch: at most as many as the table has partitions."""
-    return sorted((r[0], r[1]) for r in batch.select(PART, BUCKET).distinct().collect())
+def touched(batch: DataFrame) -> list[tuple[str, int]] | DataFrame:
+    """Distinct (part, bucket) pairs of a batch: a list, or the frame itself if there are more than ``LISTED``."""
+    pairs = batch.select(PART, BUCKET).distinct()
+    listed = pairs.limit(LISTED + 1).collect()
+    return sorted((r[0], r[1]) for r in listed) if len(listed) <= LISTED else pairs
 
 
-def read_keyed(spark: SparkSession, path: str, pairs: list[tuple[str, int]] | None = None) -> DataFrame:
-    """The table, or the given partitions of it (pruned by part and bucket, then exactly)."""
+def read_keyed(spark: SparkSession, path: str, pairs: list[tuple[str, int]] | DataFrame | None = None) -> DataFrame:
+    """The table, or the given partitions of it (a list prunes by part and bucket, then exactly; a frame is joined)."""
     df = read_stored(spark, path)
     if pairs is None:
         return df
+    if isinstance(pairs, DataFrame):
+        return df.join(pairs, [PART, BUCKET], "left_semi")
     exact = spark.createDataFrame(pairs, f"{PART} string, {BUCKET} int")
     return (df.where(F.col(PART).isin(sorted({p for p, _ in pairs})) & F.col(BUCKET).isin(sorted({b for _, b in pairs})))
-            .join(F.broadcast(exact), [PART, BUCKET], "left_semi"))  # one short row per touched partition
+            .join(F.broadcast(exact), [PART, BUCKET], "left_semi"))  # at most LISTED short rows
 
 
 def _exists(spark: SparkSession, target: str) -> bool:
@@ -148,10 +159,12 @@ def _exists(spark: SparkSession, target: str) -> bool:
 
 
 def _merge(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[str], required: Sequence[str], combine,
-           buckets: int, part: str | None, hold: bool, batch_id, keep_unkeyed: bool = False) -> None:
+           buckets: int, part: str | None, hold: bool, batch_id, keep_unkeyed: bool = False, changes: bool = False) -> None:
     """Split off rows without a home, then replace the touched partitions by ``combine(current or None, incoming)``."""
     existed = _exists(spark, target)
-    home = home_of(spark, target, keys, buckets, part)
+    home = home_of(spark, target, keys, buckets, part, changes)
+    if home.changes:
+        batch = C.with_hash(batch)
     with held(batch, hold) as batch:
         ok = _whole(batch, required)
         homeless = batch.where(~ok)
@@ -161,19 +174,31 @@ def _merge(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[st
             else:
                 _set_aside(homeless, target, batch_id)
         incoming = housed(batch.where(ok), home)
+        pairs = touched(incoming) if existed else None
+        if home.changes and not C.recorded(spark, target, batch_id):
+            _record(spark, target, combine, incoming, keys, pairs, batch_id)
         if not existed:
             _write_parts(spark, combine(None, incoming), target)
-            return
-        pairs = touched(incoming)
-        if pairs:
+        elif pairs:
             _write_parts(spark, combine(read_keyed(spark, target, pairs), incoming), target)
 
 
+def _record(spark: SparkSession, target: str, combine, incoming: DataFrame, keys: Sequence[str], pairs, batch_id) -> None:
+    """What the merge is going to change: the stored rows of the batch's keys against what becomes of them."""
+    before = None
+    if pairs:
+        mine = incoming.select(PART, BUCKET, *keys).distinct()
+        before = C.with_hash(read_keyed(spark, target, pairs).join(mine, [PART, BUCKET, *keys], "left_semi"))
+    changed = C.difference(before, combine(before, incoming), keys, hidden=(PART, BUCKET))
+    C.record(spark, target, changed, batch_id)
+
+
 def upsert(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[str], buckets: int = DEFAULT_BUCKETS,
-           hold: bool = True, part: str | None = None, batch_id="manual") -> None:
+           hold: bool = True, part: str | None = None, batch_id="manual", changes: bool = False) -> None:
     """MERGE by key - matched rows are replaced whole, new keys inserted.
 
-    ``batch`` must hold at most one row per key (deduplicate first).
+    ``batch`` must hold at most one row per key (deduplicate first).  ``changes`` keeps a change feed; batch ids
+    must then tell batches apart.
     """
     def combine(current, incoming):
         if current is None:
@@ -181,12 +206,12 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[st
         kept = current.join(incoming.select(*keys), list(keys), "left_anti")
         return kept.unionByName(incoming, allowMissingColumns=True)
 
-    _merge(spark, target, batch, keys, keys, combine, buckets, part, hold, batch_id)
+    _merge(spark, target, batch, keys, keys, combine, buckets, part, hold, batch_id, changes=changes)
 
 
 def keep_one(spark: SparkSession, target: str, rows: DataFrame, keys: Sequence[str], seq: Column, newest: bool = True,
              buckets: int = DEFAULT_BUCKETS, hold: bool = True, part: str | None = None, batch_id="manual",
-             keep_unkeyed: bool = False) -> None:
+             keep_unkeyed: bool = False, changes: bool = False) -> None:
     """T4: one row per key over all batches - the newest (or oldest) by ``seq``, whatever order they arrive in.
 
     ``keep_unkeyed`` leaves rows without a key in the table (all of them) instead of beside it.
@@ -197,11 +222,12 @@ def keep_one(spark: SparkSession, target: str, rows: DataFrame, keys: Sequence[s
         both = incoming if current is None else current.unionByName(incoming, allowMissingColumns=True)
         return latest_by(both, keys, [order], null_keys=False)
 
-    _merge(spark, target, rows.withColumn(SEQ, seq), keys, [*keys, SEQ], combine, buckets, part, hold, batch_id, keep_unkeyed)
+    _merge(spark, target, rows.withColumn(SEQ, seq), keys, [*keys, SEQ], combine, buckets, part, hold, batch_id, keep_unkeyed, changes)
 
 
-def scd1_apply(spark: SparkSession, target: str, changes: DataFrame, keys: Sequence[str], seq: Column,
-               buckets: int = DEFAULT_BUCKETS, hold: bool = True, part: str | None = None, batch_id="manual") -> None:
+def scd1_apply(spark: SparkSession, target: str, rows: DataFrame, keys: Sequence[str], seq: Column,
+               buckets: int = DEFAULT_BUCKETS, hold: bool = True, part: str | None = None, batch_id="manual",
+               changes: bool = False) -> None:
     """SCD type 1 from a change feed, robust to out-of-order arrival.
 
     Each stored row keeps its sequence value (``_seq``); a change is applied only if its sequence is
@@ -209,15 +235,15 @@ def scd1_apply(spark: SparkSession, target: str, changes: DataFrame, keys: Seque
     (``_op = 'DELETE'``) are stored as tombstones so a late older upsert cannot resurrect the key;
     readers use :func:`scd1_current`.
     """
-    if OP not in changes.columns:
-        changes = changes.withColumn(OP, F.lit("UPSERT"))
-    keep_one(spark, target, changes, keys, seq, True, buckets, hold, part, batch_id)
+    if OP not in rows.columns:
+        rows = rows.withColumn(OP, F.lit("UPSERT"))
+    keep_one(spark, target, rows, keys, seq, True, buckets, hold, part, batch_id, changes=changes)
 
 
 def scd1_current(spark: SparkSession, target: str) -> DataFrame:
     """Reader view of an SCD1 table: live rows only, control columns hidden."""
     df = read_keyed(spark, target)
-    return df.filter(F.col(OP) != DELETE).drop(SEQ, OP, BUCKET, PART)
+    return df.filter(F.col(OP) != DELETE).drop(SEQ, OP, BUCKET, PART, C.HASH)
 
 
 def next_in_order(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str],
