@@ -239,8 +239,9 @@ def star(classes: DataFrame) -> DataFrame:
     to what they are copies of.
     """
     entries = classes.select("node", F.explode("bands").alias("key"))
-    buckets = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = cut(entries.join(buckets, "key"), "near-dup-members")
+    # keys that one class holds alone, nearly all of them, go before anything is joined or sorted
+    buckets = cut(entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-dup-buckets")
+    members = cut(entries.join(bounded_broadcast(buckets, buckets.count()), "key"), "near-dup-members")
     popular = members.groupBy("node").agg(F.sum("size").alias("pop"))
     centres = members.join(popular, "node").groupBy("key").agg(
         F.max(F.struct("pop", (-F.col("node")).alias("node"))).alias("c")).select("key", (-F.col("c.node")).alias("v"))
