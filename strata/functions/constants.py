@@ -93,6 +93,8 @@ DEFAULT_DELIMITERS = {"csv": ",", "txt": "|"}
 # Amount text: characters removed.
 AMOUNT_DROP_CHARS = r"[^0-9.,]"
 SIGNED_AMOUNT_DROP_CHARS = r"[^0-9,.\-]"
+# Amounts with commas: shape, and what a comma stands for.
+AMOUNT_COMMA_SHAPES = [(r"^\d{1,3}(,\d{3})+(\.\d+)?$", ""), (r"^\d+,\d{1,2}$", ".")]
 # --- end of fixed values ----------------------------------------------------
 
 # Messages of the merchant / user rules (our own additions, not reference values).

@@ -127,23 +127,29 @@ def user_rules() -> list[Rule]:
 _VERDICT = ("_rejected", "rejection_reason", "rejected_field", "quality_errors")
 
 
+def once(df: DataFrame, *extra: Column) -> DataFrame:
+    """The frame and ``extra`` columns as a generated row.
+
+    A filter on plain projected columns is pushed below the projection, where every expression that it needs is
+    evaluated a second time.  No filter passes a generator, so what lies below is evaluated once per row.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns], *extra))))
+
+
 def with_verdict(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Flag, first reason, offending field and error array.
 
-    Each rule predicate is evaluated once into a flag column; the four
-    outputs are derived from the flags (small plan, no repeated evaluation).
+    All rules go into one bit mask, evaluated once per row together with the cleaners below it (``once``); the four outputs
+    are read off the mask.
     """
-    names = [f"_rule_{i}" for i in range(len(rules))]
-    original = [F.col(f"`{c}`") for c in df.columns if c not in _VERDICT]
-    flagged = df.withColumns({n: r.fails() for n, r in zip(names, rules)})
-    flags = [F.col(n) for n in names]
-    rejected = F.lit(False)
-    for f in flags:
-        rejected = rejected | f
+    mask, cleaned = "_failed_rules", df.select(*[F.col(f"`{c}`") for c in df.columns if c not in _VERDICT])
+    bits = sum((F.when(r.fails(), F.lit(1 << i)).otherwise(F.lit(0)) for i, r in enumerate(rules)), F.lit(0))
+    flagged = once(cleaned, bits.cast("long").alias(mask))
+    failed = [F.getbit(mask, F.lit(i)) == 1 for i in range(len(rules))]
     return flagged.select(
-        *original,
-        rejected.alias("_rejected"),
-        F.coalesce(*[F.when(f, r.message) for f, r in zip(flags, rules)]).alias("rejection_reason"),
-        F.coalesce(*[F.when(f, F.lit(r.field)) for f, r in zip(flags, rules)]).alias("rejected_field"),
-        F.array_compact(F.array(*[F.when(f, r.message) for f, r in zip(flags, rules)])).alias("quality_errors"),
+        *[F.col(f"`{c}`") for c in cleaned.columns],
+        (F.col(mask) != 0).alias("_rejected"),
+        F.coalesce(*[F.when(f, r.message) for f, r in zip(failed, rules)]).alias("rejection_reason"),
+        F.coalesce(*[F.when(f, F.lit(r.field)) for f, r in zip(failed, rules)]).alias("rejected_field"),
+        F.array_compact(F.array(*[F.when(f, r.message) for f, r in zip(failed, rules)])).alias("quality_errors"),
     )

@@ -20,37 +20,21 @@ def _schema(cols, types=None) -> list[dict]:
     return [{"column_name": c, "data_type": types.get(c, "string")} for c in cols]
 
 
-def source_specs_json(landing: str, **overrides) -> str:
-    """The three reference sources as a spec file (JSON text), pointed at ``landing``.
+#: The names of the three sources, their files and keys.  All else is a default of ``SourceSpec``.
+SOURCES = {
+    "transactions": {"file_format": "csv", "file_pattern": "transactions_*.csv", "primary_key": ["transaction_id"],
+                     "table_properties": {"quality": "bronze"}, "schema": _schema(TX_COLUMNS)},
+    "merchants": {"file_format": "json", "file_pattern": "*.json", "multiline": True, "primary_key": ["merchant_id"],
+                  "schema": _schema(MER_COLUMNS)},
+    "users": {"file_format": "txt", "file_pattern": "users_*.txt", "delimiter": "|", "primary_key": ["user_id"],
+              "schema": _schema(USR_COLUMNS)},
+}
 
-    ``overrides`` maps source name -> dict of fields to replace.
-    """
-    base = [
-        {"source_name": "transactions", "source_path": f"{landing}/transactions",
-         "file_pattern": "transactions_*.csv", "file_format": "csv", "delimiter": ",",
-         "encoding": "UTF-8", "header": True, "multiline": False, "enable_observability": True,
-         "primary_key": ["transaction_id"], "deduplication_mode": "none", "write_mode": "append",
-         "target_schema": "bronze", "target_table": "transactions", "schema_version": 1,
-         "schema_evolution_mode": "merge", "infer_column_types": False, "active": True,
-         "table_properties": {"quality": "bronze"}, "schema": _schema(TX_COLUMNS)},
-        {"source_name": "merchants", "source_path": f"{landing}/merchants",
-         "file_pattern": "*.json", "file_format": "json", "delimiter": None, "encoding": "UTF-8",
-         "header": None, "multiline": True, "enable_observability": True,
-         "primary_key": ["merchant_id"], "deduplication_mode": "none", "write_mode": "append",
-         "target_schema": "bronze", "target_table": "merchants", "schema_version": 1,
-         "schema_evolution_mode": "merge", "infer_column_types": False, "active": True,
-         "schema": _schema(MER_COLUMNS)},
-        {"source_name": "users", "source_path": f"{landing}/users",
-         "file_pattern": "users_*.txt", "file_format": "txt", "delimiter": "|", "encoding": "UTF-8",
-         "header": True, "multiline": False, "enable_observability": True,
-         "primary_key": ["user_id"], "deduplication_mode": "none", "write_mode": "append",
-         "target_schema": "bronze", "target_table": "users", "schema_version": 1,
-         "schema_evolution_mode": "merge", "infer_column_types": False, "active": True,
-         "schema": _schema(USR_COLUMNS)},
-    ]
-    for src in base:
-        src.update(overrides.get(src["source_name"], {}))
-    return json.dumps({"ingestion_archetypes": base})
+
+def source_specs_json(landing: str, **overrides) -> str:
+    """The sources as a spec file (JSON text), pointed at ``landing``; ``overrides`` maps source name to fields to replace."""
+    return json.dumps([{"source_name": name, "source_path": f"{landing}/{name}", "active": True, **fields, **overrides.get(name, {})}
+                       for name, fields in SOURCES.items()])
 
 
 def source_specs(landing: str, **overrides) -> dict[str, SourceSpec]:

@@ -76,7 +76,33 @@ SELECT user_id AS key, ts AS sequence_ts, event_id AS tie, CASE WHEN event_type
   CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_type END AS attr, CAST(value AS DECIMAL(18,2)) AS val FROM {events}
 """
 
+# Deliveries of events in three drops (ten days each).  Some come a drop late, some twice in their drop, some again in the next
+# drop with a time twelve days on.
+EV_RAW = """
+WITH b AS (SELECT event_id, user_id, event_type, CAST(value AS DECIMAL(18,2)) AS amount, ts,
+  CASE WHEN day(ts) <= 10 THEN 0 WHEN day(ts) <= 20 THEN 1 ELSE 2 END AS d FROM {events})
+SELECT event_id, user_id, event_type, amount, ts, d + CASE WHEN event_id % 40 = 7 AND d < 2 THEN 1 ELSE 0 END AS load_no FROM b
+UNION ALL SELECT event_id, user_id, event_type, amount, ts, d FROM b WHERE event_id % 25 = 3 AND event_id % 40 <> 7
+UNION ALL SELECT event_id, user_id, event_type, amount, ts + INTERVAL '12' DAY, d + 1 FROM b WHERE event_id % 35 = 4 AND event_id % 40 <> 7 AND d < 2
+"""
+
+# Payments and reversals that refer to them some days later (to none that exists, or too late, now and then).
+PAY_RAW = """
+SELECT o_orderkey AS payment_id, o_custkey AS payer, CAST(o_totalprice AS DECIMAL(18,2)) AS paid, CAST(o_orderdate AS TIMESTAMP) AS paid_at,
+  CASE WHEN CAST(o_orderdate AS TIMESTAMP) < TIMESTAMP '1998-01-01 00:00:00' THEN 0 ELSE 1 END + CASE WHEN o_orderkey % 90 = 34 AND CAST(o_orderdate AS TIMESTAMP) < TIMESTAMP '1997-01-01 00:00:00' THEN 1 ELSE 0 END AS load_no
+FROM {orders}
+"""
+REV_RAW = """
+SELECT o_orderkey * 10 AS reversal_id, CASE WHEN o_orderkey % 70 = 4 THEN -o_orderkey ELSE o_orderkey END AS reference_id,
+  CAST(o_orderdate AS TIMESTAMP) + INTERVAL '6' HOUR + INTERVAL '1' DAY * CAST(o_orderkey % 9 AS INT) AS reversed_at,
+  CASE WHEN CAST(o_orderdate AS TIMESTAMP) < TIMESTAMP '1998-01-01 00:00:00' THEN 0 ELSE 1 END AS load_no
+FROM {orders} WHERE o_orderkey % 10 = 4
+"""
+
 FIXTURES = {
+    "ev_raw": (EV_RAW, ("events",)),
+    "pay_raw": (PAY_RAW, ("orders",)),
+    "rev_raw": (REV_RAW, ("orders",)),
     "tx_raw": (TX_RAW, ("orders",)),
     "mer_raw": (MER_RAW, ("supplier",)),
     "usr_raw": (USR_RAW, ("customer",)),

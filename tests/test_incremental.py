@@ -1,7 +1,6 @@
 """Counted states, refreshed dimensions and marts that follow changes."""
 
 import random
-
 from datetime import date, datetime
 from pathlib import Path
 

@@ -49,3 +49,18 @@ def test_scans_prune_columns(spark):
     plan = executed(spark, "scd1_users")
     scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
     assert scans and all("c_custkey" in s and "c_acctbal" not in s for s in scans)
+
+
+def test_cleaners_and_rules_are_evaluated_once_per_row(spark):
+    """The filter on the verdict must not pull a second copy of the cleaners, nor of the rules, below it."""
+    before = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan, cleaning = (executed(spark, k).split("+- == Initial Plan ==")[0] for k in ("quality_valid", "clean_transactions"))
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+    for once in ("regexp_replace", "gettimestamp"):
+        assert plan.count(once) == cleaning.count(once) > 0, once
+    rules = 3  # shapes of transaction, user and merchant ids; each of the two branches of the feed's union shows them
+    assert plan.count("RLIKE") - cleaning.count("RLIKE") in (rules, 2 * rules)
+    assert "Generate inline" in plan
