@@ -1,22 +1,25 @@
 """Main text of web pages by a site style tree.
 
-1. *Merge.*  Pages of one host are merged by element path (tags with their class, id and role).  For
-   each path the tree counts how often each presentation (sequence of child elements) and each
-   content (text of the branch) occurs over the host's pages.
-2. *Importance.*  The normalised entropy of those counts: 0 if every page shows the same, 1 if every
-   page differs.  A path's importance is mostly its content's, partly its presentation's.
-3. *Remove.*  From each page go branches of low importance (the same on nearly all of at least
-   ``MIN_PAGES`` pages), branches that are never main text whatever their entropy (menus, footers,
-   forms, adverts, comments, hidden parts: elements and class words below), and everything outside
-   ``article`` or ``main`` where a page has one.
-
-Running text directly in the article is never removed for being repeated: pages may be copies of
-one another.  The counts are pre-aggregated per task; a host's tree is a set of grouped rows and
-never one task's work, and only the paths to remove travel back to the pages.
+1. *Merge.*  Pages of one host are merged element by element.  A style node is an element path (tags with
+   their class or id); a content node is a style node with the text of its branch, so siblings of one path
+   stay apart by what they hold.  For each the tree counts the host's pages that show it.
+2. *Importance.*  Of a content node: the information of meeting it on a page of the host, ``-log2`` of the share of pages
+   that hold it, at most 1 (0 if every page does, 1 from every second page down).  Of its style node: the normalised entropy of
+   its presentations (sequences of child elements).  A branch's importance is mostly its content's.
+3. *Remove.*  From each page go branches of low importance (on nearly all of at least ``MIN_PAGES`` pages), with or without
+   classes, and whatever their element.  Elements and class words that are never main text (menus, footers, forms, adverts,
+   comments, hidden parts: the lists below) go first, as a prior; where a page has ``article`` or ``main``, what lies outside goes.
+
+Plain running text inside ``article`` or ``main`` is never removed for being repeated: pages may be copies of
+one another.  Parsing is linear in the page: open elements are found by position, paths are hashes over the
+parent's, and a branch's content is a range of the page's blocks under one prefix hash.  Counts are
+pre-aggregated per task; a host's tree is a set of grouped rows and never one task's work, and only the nodes to remove
+travel back to the pages.
 
 Defined results: NULL or empty html gives an empty text; a page whose URL has no host belongs to no
 site and loses nothing to step 2; text without any tag is one block; if the removals leave a page
-without article nothing, only the element rules apply; repeated rows are extracted each on its own;
+without article nothing, only the element rules apply; very long
+pages are parsed whole in linear time; repeated rows are extracted each on its own;
 an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -24,6 +27,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
@@ -31,11 +35,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from strata.llm.common import bounded_broadcast, cut, per_batch, small_batches
+from strata.llm.common import BROADCAST_ROWS, bounded_broadcast, cut, per_batch, small_batches
 
 MIN_PAGES = 5
 LOW = 0.15
 CONTENT_SHARE = 0.9
+#: The smallest share of a host's pages at which a content node can be of low importance.
+MIN_SHARE = 2 ** (-LOW / CONTENT_SHARE)
+#: Bytes of rules (ids of nodes, hosts) that may be broadcast.
+BROADCAST_BYTES = 16 << 20
 
 #: Elements that end a block of text.
 BLOCKS = frozenset(
@@ -80,13 +88,29 @@ _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
           "option": {"select"}, "p": {"td", "th", "li", "article", "main", "section", "div", "blockquote", "button"}}
 
 
+_M64 = (1 << 64) - 1
+_STEP = 0x9E3779B97F4A7C15
+#: Tags that an opening tag closes, by the opening tag.
+_CLOSERS: dict[str, tuple[str, ...]] = {}
+for _open, _by in _CLOSES.items():
+    for _t in _by:
+        _CLOSERS[_t] = (*_CLOSERS.get(_t, ()), _open)
+#: Elements beyond which an opening tag closes nothing.
+_WALLS = tuple(sorted({*_SCOPE["p"], "table", "ul", "ol", "dl", "select", "body"}))
+
+
 class Element:
-    __slots__ = ("tag", "path", "kind", "main", "children", "texts", "depth_main")
+    """An element of a page.  Its branch holds the blocks ``first .. last`` of the page."""
 
-    def __init__(self, tag: str, path: str, kind: int, main: bool):
-        self.tag, self.path, self.kind, self.main = tag, path, kind, main
+    __slots__ = ("tag", "plain", "parent", "path", "kind", "main", "owner", "children", "first", "last", "gone")
+
+    def __init__(self, tag: str, name: str, parent: "Element | None", kind: int, main: bool, first: int):
+        self.tag, self.plain, self.parent, self.kind, self.main = tag, "." not in name and "#" not in name, parent, kind, main
+        self.path = xxhash.xxh3_64_intdigest(f"{parent.path if parent else 0}/{name}")
+        self.owner = self if tag in BLOCKS or parent is None else parent.owner  # the block that text in it belongs to
         self.children: list[str] = []
-        self.texts: list[str] = []
+        self.first = self.last = first
+        self.gone = False
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -107,13 +131,14 @@ def _name(tag: str, attrs: dict[str, str]) -> tuple[str, set[str], bool]:
 
 
 def parse(page: str) -> tuple[list[tuple[str, Element]], list[Element], bool]:
-    """(text blocks with their element, elements, whether the page has an article or main element).
+    """(text blocks with their element, elements in page order, whether the page has an article or main element).
 
     ``kind`` of an element is the strongest removal that holds for its branch: 0 none, 1 by class
     word, 2 by element.
     """
-    root = Element("", "", 0, False)
+    root = Element("", "", None, 0, False, 0)
     stack, elements = [root], [root]
+    places: dict[str, list[int]] = {}  # where the stack holds a tag
     blocks: list[tuple[str, Element]] = []
     run: list[str] = []
     has_main = False
@@ -122,8 +147,8 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], list[Element], bool]:
         if run:
             text = " ".join("".join(run).split())
             if text:
-                owner = next(e for e in reversed(stack) if e.tag in BLOCKS or not e.tag)
-                blocks.append((text, owner if owner.kind >= stack[-1].kind else stack[-1]))
+                top = stack[-1]
+                blocks.append((text, top.owner if top.owner.kind >= top.kind else top))
             run.clear()
 
     def say(piece: str) -> None:
@@ -132,6 +157,15 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], list[Element], bool]:
             if top.kind < 2 or top.tag not in OPAQUE:
                 run.append(html.unescape(piece) if "&" in piece else piece)
 
+    def last(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+    def cut_stack(i: int) -> None:
+        for e in stack[i:]:
+            e.last = len(blocks)
+            places[e.tag].pop()
+        del stack[i:]
+
     at, end = 0, len(page)
     while at < end:
         m = _TAG.search(page, at)
@@ -150,24 +184,18 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], list[Element], bool]:
         if closing:
             if block or tag in DROPPED:
                 flush()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    if any(x.tag in BLOCKS or x.tag in DROPPED for x in stack[i:]):
-                        flush()
-                    del stack[i:]
-                    break
-                if stack[i].tag in _SCOPE.get(tag, ()):
-                    break
+            i = last((tag,))
+            if i and i >= last(_SCOPE.get(tag, ())):
+                if any(x.tag in BLOCKS or x.tag in DROPPED for x in stack[i:]):
+                    flush()
+                cut_stack(i)
             continue
         if block or tag in DROPPED:
             flush()
-        for i in range(len(stack) - 1, 0, -1):
+        while (i := last(_CLOSERS.get(tag, ()))) and i >= last(_WALLS):
             t = stack[i].tag
-            if t in _CLOSES and tag in _CLOSES[t]:
-                del stack[i:]
-                if t not in ("td", "th", "tr"):
-                    break
-            elif t in _SCOPE.get("p", ()) or t in ("table", "ul", "ol", "dl", "select", "body"):
+            cut_stack(i)
+            if t not in ("td", "th", "tr"):
                 break
         top = stack[-1]
         top.children.append(tag)
@@ -186,55 +214,53 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], list[Element], bool]:
             kind = max(kind, 1)
         main = top.main or (is_main and kind == 0)
         has_main = has_main or main
-        e = Element(tag, f"{top.path}/{name}", kind, main)
+        e = Element(tag, name, top, kind, main, len(blocks))
         elements.append(e)
         if tag in OPAQUE:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             at = close.end() if close else end
             continue
+        places.setdefault(tag, []).append(len(stack))
         stack.append(e)
     flush()
+    for e in stack:
+        e.last = len(blocks)
     return blocks, elements, has_main
 
 
-def branches(path: str) -> list[str]:
-    """The path and everything above it."""
-    parts = path.split("/")[1:]
-    return ["/" + "/".join(parts[:i]) for i in range(1, len(parts) + 1)]
-
-
-def _prunable(path: str) -> bool:
-    """Branches that the style tree may remove: containers, and running text with a class of its own."""
-    last = path.rsplit("/", 1)[-1]
-    return last.split(".")[0] not in RUNNING or "." in last
-
-
-def style_rows(page: str) -> list[tuple[str, int, int]]:
-    """(path, presentation, content) of every prunable branch of a page."""
-    blocks, elements, _ = parse(page)
-    content: dict[str, list[str]] = {}
-    shape: dict[str, list[str]] = {}
+def content_nodes(blocks: list[tuple[str, Element]], elements: list[Element]) -> Iterator[tuple[Element, int]]:
+    """(element, content node) of every branch with text that the tree may judge."""
+    prefix, power = [0], [1]
+    for text, _ in blocks:
+        prefix.append((prefix[-1] * _STEP + xxhash.xxh3_64_intdigest(text)) & _M64)
+        power.append(power[-1] * _STEP & _M64)
     for e in elements:
-        if e.path and e.kind < 2 and (e.tag in BLOCKS or e.tag == "section") and _prunable(e.path):
-            shape.setdefault(e.path, []).append(",".join(e.children))
-    for text, e in blocks:
-        for p in branches(e.path):
-            if p in shape:
-                content.setdefault(p, []).append(text)
-    signed = lambda x: xxhash.xxh3_64_intdigest("\n".join(x)) - (1 << 63)
-    return [(p, signed(s), signed(content.get(p, []))) for p, s in shape.items()]
-
-
-def extract(page: str, low: frozenset[str] = frozenset()) -> str:
-    """Main text of a page; ``low`` are the host's paths of low importance."""
-    blocks, _, has_main = parse(page)
+        if e.last == e.first or e.kind == 2 or not (e.tag in BLOCKS or e.tag == "section") or e.tag in ("html", "body", "head"):
+            continue
+        if e.main and (e.tag in ("article", "main") or e.tag in RUNNING and e.plain):
+            continue
+        content = (prefix[e.last] - prefix[e.first] * power[e.last - e.first]) & _M64
+        yield e, xxhash.xxh3_64_intdigest(f"{e.path}:{content}") - (1 << 63)
 
-    def pruned(e: Element) -> bool:
-        return bool(low) and any(p in low for p in branches(e.path))
 
+def style_rows(page: str) -> set[tuple[int, int, int]]:
+    """Distinct (style node, presentation, content node) of a page."""
+    blocks, elements, _ = parse(page)
+    return {(e.path - (1 << 63), xxhash.xxh3_64_intdigest(",".join(e.children)) - (1 << 63), node)
+            for e, node in content_nodes(blocks, elements)}
+
+
+def extract(page: str, low: frozenset[int] = frozenset()) -> str:
+    """Main text of a page; ``low`` are the host's content nodes of low importance."""
+    blocks, elements, has_main = parse(page)
+    if low:
+        for e, node in content_nodes(blocks, elements):
+            e.gone = node in low
+        for e in elements[1:]:  # parents come first
+            e.gone = e.gone or e.parent.gone
     if has_main:
-        return "\n".join(t for t, e in blocks if e.main and e.kind == 0 and not pruned(e))
-    kept = [t for t, e in blocks if e.kind == 0 and not pruned(e)]
+        return "\n".join(t for t, e in blocks if e.main and e.kind == 0 and not e.gone)
+    kept = [t for t, e in blocks if e.kind == 0 and not e.gone]
     return "\n".join(kept or [t for t, e in blocks if e.kind < 2])
 
 
@@ -245,37 +271,43 @@ def host(url: str) -> Column:
 
 
 def importance(pages: DataFrame) -> DataFrame:
-    """The style tree: ``host, path, n_pages, presentation, content, importance``."""
+    """The style tree's repeated nodes: ``host, path, node, n_pages, shown, presentation, content, importance``."""
     small_batches(pages.sparkSession)
 
     def make():
-        row = pa.struct([("path", pa.string()), ("style", pa.int64()), ("content", pa.int64())])
+        row = pa.struct([("path", pa.int64()), ("style", pa.int64()), ("node", pa.int64())])
         return lambda texts: pa.array(
-            [[{"path": p, "style": s, "content": c} for p, s, c in style_rows(t.decode("utf-8", "replace"))] for t in texts],
+            [[{"path": p, "style": s, "node": c} for p, s, c in style_rows(t.decode("utf-8", "replace"))] for t in texts],
             type=pa.list_(row))
 
-    udf = per_batch(make, "array<struct<path:string,style:bigint,content:bigint>>")
-    rows = (pages.select(host("url").alias("host"), F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("raw"))
-            .where(F.col("host").isNotNull()).select("host", F.explode(udf("raw")).alias("b"))
-            .select("host", "b.path", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("b.style").alias("value")),
-                                                        F.struct(F.lit(1).alias("kind"), F.col("b.content").alias("value")))).alias("k"))
-            .groupBy("host", "path", "k.kind", "k.value").agg(F.count(F.lit(1)).alias("c")))
+    udf = per_batch(make, "array<struct<path:bigint,style:bigint,node:bigint>>")
+    sited = pages.select(host("url").alias("host"), F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("raw")).where(F.col("host").isNotNull())
+    seen = cut(sited.select("host", F.explode(udf("raw")).alias("b")).select("host", "b.*")
+               .groupBy("host", "path", "style", "node").agg(F.count(F.lit(1)).alias("c")), "style-nodes")
+    styles = seen.groupBy("host", "path", "style").agg(F.sum("c").alias("c"))
     m = F.sum("c")
-    entropy = F.when(m > 1, (F.log(m) - F.sum(F.col("c") * F.log("c")) / m) / F.log(m)).otherwise(1.0)
-    per = rows.groupBy("host", "path", "kind").agg(m.alias("n"), entropy.alias("h"))
-    tree = per.groupBy("host", "path").agg(F.max("n").alias("n_pages"), F.max(F.when(F.col("kind") == 0, F.col("h"))).alias("presentation"),
-                                           F.max(F.when(F.col("kind") == 1, F.col("h"))).alias("content"))
-    return tree.withColumn("importance", (1 - CONTENT_SHARE) * F.col("presentation") + CONTENT_SHARE * F.col("content"))
+    entropy = F.when(m > 1, (F.log(m) - F.sum(F.col("c") * F.log("c")) / m) / F.log(m)).otherwise(0.0)
+    styles = styles.groupBy("host", "path").agg(entropy.alias("presentation"))
+    sites = pages.select(host("url").alias("host")).where(F.col("host").isNotNull()).groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
+    # nodes that most pages lack go before anything is joined
+    nodes = seen.groupBy("host", "path", "node").agg(F.sum("c").alias("shown")).where(F.col("shown") >= MIN_PAGES * MIN_SHARE)
+    common = nodes.join(sites.where(F.col("n_pages") >= MIN_PAGES), "host").where(F.col("shown") >= F.col("n_pages") * MIN_SHARE)
+    content = F.least(F.lit(1.0), F.greatest(F.lit(0.0), -F.log2(F.col("shown") / F.col("n_pages"))))
+    return (common.join(styles, ["host", "path"]).withColumn("content", content)
+            .withColumn("importance", (1 - CONTENT_SHARE) * F.col("presentation") + CONTENT_SHARE * F.col("content")))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """One row per page: ``page_id, url, text, n_chars``."""
     small_batches(pages.sparkSession)
-    low = importance(pages).where((F.col("n_pages") >= MIN_PAGES) & (F.col("importance") < LOW))
-    rules = cut(low.groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("low")), "style-rules")
+    low = importance(pages).where(F.col("importance") < LOW)
+    rules = cut(low.groupBy("host").agg(F.array_sort(F.collect_set("node")).alias("low")), "style-rules")
+    hosts, nodes = rules.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("low")), F.lit(0))).first()
+    small = 100 * hosts + 8 * nodes <= BROADCAST_BYTES
     h, mine = "_host", pages.select("page_id", "url", F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("raw"))
     joined = (mine.withColumn(h, host("url"))
-              .join(bounded_broadcast(rules.withColumnRenamed("host", "_site"), rules.count()), F.col(h) == F.col("_site"), "left"))
+              .join(bounded_broadcast(rules.withColumnRenamed("host", "_site"), 0 if small else BROADCAST_ROWS + 1),
+                    F.col(h) == F.col("_site"), "left"))
 
     @arrow_udf("string")
     def text(raw: pa.Array, low: pa.Array) -> pa.Array:
