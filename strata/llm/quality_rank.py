@@ -25,10 +25,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import crc_mod, per_batch, raw, small_batches
+from strata.llm.common import crc_mod, fresh, per_batch, raw, small_batches
 from strata.llm.quality_rules import measure
 
 LABEL_ROWS = 20_000
@@ -136,12 +136,23 @@ def _vectors(text_col: str) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, limit: int = LABEL_ROWS) -> DataFrame:
-    """(id, y, text) of at most ``limit`` labelled training documents, the smallest by a hash of the id."""
+    """(id, y, text) of at most ``limit`` labelled training documents, the smallest by a hash of the id.
+
+    One row per id and label: of rows that repeat an id, the text with the smallest hash.
+    """
     y = (labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y"))
          .where(F.col("_id").isNotNull() & F.col("_y").isNotNull()).where(train)
-         .orderBy(F.xxhash64(F.col("_id"), F.lit(_SEED)), "_id", "_y").limit(limit))
-    return (docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-            .join(F.broadcast(y), "_id"))  # at most ``limit`` rows of two numbers
+         .distinct().orderBy(F.xxhash64(F.col("_id"), F.lit(_SEED)), "_id", "_y").limit(limit))
+    found = (docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+             .join(F.broadcast(y), "_id"))  # at most ``limit`` rows of two numbers
+    return one_of_each(found, ["_id", "_y"], "_text")
+
+
+def one_of_each(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """One row per key, the same one in every run; a task hands on at most one row of a key."""
+    order = Window.partitionBy(*keys).orderBy(F.xxhash64(text), text)
+    n = fresh(df, "_nth")
+    return df.withColumn(n, F.row_number().over(order)).where(F.col(n) == 1).drop(n)
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, limit: int = LABEL_ROWS) -> Model:

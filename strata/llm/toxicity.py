@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import charlm
-from strata.llm.common import crc_mod, per_batch, raw, small_batches
+from strata.llm.common import crc_mod, cut, per_batch, raw, small_batches
 from strata.llm.quality_rank import labelled_sample, newton
 
 ORDER = 4
@@ -56,10 +56,9 @@ LONGEST = 32       # longer tokens (repeats collapsed) are several words if join
 REPEATED = 0.8     # cost of reading a run of three or more as one or two letters
 
 _LEET = "0123456789@$!|+(<€£¥*#"
+# possessive: a token is read once, whatever follows it
 _SUSPECT = re.compile(
-    r"(?<!\S)[\"'\[{]?("
-    rf"(?:[^\W\d_]|[{re.escape(_LEET)}'_.-])*[^\W\d_](?:[^\W\d_]|[{re.escape(_LEET)}'_.-])*"
-    r")(?=[\"'\]})?,;:%&]*(?!\S))")
+    rf"(?<!\S)[\"'\[{{]?((?=[{re.escape(_LEET)}'_.-]*+[^\W\d_])(?:[^\W\d_]|[{re.escape(_LEET)}'_.-])++)(?=[\"'\]}})?,;:%&]*+(?!\S))")
 _SPACED = re.compile(r"(?<![^\W_])[^\W_@](?:[ ._*-]{1,2}[^\W_]){2,}(?![^\W_])")
 _RUN = re.compile(r"([^\W\d_])\1{2,}")
 _MIXED = re.compile(rf"[^\W\d_][{re.escape(_LEET)}_.-]+[^\W\d_]|(?<!\S)[0-9@$!|+][^\W\d_]|[^\W\d_](?:[0-9]{{1,2}}|[@$])(?!\S)")
@@ -152,7 +151,7 @@ def restore(raw_text: bytes, decoder: Decoder) -> tuple[str, int]:
     def spaced(m: re.Match) -> str:
         nonlocal changed
         found = re.sub(r"[ ._*-]+", "", m.group())
-        if len(set(found)) < 3 or found.isdigit():
+        if len(set(found)) < 2 or found.isdigit():
             return m.group()
         changed += 1
         return decoder.decode(found, True)
@@ -313,8 +312,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, limit:
     small_batches(spark)
     lm = learn_lm(docs)
     train = (crc_mod("_id", 5) != 0) if train is None else train
-    sample = labelled_sample(docs, labels, "toxic", train, limit).select(
-        "_id", "_y", raw("_text").alias("raw"), (F.pmod(F.xxhash64(F.col("_id"), F.lit(3)), F.lit(2)) == 0).alias("_lex"))
+    sample = cut(labelled_sample(docs, labels, "toxic", train, limit).select(
+        "_id", "_y", raw("_text").alias("raw"), (F.pmod(F.xxhash64(F.col("_id"), F.lit(3)), F.lit(2)) == 0).alias("_lex")), "toxicity-sample")
     sizes = {(r[0], r[1]): r[2] for r in sample.groupBy("_lex", (F.col("_y") == 1)).count().collect()}
     if not all(sizes.get((half, y)) for half in (True, False) for y in (True, False)):
         return Model(lm, {}, None)

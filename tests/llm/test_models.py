@@ -207,3 +207,24 @@ def test_gate_misses_nothing(toxic_model, monkeypatch):
     assert any(not toxicity.suspicious(t.encode()) for t in texts)
     monkeypatch.setattr(toxicity, "suspicious", lambda raw: 3)
     assert [toxicity.restore(t.encode(), d) for t in texts] == gated
+
+
+def test_a_repeated_id_stays_within_the_label_sample(spark, make_docs):
+    """The bound of the sample holds for rows, whatever repeats an id or a label."""
+    from strata.llm import quality_rank as R
+    docs = make_docs([(1, f"text {i % 50}") for i in range(20_000)] + [(2, "other"), (3, None)])
+    labels = spark.createDataFrame([(1, 1), (1, 0), (1, 1), (2, 1), (3, 0), (None, 1)], "doc_id long, quality int")
+    rows = R.labelled_sample(docs, labels, "quality", F.lit(True), 10).collect()
+    assert sorted((r._id, r._y) for r in rows) == [(1, 0), (1, 1), (2, 1), (3, 0)]
+    assert rows == R.labelled_sample(docs.repartition(7), labels, "quality", F.lit(True), 10).collect() or sorted(rows, key=repr) == sorted(
+        R.labelled_sample(docs.repartition(7), labels, "quality", F.lit(True), 10).collect(), key=repr)
+
+
+def test_one_token_without_blanks_costs_in_proportion():
+    import time
+
+    from strata.llm import toxicity as X
+    began = time.time()
+    for token in ("a1" * 100_000 + "€x/", "x" * 200_000 + "/", "ab.c" * 50_000 + "/=", "1" * 200_000):
+        assert X._SUSPECT.search(token) is None
+    assert X._SUSPECT.search('say "id1ot"!, ok').group(1) and time.time() - began < 3
