@@ -17,8 +17,8 @@ Everything is DataFrame work: one scan of the texts (word counts), then narrow r
 
 Defined results: NULL and empty texts have size 0 and take 0; a NULL source is a source of its own,
 last in order; a source of size 0 has target 0; rows that repeat an id count each on their own; an
-empty table gives an empty result; extra columns are ignored.  The draw depends on id, size and seed
-only, so reruns and other partitionings agree.
+empty table gives an empty result; extra columns are ignored.  The draw depends on id, text and seed
+only, so reruns and other partitionings agree, and rows without an id or with one id are dealt to shards by their texts.
 """
 
 from __future__ import annotations
@@ -102,7 +102,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.0,
         shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
     """One row per document: ``doc_id, source, size, source_size, target, shard, taken``."""
     sized = cut(docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words("text").alias("size"),
-                            draw(F.lit(seed), F.col("doc_id")).alias("draw")), "mix-sizes")
+                            draw(F.lit(seed), F.col("doc_id"), F.md5(F.coalesce("text", F.lit("")))).alias("draw")), "mix-sizes")
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap)
     blocks = F.floor(F.sum("target").over(Window.partitionBy(F.lit(0))) / block + 0.5).cast("long")
     sources = apportion(sources.withColumn("blocks", blocks), [], "target", "blocks", ["rank"], "quota")
@@ -137,7 +137,7 @@ def oracle(docs: str = "documents", block: int = BLOCK, shard_words: int = SHARD
     return f"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         {bits.format(f"'{seed}|' || coalesce(doc_id::VARCHAR, '-')")} AS draw
+         {bits.format(f"'{seed}|' || coalesce(doc_id::VARCHAR, '-') || '|' || md5(coalesce(text, ''))")} AS draw
   FROM {docs}),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source),

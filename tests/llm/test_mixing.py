@@ -78,3 +78,10 @@ def test_shuffle_path_gives_the_same(make_docs, monkeypatch):
     want = sorted(mixing.mix(docs).collect())
     monkeypatch.setattr(mixing, "bounded_broadcast", lambda df, rows, limit=0: df)
     assert sorted(mixing.mix(docs).collect()) == want
+
+
+def test_rows_without_ids_are_dealt_to_many_shards(make_docs):
+    docs = make_docs([(None, f"word{i} " * 20, None, "hot", None) for i in range(400)] + [(5, f"again{i} " * 20, None, "hot", None) for i in range(400)])
+    got = mixing.mix(docs, block=8, shard_words=500).collect()
+    for i in (None, 5):
+        assert len({r.shard for r in got if r.doc_id == i}) > 10
