@@ -149,3 +149,21 @@ def test_upsert_one_row_per_key_after_replayed_drops(spark, sf_small):
     t = U.read_keyed(spark, target)
     assert t.count() == t.select("transaction_id").distinct().count()
     assert t.filter(F.col("transaction_id").isNull()).count() == 0
+
+
+def test_events_of_a_repeated_run_replace_its_own(spark, tmp_path):
+    import datetime as dt
+
+    from strata.plans import observe as O
+    path, day = str(tmp_path / "log"), dt.datetime(2024, 1, 1)
+
+    def events(layer, sources, run="r1", at=day, status="SUCCESS"):
+        return O.event_rows([{"source_name": s, "status": status, "records": n} for n, s in enumerate(sources)], run, layer, now=at)
+    O.append_events(spark, events("bronze", ["a", "b"], status="FAILED"), path)
+    O.append_events(spark, events("silver", ["a"]), path)
+    O.append_events(spark, events("bronze", ["a"], run="r2"), path)
+    O.append_events(spark, events("bronze", ["b", "c"], at=day + dt.timedelta(days=1)), path)  # the run is repeated the next day
+    O.append_events(spark, [], path)
+    got = sorted((r.pipeline_run_id, r.layer, r.source_name, r.status, r.event_date) for r in O.read_events(spark, path).collect())
+    assert got == [("r1", "bronze", "a", "FAILED", day.date()), ("r1", "bronze", "b", "SUCCESS", day.date()), ("r1", "bronze", "c", "SUCCESS", day.date()),
+                   ("r1", "silver", "a", "SUCCESS", day.date()), ("r2", "bronze", "a", "SUCCESS", day.date())]
