@@ -53,6 +53,21 @@ def test_contract_columns(spark, prefix):
     assert df.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
 
 
+MORE = {
+    "op11_": {"part": "string", "filter_order": "string", "step": "int", "kept": "bigint", "removed": "bigint", "redundant": "bigint",
+              "unique_fails": "bigint", "good_lost": "bigint", "toxic_lost": "bigint", "shapley": "bigint"},
+    "op12_": {"conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint", "n_children": "bigint", "n_leaves": "bigint",
+              "saved_tokens": "bigint", "ends_sha256": "string"},
+    "op13_": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
+}
+
+
+@pytest.mark.parametrize("prefix", sorted(MORE))
+def test_contract_columns_of_the_others(spark, prefix):
+    df = QUERIES[next(n for n in QUERIES if n.startswith(prefix))](spark, SF)
+    assert dict(df.dtypes).items() >= MORE[prefix].items()
+
+
 def test_pipeline_stages(spark, make_docs):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     n, before = docs.count(), docs
