@@ -1,8 +1,12 @@
 """Interpolated Kneser-Ney character language models.
 
 Counting runs in Spark over whole texts (Python sums inside each task, one shuffle of distinct
-n-grams).  What is collected for a model is a table of distinct n-grams inside words, bounded by
-``max_grams`` per model (the most frequent ones); the counts themselves cover every text.
+n-grams), and so does the fit: continuation counts, context totals, discounts and probabilities of
+every n-gram are aggregations and joins keyed by n-gram (``fit_tables``).  No n-gram is dropped.
+
+A fitted model is used in one of two ways, with equal results: up to ``LOCAL_ENTRIES`` entries its
+tables are collected and travel to the tasks; a larger one stays a table, and the n-grams that are
+to be scored are joined with it (``resolve``).
 """
 
 from __future__ import annotations
@@ -22,6 +26,12 @@ from strata.llm.common import cut
 START, END = "\x02", "\x03"
 LETTERS = re.compile(r"[^\W\d_]+")
 
+#: Entries (probabilities and back-off weights of all orders and models) that may travel to the tasks: some
+#: 100 MB as dictionaries there.
+LOCAL_ENTRIES = 500_000
+#: Cells (n-grams x models) of the arrays that may travel to the tasks: 64 MB.
+LOCAL_CELLS = 16_000_000
+
 #: A task's running word counts are spelled out into n-grams when they hold this many distinct words.
 _FLUSH = 400_000
 
@@ -64,28 +74,70 @@ def count_grams(texts: DataFrame, order: int) -> DataFrame:
     return cut(partial.groupBy("model", "gram").agg(F.sum("n").alias("n")), "char-grams")
 
 
-def collect_grams(counts: DataFrame, max_grams: int) -> dict[str, list[tuple[str, int]]]:
-    """The most frequent n-grams of each model, at most ``max_grams`` (whole classes of about equal counts), for the driver."""
-    size = F.floor(F.log2("n") * 8).cast("int")
-    classes: dict[str, list[tuple[int, int]]] = defaultdict(list)
-    for r in counts.groupBy("model", size.alias("size")).count().collect():  # at most 8 * 64 rows a model
-        classes[r[0]].append((r[1], r[2]))
-    least = {}
-    for model, sizes in classes.items():
-        total, least[model] = 0, None
-        for s, c in sorted(sizes, reverse=True):
-            total += c
-            if total > max_grams:
-                break
-            least[model] = s
-    keep = F.lit(False)
-    for model, s in least.items():
-        if s is not None:
-            keep = keep | ((F.col("model") == model) & (size >= s))
-    out: dict[str, list[tuple[str, int]]] = defaultdict(list)
-    for r in counts.where(keep).select("model", "gram", "n").collect():
-        out[r[0]].append((r[1], r[2]))
-    return {m: sorted(v) for m, v in sorted(out.items())}
+@dataclass
+class Fitted:
+    """Models of every n-gram as tables, by order: ``probs`` (model, gram, value) and ``backs`` (model, gram, value)."""
+
+    order: int
+    names: list[str]
+    floor: float
+    probs: dict[int, DataFrame]
+    backs: dict[int, DataFrame]
+    n_entries: int
+    n_grams: dict[str, int]  # of the highest order, by model
+
+    def fits(self, entries: int = LOCAL_ENTRIES) -> bool:
+        """Whether the tables may be collected."""
+        return self.n_entries <= entries and self.n_entries * len(self.names) <= LOCAL_CELLS
+
+
+def fit_tables(counts: DataFrame, order: int) -> Fitted:
+    """Interpolated Kneser-Ney over all counted n-grams ``(model, gram, n)``; only one row a model and order is collected."""
+    levels = {order: counts}
+    for k in range(order - 1, 0, -1):
+        # continuation counts: in how many different left contexts a shorter n-gram stands
+        levels[k] = cut(levels[k + 1].groupBy("model", F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("n")), f"char-level-{k}")
+    stats = {k: {r[0]: r[1:] for r in levels[k].groupBy("model").agg(
+        F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.count("*")).collect()} for k in levels}
+    names = sorted(stats[order])
+    # every character but the opening mark ends some n-gram
+    alphabet = levels[1].select("gram").distinct().count() + (1 if names and order > 1 else 0)
+    floor = float(-np.log(alphabet + 1))
+    probs: dict[int, DataFrame] = {}
+    backs: dict[int, DataFrame] = {}
+    total = 0
+    for k in range(1, order + 1):
+        discounts = counts.sparkSession.createDataFrame(
+            [(m, n1 / (n1 + 2 * n2) if n1 and n2 else 0.5) for m, (n1, n2, _) in stats[k].items()], "model string, discount double")
+        heads = cut(levels[k].groupBy("model", F.substring("gram", 1, k - 1).alias("head"))
+                    .agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+                    .join(F.broadcast(discounts), "model")  # one row a model
+                    .withColumn("value", F.log(F.col("discount") * F.col("kinds") / F.col("total"))), f"char-heads-{k}")
+        rows = levels[k].withColumn("head", F.substring("gram", 1, k - 1)).join(heads, ["model", "head"])
+        if k == 1:
+            rows = rows.withColumn("lower", F.lit(floor))
+        else:
+            shorter = probs[k - 1].select("model", F.col("gram").alias("tail"), F.col("value").alias("lower"))
+            rows = rows.withColumn("tail", F.substring("gram", 2, k - 1)).join(shorter, ["model", "tail"])
+        seen = F.greatest(F.col("n") - F.col("discount"), F.lit(0.0)) / F.col("total")
+        probs[k] = cut(rows.select("model", "gram", F.log(seen + F.exp(F.col("value") + F.col("lower"))).alias("value")), f"char-probs-{k}")
+        backs[k] = heads.select("model", F.col("head").alias("gram"), "value")
+        total += sum(c for _, _, c in stats[k].values()) + heads.count()
+    return Fitted(order, names, floor, probs, backs, total, {m: v[2] for m, v in stats[order].items()})
+
+
+def resolve(grams: DataFrame, fitted: Fitted) -> DataFrame:
+    """(gram, v): the log probability of each distinct n-gram of the highest order under every model, back-off included."""
+    out = grams.withColumn("v", F.array_repeat(F.lit(fitted.floor), len(fitted.names)))
+    names = F.array(*[F.lit(n) for n in fitted.names])
+    for k in range(1, fitted.order + 1):
+        tail = F.substring("gram", fitted.order - k + 1, k)
+        for col, table, key in (("b", fitted.backs[k], F.substring(tail, 1, k - 1)), ("p", fitted.probs[k], tail)):
+            side = table.groupBy(F.col("gram").alias("key")).agg(F.map_from_entries(F.collect_list(F.struct("model", "value"))).alias(col))
+            out = out.withColumn("key", key).join(side, "key", "left")
+        out = out.select("gram", F.transform(names, lambda n, i: F.coalesce(
+            F.element_at("p", n), F.get("v", i) + F.coalesce(F.element_at("b", n), F.lit(0.0)))).alias("v"))
+    return out
 
 
 class KneserNey:
@@ -121,6 +173,20 @@ class KneserNey:
                 h = g[:-1]
                 p[g] = float(np.log(max(c - discount, 0.0) / total[h] + np.exp(self.back[k][h] + lower)))
 
+    @staticmethod
+    def collected(fitted: Fitted) -> dict[str, "KneserNey"]:
+        """The models of tables that fit (``Fitted.fits``), by name."""
+        out = {}
+        for name in fitted.names:
+            m = out[name] = KneserNey([], fitted.order, 0)
+            m.floor = fitted.floor
+        for k in range(1, fitted.order + 1):
+            for side, tables in (("prob", fitted.probs), ("back", fitted.backs)):
+                t = tables[k].toArrow()
+                for name, gram, value in zip(*(t.column(c).to_pylist() for c in ("model", "gram", "value"))):
+                    getattr(out[name], side)[k][gram] = value
+        return out
+
     def logp(self, gram: str) -> float:
         """log P(last character | the ones before), by recursion over shorter contexts."""
         k = len(gram)

@@ -8,10 +8,11 @@
 2. *Score.*  Words of the restored text and their stems (prefixes) carry log odds learned from
    labelled documents; a logistic model over how many and how strong such words are gives the score.
 
-What is learned from the corpus (the language model's counts) covers all texts and grows with
-them; the model keeps its ``MAX_GRAMS`` most frequent n-grams.  Labels are learned from a bounded
-sample of at most ``LABEL_ROWS`` rows: one half for the log odds of at most ``LEXICON`` stems, the
-other for the logistic model.
+What is learned from the corpus covers all texts and grows with them: the language model holds
+every n-gram.  Up to ``charlm.LOCAL_ENTRIES`` entries it travels to the tasks; a larger one stays a
+table, and each text is joined with the n-grams that its own lattices ask for (``restore_joined``):
+the same words by a slower way.  Labels are learned from a bounded sample of at most ``LABEL_ROWS``
+rows: one half for the log odds of at most ``LEXICON`` stems, the other for the logistic model.
 
 Defined results: NULL and empty texts have no words and score as such; repeated rows score alike;
 label rows with a NULL id or label are not used; without rows of both labels every score is 0; an
@@ -30,13 +31,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from strata.llm import charlm
 from strata.llm.common import crc_mod, cut, per_batch, raw, small_batches
 from strata.llm.quality_rank import labelled_sample, newton
 
 ORDER = 4
-MAX_GRAMS = 400_000
 LABEL_ROWS = 20_000
 LEXICON = 4_000
 STEMS = (4, 5, 6, 7)
@@ -191,6 +192,66 @@ def restore(raw_text: bytes, decoder: Decoder) -> tuple[str, int]:
     return text, changed
 
 
+class Asked:
+    """A model known only for some n-grams: it notes the others that it is asked for."""
+
+    def __init__(self, order: int, known: dict[str, float]):
+        self.order, self.known, self.missing = order, known, set()
+
+    def logp(self, gram: str) -> float:
+        v = self.known.get(gram)
+        if v is None:
+            self.missing.add(gram)
+            return 0.0
+        return v
+
+
+_KNOWN = "array<struct<gram:string,p:double>>"
+
+
+def _pieces(known: pa.Array) -> list[dict[str, float]]:
+    return [{x["gram"]: x["p"] for x in v or ()} for v in known.to_pylist()]
+
+
+def restore_joined(rows: DataFrame, lm: charlm.Fitted) -> DataFrame:
+    """``rows`` with the column ``raw`` restored and ``n_restored``, by a model that stays a table.
+
+    A lattice asks for the same n-grams whatever they cost, so they can be listed first, looked up
+    by a join, and handed to the text they belong to.  What is read after the spaced runs depends
+    on how those were read: hence two rounds.
+    """
+    order = lm.order
+
+    @arrow_udf("array<string>")
+    def asked(raws: pa.Array, known: pa.Array) -> pa.Array:
+        out = []
+        for text, have in zip(raws.to_pylist(), _pieces(known)):
+            model = Asked(order, have)
+            restore(text, Decoder(model))
+            out.append(sorted(model.missing))
+        return pa.array(out, pa.list_(pa.string()))
+
+    @arrow_udf("raw binary, n_restored int")
+    def final(raws: pa.Array, known: pa.Array) -> pa.Array:
+        found = [restore(text, Decoder(Asked(order, have))) for text, have in zip(raws.to_pylist(), _pieces(known))]
+        return pa.StructArray.from_arrays([pa.array([t.encode("utf-8", "replace") for t, _ in found], pa.binary()),
+                                           pa.array([n for _, n in found], pa.int32())], names=["raw", "n_restored"])
+
+    others = [c for c in rows.columns if c != "raw"]
+    # the row numbers are settled once written
+    base = cut(rows.withColumn("_row", F.monotonically_increasing_id()), "toxicity-texts")
+    known = base.sparkSession.createDataFrame([], f"_row bigint, _known {_KNOWN}")
+    for _ in range(2):
+        have = base.join(known, "_row", "left")
+        needs = cut(have.select("_row", F.explode(asked("raw", "_known")).alias("gram")), "toxicity-asked")
+        values = charlm.resolve(needs.select("gram").distinct(), lm).select("gram", F.get("v", F.lit(0)).alias("p"))
+        more = needs.join(values, "gram").unionByName(known.select("_row", F.inline("_known")))
+        # what one text asks for, no more
+        known = cut(more.groupBy("_row").agg(F.collect_list(F.struct("gram", "p")).alias("_known")), "toxicity-known")
+    return (base.join(known, "_row", "left").select(*others, final("raw", "_known").alias("_f"))
+            .select(*others, "_f.raw", "_f.n_restored"))
+
+
 def suspicious(raw_text: bytes) -> int:
     """Which passes a text needs (1: spaced letters, 2: mixed tokens or runs), from its characters alone.
 
@@ -236,12 +297,17 @@ def stems(word: str) -> list[str]:
 
 @dataclass
 class Model:
-    lm: charlm.KneserNey
+    lm: charlm.KneserNey | charlm.Fitted  # Fitted: too large to travel, texts are restored by ``restore_joined``
     lexicon: dict[str, float]
     weights: np.ndarray | None  # over FEATURES; None: nothing learned
 
-    def __getstate__(self):
-        return self.__dict__
+    @property
+    def travels(self) -> bool:
+        return isinstance(self.lm, charlm.KneserNey)
+
+    def shipped(self) -> "Model":
+        """What tasks get."""
+        return self if self.travels else Model(None, self.lexicon, self.weights)
 
 
 FEATURES = ["bias", "strong", "some", "strong_density", "some_density", "two_some", "distinct_strong"]
@@ -250,7 +316,7 @@ FEATURES = ["bias", "strong", "some", "strong_density", "some_density", "two_som
 class Scorer:
     def __init__(self, model: Model):
         self.model = model
-        self.decoder = Decoder(model.lm)
+        self.decoder = Decoder(model.lm) if model.lm else None  # None: texts come restored
         self.known: dict[str, float] = {}
         self.plain: set[str] = set()
 
@@ -271,7 +337,7 @@ class Scorer:
         return w
 
     def features(self, text: bytes) -> tuple[list[float], int]:
-        restored, changed = restore(text, self.decoder)
+        restored, changed = restore(text, self.decoder) if self.decoder else (text.decode("utf-8", "replace"), 0)
         words = charlm.LETTERS.findall(restored)
         plain = self.plain
         hits = [(w, v) for w in words if w not in plain and (v := self.weight(w)) > 1.0]
@@ -281,14 +347,17 @@ class Scorer:
                 min(1.0, 20 * len(hits) / n), float(len(hits) >= 2), float(np.log1p(len(set(strong))))], changed
 
 
-def restored_stems(sample: DataFrame, lm: charlm.KneserNey) -> DataFrame:
-    """(stem, toxic documents, other documents) over labelled rows ``raw, _y``; distinct stems per document."""
+def restored_stems(sample: DataFrame, lm: charlm.KneserNey | None) -> DataFrame:
+    """(stem, toxic documents, other documents) over labelled rows ``raw, _y``; distinct stems per document.
+
+    Without a model the texts come restored.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder, sums = Decoder(lm), (Counter(), Counter())
+        decoder, sums = Decoder(lm) if lm else None, (Counter(), Counter())
         for batch in batches:
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = set(charlm.LETTERS.findall(restore(text, decoder)[0]))
+                words = set(charlm.LETTERS.findall(restore(text, decoder)[0] if decoder else text.decode("utf-8", "replace")))
                 sums[1 if y == 1 else 0].update({s for w in words for s in stems(w)})
         keys = list(sums[0].keys() | sums[1].keys())
         yield pa.RecordBatch.from_arrays(
@@ -299,32 +368,38 @@ def restored_stems(sample: DataFrame, lm: charlm.KneserNey) -> DataFrame:
     return part.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
-def learn_lm(docs: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) -> charlm.KneserNey:
-    """Character model of all texts."""
+def learn_lm(docs: DataFrame, order: int = ORDER, local_entries: int = charlm.LOCAL_ENTRIES) -> charlm.KneserNey | charlm.Fitted:
+    """Character model of all texts: in memory if its tables fit, else the tables."""
     rows = docs.select(F.lit("all").alias("model"), raw("text").alias("raw"))
-    grams = charlm.collect_grams(charlm.count_grams(rows, order), max_grams).get("all", [])
-    return charlm.KneserNey(grams, order, len({c for g, _ in grams for c in g}))
+    fitted = charlm.fit_tables(charlm.count_grams(rows, order), order)
+    if not fitted.names:
+        return charlm.KneserNey([], order, 0)
+    return charlm.KneserNey.collected(fitted)["all"] if fitted.fits(local_entries) else fitted
 
 
-def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, limit: int = LABEL_ROWS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, limit: int = LABEL_ROWS,
+        local_entries: int = charlm.LOCAL_ENTRIES) -> Model:
     """Learn the language model from all texts and the rest from labelled rows that meet ``train`` (over ``_id``)."""
     spark = docs.sparkSession
     small_batches(spark)
-    lm = learn_lm(docs)
+    lm = learn_lm(docs, local_entries=local_entries)
     train = (crc_mod("_id", 5) != 0) if train is None else train
     sample = cut(labelled_sample(docs, labels, "toxic", train, limit).select(
         "_id", "_y", raw("_text").alias("raw"), (F.pmod(F.xxhash64(F.col("_id"), F.lit(3)), F.lit(2)) == 0).alias("_lex")), "toxicity-sample")
     sizes = {(r[0], r[1]): r[2] for r in sample.groupBy("_lex", (F.col("_y") == 1)).count().collect()}
     if not all(sizes.get((half, y)) for half in (True, False) for y in (True, False)):
         return Model(lm, {}, None)
+    travels = isinstance(lm, charlm.KneserNey)
+    if not travels:
+        sample = cut(restore_joined(sample, lm), "toxicity-sample-restored")
     nt, no = sizes[True, True], sizes[True, False]
     odds = F.log((F.col("toxic") + 0.5) / (nt + 1.0)) - F.log((F.col("other") + 0.5) / (no + 1.0))
     least = max(2, round(0.004 * nt))
-    chosen = (restored_stems(sample.where("_lex"), lm).where(F.col("toxic") >= least)
+    chosen = (restored_stems(sample.where("_lex"), lm if travels else None).where(F.col("toxic") >= least)
               .select("stem", odds.alias("w"), "toxic").where(F.col("w") > 1.0)
               .orderBy(F.desc(F.col("w") * F.sqrt("toxic")), "stem").limit(LEXICON).collect())
     model = Model(lm, {r[0]: float(r[1]) for r in chosen}, None)
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model.shipped())
 
     def make():
         s = Scorer(shared.value)
@@ -344,7 +419,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document: ``doc_id, score, predicted, n_restored``."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model.shipped())
 
     def make():
         scorer = Scorer(shared.value)
@@ -359,5 +434,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         return run
 
     udf = per_batch(make, "score double, n_restored int")
-    return (docs.select("doc_id", udf(raw("text")).alias("t")).select("doc_id", "t.score", "t.n_restored")
+    rows = docs.select("doc_id", raw("text").alias("raw"))
+    if model.travels:
+        scored = rows.select("doc_id", udf("raw").alias("t")).select("doc_id", "t.score", "t.n_restored")
+    else:
+        scored = restore_joined(rows, model.lm).select("doc_id", udf("raw").alias("t"), "n_restored").select("doc_id", "t.score", "n_restored")
+    return (scored
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))

@@ -88,6 +88,51 @@ def test_language_awkward_rows(messy, make_docs):
     assert {r.lang_pred for r in langid.predict(messy, untaught).collect()} == {"und"}
 
 
+def test_spark_fit_equals_the_local_fit(spark):
+    words = {"en": EN, "de": DE, "x": ["a", "aa", "日本", "b"]}
+    counts = spark.createDataFrame([(m, g, n) for m, w in words.items() for g, n in grams(w, 4)], "model string, gram string, n bigint")
+    fitted = charlm.fit_tables(counts, 4)
+    alphabet = len({c for w in words.values() for g, _ in grams(w, 4) for c in g})
+    want = {m: charlm.KneserNey(grams(w, 4), 4, alphabet) for m, w in words.items()}
+    got = charlm.KneserNey.collected(fitted)
+    assert sorted(got) == sorted(want)
+    for name, m in want.items():
+        assert got[name].floor == m.floor
+        for k in range(1, 5):
+            assert got[name].prob[k] == pytest.approx(m.prob[k], rel=1e-9)
+            assert got[name].back[k] == pytest.approx(m.back[k], rel=1e-9)
+    assert fitted.n_entries == sum(len(t) for m in want.values() for t in (*m.prob, *m.back))
+    asked = sorted({g for w in [*EN, *DE, "unseen", "日", "qqq"] for g in charlm.grams_of(w, 4)})
+    rows = charlm.resolve(spark.createDataFrame([(g,) for g in asked], "gram string"), fitted).collect()
+    assert sorted(r.gram for r in rows) == asked
+    for r in rows:
+        assert r.v == pytest.approx([want[m].logp(r.gram) for m in fitted.names], rel=1e-9), r.gram
+
+
+def test_language_tables_too_large_to_travel(tables, messy, make_docs):
+    docs = tables[0].select("doc_id", "text", "lang").union(messy.select("doc_id", "text", "lang"))
+    near, far = langid.fit(docs, langid.training_rows()), langid.fit(docs, langid.training_rows(), local_entries=0)
+    assert near.tables is not None and far.tables is None
+    key = lambda r: (repr(r.doc_id), r.lang_pred, r.score)
+    one, other = (sorted(langid.predict(docs, m).collect(), key=key) for m in (near, far))
+    assert [(r.doc_id, r.lang_pred, r.rejected) for r in one] == [(r.doc_id, r.lang_pred, r.rejected) for r in other]
+    for a, b in zip(one, other):
+        assert a.score == pytest.approx(b.score, abs=1e-4) and (a.cross_entropy or 0) == pytest.approx(b.cross_entropy or 0, rel=1e-4)
+    empty = make_docs([])
+    assert langid.predict(empty, far).count() == 0
+
+
+def test_rare_ngrams_behind_many_frequent_ones_count(make_docs):
+    rng = np.random.default_rng(3)
+    words = ["".join(chr(97 + c) for c in row) for row in rng.integers(0, 26, size=(50_000, 8))]
+    assert len({w[i:i + 4] for w in words for i in range(5)}) > 150_000
+    common = " ".join(words + words)
+    model = langid.fit(make_docs([(1, common, "a"), (2, common, "b"), (3, "ŋøþ", "b")]), F.lit(True))
+    assert min(model.fitted.n_grams.values()) > 200_000 and model.tables is None
+    (got,) = langid.predict(make_docs([(9, "ŋøþ")]), model).collect()
+    assert got.lang_pred == "b" and got.score > 0.5
+
+
 # -- quality -----------------------------------------------------------------------------------------
 
 
@@ -179,6 +224,18 @@ def test_toxicity_awkward_rows(messy, make_docs, toxic_model, tables):
     assert {r.score for r in toxicity.score(messy, untaught).collect()} == {0.0}
 
 
+def test_toxicity_tables_too_large_to_travel(tables, toxic_model, messy, make_docs):
+    docs, labels = tables
+    far = toxicity.fit(docs, labels, local_entries=0)
+    assert toxic_model.travels and not far.travels and far.lexicon == toxic_model.lexicon
+    assert far.weights == pytest.approx(toxic_model.weights, rel=1e-9)
+    extra = make_docs([(9_001, "you s t u p 1 d 1d10t and m0r0n, st..upid l.o.s.e.r " * 5), (9_001, "a b c d 3 f")])
+    some = docs.select("doc_id", "text").union(messy.select("doc_id", "text")).union(extra.select("doc_id", "text"))
+    one, other = (sorted(toxicity.score(some, m).collect(), key=repr) for m in (toxic_model, far))
+    assert one == other and sum(r.n_restored > 0 for r in one) > 10
+    assert toxicity.score(make_docs([]), far).count() == 0
+
+
 @pytest.mark.parametrize("hidden,plain", [("st..upid", "stupid"), ("id--iot", "idiot"), ("1 d 1 0 t", "idiot"), ("st" + "u" * 40 + "pid", "stupid")])
 def test_restores_what_hardly_shows(toxic_model, hidden, plain):
     d = toxicity.Decoder(toxic_model.lm)
