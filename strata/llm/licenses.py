@@ -2,7 +2,8 @@
 
 Texts are folded to words (A-Z lowered; everything ASCII but letters and digits separates) joined
 by one blank, so a rule sees neither punctuation nor layout.  Some hundreds of regular expressions
-are built from a table of license names and a table of wordings.  Three steps keep the scan cheap:
+are built from a table of license names and a table of wordings, and further ones are sentences of
+license notices that need not name their license.  Three steps keep the scan cheap:
 
 1. a text without any *root* keyword has no detection (almost every text);
 2. a family's rules run only if its own keyword occurs;
@@ -10,7 +11,12 @@ are built from a table of license names and a table of wordings.  Three steps ke
    inside the interval of an earlier one is suppressed (``cc by`` inside ``cc by nc``,
    ``mit license`` inside ``licensed under the mit license``).
 
-Base phrases are literal and always counted; their labels are never suppressed.
+Base phrases are literal and always counted; their labels are never suppressed.  Of detections with
+the same priority and interval, the first rule by name stays.
+
+Very long texts: word numbers come from one index of the blanks, and suppression is one sweep over
+the detections with the furthest end of each priority, so the cost grows with the text and its
+detections, not with their pairs.
 
 Defined results: NULL and empty texts have no words and no detections; repeated rows are scanned
 each on its own; an empty table gives an empty result; extra columns are ignored.
@@ -21,6 +27,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -131,9 +138,91 @@ PLAIN = [
     ("cc0", r"cc0 1 0(?: universal)?", 65, "cc0"),
 ]
 
+#: Sentences of license notices: (label, pattern, priority, keyword).
+NOTICES = [
+    ("mit", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions"
+            r" of the software", 92, "permission notice"),
+    ("x11", r"except as contained in this notice the names? of .{1,80}? shall not be used in advertising", 92, "except as contained"),
+    ("isc", r"permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted"
+            r" provided that the above copyright notice and this permission notice appear in all copies", 92, "permission to use"),
+    ("0bsd", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby"
+             r" granted the software is provided", 93, "permission to use"),
+    ("mit-0", r"to deal in the software without restriction(?: \w+){0,30} to permit persons to whom the software is furnished"
+              r" to do so the software is provided", 93, "without restriction"),
+    ("bsd-2", r"redistributions in binary form must reproduce the above copyright notice this list of conditions and the"
+              r" following disclaimer", 88, "redistributions in"),
+    ("bsd-3", r"neither the names? of .{1,120}? (?:nor the names of (?:its|their|the) contributors )?may be used to endorse or"
+              r" promote products derived from this software", 92, "endorse or promote"),
+    ("bsd-4", r"all advertising materials mentioning features or use of this software must display the following"
+              r" acknowledge?ment", 93, "advertising materials"),
+    ("apache-2", r"you may not use this file except in compliance with the licen[cs]e", 90, "except in compliance"),
+    ("apache-2", r"unless required by applicable law or agreed to in writing software distributed under the licen[cs]e is"
+                 r" distributed on an as is basis", 91, "as is basis"),
+    ("apache-1.1", r"products derived from this software may not be called apache nor may apache appear in their name", 92, "apache"),
+    ("gpl", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public"
+            r" licen[cs]e", 90, "free software"),
+    ("gpl-2", r"gnu general public licen[cs]e as published by the free software foundation (?:either )?version 2(?: 0)?", 94,
+     "free software foundation"),
+    ("gpl-3", r"gnu general public licen[cs]e as published by the free software foundation (?:either )?version 3(?: 0)?", 94,
+     "free software foundation"),
+    ("gpl", r"without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public"
+            r" licen[cs]e for more details", 89, "implied warranty"),
+    ("lgpl-2.1", r"gnu (?:lesser|library) general public licen[cs]e as published by the free software foundation (?:either )?"
+                 r"version 2(?: [01])?", 95, "general public"),
+    ("lgpl-3", r"gnu lesser general public licen[cs]e as published by the free software foundation (?:either )?version 3(?: 0)?",
+     95, "general public"),
+    ("agpl-3", r"gnu affero general public licen[cs]e as published by the free software foundation (?:either )?version 3(?: 0)?",
+     95, "affero"),
+    ("gfdl", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation"
+             r" licen[cs]e", 93, "free documentation"),
+    ("mpl-2", r"this source code form is subject to the terms of the mozilla public licen[cs]e v(?:ersion)? 2 0", 95, "source code form"),
+    ("mpl-1.1", r"the contents of this file are subject to the mozilla public licen[cs]e version 1 1", 95, "mozilla"),
+    ("epl-1", r"made available under the terms of the eclipse public licen[cs]e v(?:ersion)? ?1 0", 95, "eclipse"),
+    ("epl-2", r"made available under the terms of the eclipse public licen[cs]e v(?:ersion)? ?2 0", 95, "eclipse"),
+    ("cddl", r"the contents of this file are subject to the terms of (?:either )?(?:the gnu general public licen[cs]e .{1,60}? or )?"
+             r"the common development and distribution licen[cs]e", 95, "common development"),
+    ("zlib", r"this software is provided as is without any express or implied warranty in no event will the authors be held"
+             r" liable for any damages arising from the use of this software", 92, "without any express"),
+    ("zlib", r"altered source versions must be plainly marked as such and must not be misrepresented as being the original"
+             r" software", 92, "altered source"),
+    ("unlicense", r"this is free and unencumbered software released into the public domain", 95, "unencumbered"),
+    ("cc0", r"to the extent possible under law .{1,120}? (?:has|have) waived all copyright and related or neighbou?ring rights", 94,
+     "waived all copyright"),
+    ("bsl-1", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and"
+              r" accompanying documentation covered by this licen[cs]e", 95, "person or organization"),
+    ("ofl", r"this font software is licensed under the sil open font licen[cs]e", 96, "font software"),
+    ("wtfpl", r"you just do what the fuck you want to", 90, "you just do"),
+    ("artistic-2", r"everyone is permitted to copy and distribute verbatim copies of this licen[cs]e document but changing it is"
+                   r" not allowed this licen[cs]e establishes the terms under which a given free software package", 93, "verbatim copies"),
+    ("postgresql", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee"
+                   r" and without a written agreement is hereby granted", 94, "written agreement"),
+    ("psf", r"licensed to psf under a contributor agreement", 94, "contributor agreement"),
+    ("openssl", r"this product includes software developed by the openssl project", 92, "openssl"),
+    ("php", r"this product includes php software freely available from", 92, "php"),
+    ("w3c", r"permission to copy modify and distribute this work with or without modification for any purpose and without fee or"
+            r" royalty is hereby granted", 92, "royalty"),
+    ("eupl", r"licensed under the eupl(?: version)? 1 [12] or as soon they will be approved", 95, "eupl"),
+    ("elastic-2", r"you may not provide the software to third parties as a hosted or managed service", 90, "managed service"),
+    ("sspl", r"if you make the functionality of the program or a modified version available to third parties as a service", 90,
+     "as a service"),
+    ("busl", r"the licensor hereby grants you the right to copy modify create derivative works redistribute and make non"
+             r" production use of the licensed work", 93, "non production"),
+    ("cc-by", r"you must give appropriate credit provide a link to the licen[cs]e and indicate if changes were made", 72,
+     "appropriate credit"),
+    ("cc-by-sa", r"you must distribute your contributions under the same licen[cs]e as the original", 73, "same licen"),
+    ("cc-by-nc", r"you may not use the material for commercial purposes", 73, "commercial purposes"),
+    ("cc-by-nd", r"you may not distribute the modified material", 73, "modified material"),
+    ("proprietary", r"no part of this (?:book|publication|work|document|material) may be reproduced(?: \w+){0,40}? without", 70, "no part of"),
+    ("proprietary", r"unauthori[sz]ed (?:copying|reproduction|distribution|use) of this (?:file|software|material|document)"
+                    r"(?: via any medium)? is strictly prohibited", 70, "strictly prohibited"),
+    ("proprietary", r"this (?:software|document|file) contains (?:proprietary and confidential|confidential and proprietary)"
+                    r" information", 70, "proprietary"),
+]
+
 #: Without any of these no rule can match.
 ROOTS = [b"licen", b"spdx", b"cc by", b"cc0", b"creative commons", b"rights reserved", b"public domain", b"under",
-         b"permission", b"redistribution", b"subject to", b"governed by", b"accord", b"pursuant to", b"without"]
+         b"permission", b"redistribution", b"subject to", b"governed by", b"accord", b"pursuant to", b"without",
+         *sorted({key.encode() for _, _, _, key in NOTICES})]
 
 
 @dataclass(frozen=True)
@@ -156,6 +245,27 @@ def signatures() -> list[Signature]:
                                  (must[wording], key.encode())))
     for label, shape, priority, key in PLAIN:
         out.append(Signature(f"{label}/plain", label, priority, re.compile(f" (?:{shape})(?= )".encode()), (key.encode(),)))
+    for label, shape, priority, key in NOTICES:
+        out.append(Signature(f"{label}/notice", label, priority, re.compile(f" (?:{shape})(?= )".encode()), (key.encode(),)))
+    return out
+
+
+def suppressed(found: list[tuple[int, int, int, str]]) -> list[bool]:
+    """Which of the detections (priority, start, end, rule) lie inside an earlier one by (priority, length, start, rule).
+
+    Swept from left to right, longer intervals first: one that ends no later than an interval
+    before it lies inside it.
+    """
+    order = sorted(range(len(found)), key=lambda i: (found[i][1], -found[i][2], -found[i][0], found[i][3]))
+    levels = sorted({f[0] for f in found}, reverse=True)
+    at = {p: i for i, p in enumerate(levels)}
+    furthest = [-1] * len(levels)
+    out = [False] * len(found)
+    for i in order:
+        priority, _, end, _ = found[i]
+        mine = at[priority]
+        out[i] = max(furthest[:mine + 1]) >= end
+        furthest[mine] = max(furthest[mine], end)
     return out
 
 
@@ -170,28 +280,27 @@ class Scanner:
     def __call__(self, text: bytes) -> tuple:
         words = text.translate(_FOLD).split()
         folded = b" " + b" ".join(words) + b" "
-        starts: list[int] = []
-        found: list[tuple] = []  # (-priority, -length, start, rule, label, end, base)
+        places: list[tuple] = []  # (from, to, priority, rule, label, base): bytes of the folded text
         if any(r in folded for r in ROOTS):
-            for phrase, length, label in self.base:
+            for phrase, _, label in self.base:
                 at = folded.find(phrase)
                 while at >= 0:
-                    start = folded.count(b" ", 0, at)
-                    starts.append(start)
-                    found.append((-98, -length, start, f"{label}/base", label, start + length, True))
+                    places.append((at, at + len(phrase) - 1, 98, f"{label}/base", label, True))
                     at = folded.find(phrase, at + 1)
             gates: dict[bytes, bool] = {}
             for s in self.rules:
                 if all(gates.setdefault(g, g in folded) for g in s.gates):
-                    for m in s.pattern.finditer(folded):
-                        start = folded.count(b" ", 0, m.start())
-                        end = start + folded.count(b" ", m.start(), m.end())
-                        found.append((-s.priority, start - end, start, s.rule, s.label, end, False))
-        found.sort()
-        kept: list[tuple] = []
-        for d in found:
-            if d[6] or not any(k[2] <= d[2] and d[5] <= k[5] for k in kept):
-                kept.append(d)
+                    places += [(m.start(), m.end(), s.priority, s.rule, s.label, False) for m in s.pattern.finditer(folded)]
+        if places:
+            blanks = np.flatnonzero(np.frombuffer(folded, dtype=np.uint8) == 32)
+            first = np.searchsorted(blanks, [p[0] for p in places]).tolist()
+            last = np.searchsorted(blanks, [p[1] for p in places]).tolist()
+        else:
+            first = last = []
+        found = [(-p[2], f - e, f, p[3], p[4], e, p[5]) for p, f, e in zip(places, first, last)]  # (-priority, -length, start, rule, label, end, base)
+        starts = [d[2] for d in found if d[6]]
+        inside = suppressed([(-d[0], d[2], d[5], d[3]) for d in found])
+        kept = [d for d, gone in zip(found, inside) if d[6] or not gone]
         kept.sort(key=lambda d: (d[2], d[5], d[3]))
         base_labels = ",".join(sorted({d[4] for d in kept if d[6]}))
         labels = ",".join(sorted({d[4] for d in kept}))

@@ -1,6 +1,8 @@
 """Quality rule ledger and license scan against plain restatements."""
 
+import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -100,5 +102,80 @@ def test_signatures_are_many_and_contained_spans_go():
                 assert not (b["first"] <= a["first"] and a["end"] <= b["end"] and b["priority"] > a["priority"])
 
 
+def slow_suppressed(found):
+    order = sorted(range(len(found)), key=lambda i: (-found[i][0], found[i][1] - found[i][2], found[i][1], found[i][3]))
+    kept, out = [], [False] * len(found)
+    for i in order:
+        out[i] = any(found[k][1] <= found[i][1] and found[i][2] <= found[k][2] for k in kept)
+        if not out[i]:
+            kept.append(i)
+    return out
+
+
+def test_suppression_matches_all_pairs():
+    rng = random.Random(5)
+    for n in (0, 1, 2, 40, 300):
+        for width in (3, 12):
+            found = {(rng.choice((50, 60, 95)), a, a + rng.randint(1, width), rng.choice("xyz"))
+                     for a in (rng.randint(0, n // 2 + 1) for _ in range(n))}
+            found = sorted(found, key=lambda _: rng.random())
+            assert licenses.suppressed(found) == slow_suppressed(found)
+
+
+def test_detections_match_brute_force(messy, spark):
+    """Labels, score and spans from every pattern at every place, gates and index left out."""
+    rules = licenses.signatures()
+
+    def slow(text):
+        words = (text or "").encode().translate(licenses._FOLD).split()
+        folded = b" " + b" ".join(words) + b" "
+        found = [(s.priority, folded[:m.start()].count(b" "), folded[:m.end()].count(b" "), s.rule, s.label)
+                 for s in rules for m in s.pattern.finditer(folded)]
+        base = [(98, i, i + len(p.split()), f"{label}/base", label) for p, label in licenses.BASE_PHRASES.items()
+                for i in range(len(words)) if words[i:i + len(p.split())] == p.encode().split()]
+        found += base
+        gone = slow_suppressed([f[:4] for f in found])
+        kept = sorted((f[1], f[2], f[3], f[0], f[4]) for f, g in zip(found, gone) if f in base or not g)
+        return kept, ",".join(sorted({k[4] for k in kept})), max((k[3] for k in kept), default=0) / 100
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").union(messy.select("doc_id", "text"))
+    want = sorted(repr((r.doc_id, *slow(r.text))) for r in docs.collect())
+    got = sorted(repr((r.doc_id, [(s.first, s.end, s.rule, s.priority, s.label) for s in r.spans], r.labels, r.score))
+                 for r in licenses.scan(docs).collect())
+    assert got == want and any("mit" in w for w in want)
+
+
+def test_a_long_license_dump_takes_linear_time():
+    scan, phrase = licenses.Scanner(), b"Licensed under the MIT license. This is free software; see the GNU General Public License, version 2, or CC BY-NC.\n"
+    seconds = []
+    for n in (5_000, 40_000):  # 0.6 and 4.7 MB
+        start = time.perf_counter()
+        out = scan(phrase * n)
+        seconds.append(time.perf_counter() - start)
+        assert out[1] == 2 * n and out[2] == 1
+    assert seconds[1] < 20 * seconds[0] and seconds[1] < 60
+
+
+@pytest.mark.parametrize("text,label", [
+    ("Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+     "\"AS IS\" BASIS,", "apache-2"),
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+     "as published by the Free Software Foundation; either version 3 of the License", "gpl-3"),
+    ("Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived "
+     "from this software without specific prior written permission.", "bsd-3"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ("Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.", "zlib"),
+])
+def test_notices(text, label):
+    assert label in licenses.Scanner()(text.encode())[5].split(",")
+
+
+def test_every_rule_passes_its_gates():
+    """A notice's gate and a root must stand in what the notice matches."""
+    for label, shape, _, key in licenses.NOTICES:
+        assert key in re.sub(r"\[(\w)\w+\]", r"\1", shape).replace("(?:", "").replace(")", "") or key in shape, (label, key)
+
+
 def test_empty_scan(make_docs):
     assert licenses.scan(make_docs([])).count() == 0
