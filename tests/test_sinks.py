@@ -167,3 +167,35 @@ def test_events_of_a_repeated_run_replace_its_own(spark, tmp_path):
     got = sorted((r.pipeline_run_id, r.layer, r.source_name, r.status, r.event_date) for r in O.read_events(spark, path).collect())
     assert got == [("r1", "bronze", "a", "FAILED", day.date()), ("r1", "bronze", "b", "SUCCESS", day.date()), ("r1", "bronze", "c", "SUCCESS", day.date()),
                    ("r1", "silver", "a", "SUCCESS", day.date()), ("r2", "bronze", "a", "SUCCESS", day.date())]
+
+
+def test_deferred_batches_rewrite_the_table_once_and_are_read_before(spark, tmp_path, monkeypatch):
+    t, writes, write = str(tmp_path / "t"), [], U._write_parts
+    monkeypatch.setattr(U, "_write_parts", lambda *a: (writes.append(a[2]), write(*a)))
+
+    def put(rows, batch_id):
+        df = spark.createDataFrame(rows, "k int, seq int, v string")
+        U.keep_one(spark, t, df, ["k"], F.col("seq"), buckets=2, batch_id=batch_id, defer=True)
+
+    def state():
+        return sorted((r.k, r.v) for r in U.read_keyed(spark, t).collect())
+    put([(1, 1, "a"), (2, 5, "b"), (3, 1, "c")], 0)
+    put([(1, 2, "A"), (2, 4, "late"), (4, 1, "d")], 1)
+    put([(4, 2, "D"), (None, 1, "x")], 2)
+    put([(4, 2, "D")], 2)  # replayed
+    whole = [(1, "A"), (2, "b"), (3, "c"), (4, "D")]
+    assert writes == [t] and state() == whole
+    U.settle(spark, t)
+    U.settle(spark, t)
+    assert writes == [t, t] and state() == whole and U.pending(spark, t) is None
+    assert sorted(r.v for r in U.unkeyed(spark, t).collect()) == ["x"]
+    with pytest.raises(ValueError):
+        U.keep_one(spark, t, spark.createDataFrame([(1, 1, "a")], "k int, seq int, v string"), ["k"], F.col("seq"), newest=False, defer=True)
+
+
+def test_a_merge_moves_stored_rows_once(spark, tmp_path):
+    home = U.Home(["k"], 4)
+    rows = U.housed(spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("seq")), home)
+    both = U.together(rows, rows.where("k < 100"), ["k"])
+    plan = U._newest(both, ["k"], F.col("seq").desc())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
