@@ -118,3 +118,12 @@ def test_the_feed_as_a_stream_over_restarts(spark, tmp_path):
             (C.stream_changes(spark, t).writeStream.foreachBatch(lambda df, _: seen.extend(map(tuple, df.select(C.CHANGE, "k", "v").collect())))
              .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start().awaitTermination())
     assert sorted(seen) == [("insert", 1, "a"), ("insert", 2, "x"), ("update_after", 1, "b"), ("update_before", 1, "a")]
+
+
+def test_a_replay_of_a_finished_batch_rewrites_nothing(spark, tmp_path, monkeypatch):
+    t = str(tmp_path / "t")
+    put(spark, t, [(1, "a"), (2, "x")], "b0")
+    put(spark, t, [(1, "b")], "b1")
+    monkeypatch.setattr(U, "_write_parts", lambda *_: pytest.fail("rewritten"))
+    put(spark, t, [(1, "b")], "b1")
+    assert table(spark, t) == {1: "b", 2: "x"} and len(feed(spark, t, "k")) == 4
