@@ -7,7 +7,8 @@ rejected rows in the same form: the rows with ``rejection_reason`` and ``rejecte
   rows crosses the join once; NULL keys refer to nothing and are left to a NOT NULL rule.
 * ``repeated``: keys are counted with partial sums before they are shuffled; rows of counted keys are then found by a semi join.
 
-Both find the offending *keys* first - usually few - and only then go back to the rows.
+Both find the offending *keys* first and then the rows that hold them.  ``violations`` evaluates its input once: the rows
+are stored with a number each, rules see numbers and keys only, and the whole rows are joined once with what was found.
 """
 
 from __future__ import annotations
@@ -18,7 +19,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import fresh_dir
+
 MSG_ORPHAN = "{field}: no existe en {parent}"
+ROW = "_violating_row"
 MSG_REPEATED = "{field}: clave repetida"
 
 
@@ -70,10 +74,23 @@ def repeated(df: DataFrame, rule: Unique) -> DataFrame:
     return _rows_of(df, keys, rule.fields, MSG_REPEATED.format(field=rule.fields[0]))
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    """The rows, stored, each with a number that stays."""
+    rows = df.withColumn(ROW, F.monotonically_increasing_id())
+    path = fresh_dir(df.sparkSession, "violations")
+    rows.write.parquet(path)
+    return df.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def violations(df: DataFrame, rules: Sequence[Reference | Unique], parents: dict[str, DataFrame]) -> DataFrame:
     """Rejected rows of all rules; a row that breaks several appears once for each."""
-    parts = [orphans(df, parents[r.parent], r) if isinstance(r, Reference) else repeated(df, r) for r in rules]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows, found = _numbered(df), None
+    for r in rules:
+        if isinstance(r, Reference):
+            parent = rows if parents[r.parent] is df else parents[r.parent]
+            bad = orphans(rows, parent, r)
+        else:
+            bad = repeated(rows, r)
+        bad = bad.select(ROW, "rejection_reason", "rejected_field")
+        found = bad if found is None else found.unionByName(bad)
+    return rows.join(found, ROW).select(*[F.col(f"`{c}`") for c in df.columns], "rejection_reason", "rejected_field")

@@ -71,3 +71,29 @@ def test_rollup_tells_totals_from_nulls_and_combines_first(spark):
                    (None, None, None, 6): (6, 2, 60.0, 0.3333), (None, None, None, 7): (12, 4, 120.0, 0.3333)}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Expand") < plan.rindex("Aggregate")  # sums are expanded, not rows
+
+
+def test_violations_evaluate_their_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    child = spark.createDataFrame([(i % 40, f"p{i % 7}") for i in range(50)], "id long, ref string").mapInArrow(look, "id long, ref string")
+    parent = spark.createDataFrame([("p1",)], "name string")
+    rules = [Reference(("ref",), "parents", ("name",)), Unique(("id",)), Reference(("id",), "self", ("id",))]
+    reasons = Counter(r.rejection_reason for r in violations(child, rules, {"parents": parent, "self": child}).collect())
+    assert reasons == {"ref: no existe en parents": sum(i % 7 != 1 for i in range(50)), "id: clave repetida": 20}
+    assert seen.value == 50
+
+
+def test_values_are_counted_as_their_own_type(spark):
+    rows = [(0.0, 7, "x"), (-0.0, 7, None), (-0.0, None, "7"), (float("nan"), 8, "x"), (None, 8, "x")]
+    df = spark.createDataFrame(rows, "d double, n long, s string")
+    want = Counter((c, str(v) if v == v else "NaN") for r in rows for c, v in zip("dns", r) if v is not None)
+    out = P.counts(df, ["d", "n", "s"])
+    assert {(r.column, r.value): r.n for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan  # no row per cell
+    assert {r.column: (r.nulls, r.least) for r in P.summarise(df.withColumn("e", F.lit(None).cast("string")), ["d", "e"]).collect()} == {"d": (1, "-0.0"), "e": (5, None)}
