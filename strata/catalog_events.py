@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.catalog import current, enriched, tx_checked
 from strata.operators import profile as P
@@ -130,13 +131,19 @@ def q_column_profile(spark, sf_dir):
     for batch in (0, 1, 2, 1):
         P.store(spark, path, lines.where(F.col("l_orderkey") % 3 == batch), PROFILED, batch)
     found = P.read_profile(spark, path)
-    exact = lines.agg(F.array(*[F.struct(F.lit(c).alias("column"), F.count_distinct(c).alias("distinct")) for c in PROFILED]).alias("x")).select(F.inline("x"))
-    cells = P.cells(lines, PROFILED).withColumn("number", F.col("value").try_cast("double"))
-    ranks = cells.join(found.select("column", "p50"), "column").groupBy("column").agg(
-        F.try_divide(F.count_if(F.col("number") < F.col("p50")), F.count("number")).alias("below"),
-        F.try_divide(F.count_if(F.col("number") <= F.col("p50")), F.count("number")).alias("upto"))
+    # 0.0 and -0.0 are one value, though two texts
+    zero = {f.name: F.when(F.col(f.name) == 0, F.lit(0.0)).otherwise(F.col(f.name)).cast(f.dataType) for f in lines.schema.fields
+            if f.name in PROFILED and isinstance(f.dataType, T.FractionalType) and not isinstance(f.dataType, T.DecimalType)}
+    counted = P.counts(lines.withColumns(zero) if zero else lines, PROFILED).withColumn("number", F.col("value").try_cast("double"))
+    n, numbers = F.col("n"), F.sum(F.when(F.col("number").isNotNull(), F.col("n")))
+
+    def share(hit):
+        return F.try_divide(F.coalesce(F.sum(F.when(hit, n)), F.lit(0)), numbers)
+    # every value once, with its rows: exact distinct counts and ranks in one pass
+    exact = counted.join(F.broadcast(found.select("column", "p50")), "column").groupBy("column").agg(
+        F.count(F.lit(1)).alias("distinct"), share(F.col("number") < F.col("p50")).alias("below"), share(F.col("number") <= F.col("p50")).alias("upto"))
     error = 3 * 1.04 / 2 ** (P.LG_K / 2)
-    return found.join(exact, "column").join(ranks, "column").select(
+    return found.join(exact, "column").select(
         "column", "rows", "nulls", "least", "greatest",
         (F.abs(F.col("approx_distinct") - F.col("distinct")) <= error * F.col("distinct")).alias("distinct_within_error"),
         F.when(F.col("p50").isNotNull(), (F.col("below") <= 0.5 + 0.0165) & (F.col("upto") >= 0.5 - 0.0165)).alias("median_within_error"),
