@@ -4,14 +4,14 @@ One model per language of the training rows, from character n-grams inside words
 lower case, with word boundaries).  The models live side by side in sorted hash arrays; a text's
 score under a language is its cross-entropy per character, and the lowest one wins.
 
-Rejection is calibrated: on a bounded sample of training texts the cross-entropy under the own
-language is recorded, and a text whose cross-entropy lies further above its winner's mean than
+Rejection is calibrated: the cross-entropy of every training text under its own language is
+measured, and a text whose cross-entropy lies further above its winner's mean than
 ``REJECT`` standard deviations at its length is flagged ``rejected``.
 
 Every n-gram of the training texts is in the models.  Up to ``charlm.LOCAL_ENTRIES`` entries they
 travel to the tasks; larger ones stay tables, and the n-grams of the texts are joined with them:
 the same numbers by a slower way, with nothing gathered but the names of the languages.  The
-calibration reads at most ``CALIBRATION_ROWS`` texts.
+medians of the calibration come from histograms over all training texts, exact to ``1 / GRID``.
 
 Defined results: NULL text or text without a letter gives ``und`` with score 0; rows with a NULL
 language or text are not learned from; equal cross-entropies go to the first language in code
@@ -21,21 +21,20 @@ table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from strata.llm import charlm
 from strata.llm.common import crc_mod, cut, per_batch, raw, small_batches
-from strata.llm.quality_rank import one_of_each
 
 ORDER = 4
-CALIBRATION_ROWS = 4_000
+GRID = 10_000  # cells of a unit in the calibration's histograms
 REJECT = 8.0
 _LONG = 2_000  # characters beyond which more length adds no certainty
 
@@ -136,20 +135,29 @@ def fit(docs: DataFrame, train: Column, order: int = ORDER, local_entries: int =
     return Model(fitted, tables, mean, spread)
 
 
+def _medians(rows: DataFrame, value: Column) -> dict[str, float]:
+    """Median of ``value`` by ``model`` over all rows, from counts of cells of width ``1 / GRID``."""
+    cells = rows.groupBy("model", F.round(value * GRID).cast("bigint").alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy("model")  # the cells of a language, not its texts: their number does not grow with them
+    at = cells.select("model", "cell", F.sum("n").over(whole.orderBy("cell")).alias("upto"), F.sum("n").over(whole).alias("all"))
+    lower, upper = F.expr("(all + 1) div 2"), F.expr("all div 2 + 1")
+    return {m: (lo + up) / 2 / GRID for m, lo, up in at.groupBy("model").agg(
+        F.min(F.when(F.col("upto") >= lower, F.col("cell"))), F.min(F.when(F.col("upto") >= upper, F.col("cell")))).collect()}
+
+
 def calibrate(fitted: charlm.Fitted, tables: charlm.Tables | None, rows: DataFrame) -> tuple[dict, dict]:
-    picked = rows.select("model", "id").distinct().orderBy(F.xxhash64("id", F.lit(1)), "id", "model").limit(CALIBRATION_ROWS)
-    # at most CALIBRATION_ROWS rows: one of each id and language
-    sample = one_of_each(rows.join(F.broadcast(picked), ["model", "id"]), ["model", "id"], "raw")
-    by: dict[str, list[tuple[float, float]]] = defaultdict(list)
-    for lang, chars, h in measured(sample, ["model"], fitted, tables).collect():
-        if chars:
-            by[lang].append((h[fitted.names.index(lang)], min(chars, _LONG)))
-    mean, spread = {}, {}
-    for lang, v in by.items():
-        h, n = np.array([x[0] for x in v]), np.array([x[1] for x in v])
-        mean[lang] = float(np.median(h))
-        spread[lang] = float(np.median(np.abs(h - mean[lang]) * np.sqrt(n))) * 1.4826 + 1e-6
-    return mean, spread
+    """Median cross-entropy of each language's training texts, and their spread about it."""
+    if not fitted.names:
+        return {}, {}
+    place = F.create_map(*[x for i, n in enumerate(fitted.names) for x in (F.lit(n), F.lit(i))])
+    own = cut(measured(rows, ["model"], fitted, tables).where("chars > 0").select(
+        "model", F.least("chars", F.lit(_LONG)).alias("n"), F.get("h", place[F.col("model")]).alias("h")), "lang-calibration")
+    mean = _medians(own, F.col("h"))
+    if not mean:
+        return {}, {}
+    centre = F.create_map(*[x for m, v in mean.items() for x in (F.lit(m), F.lit(v))])[F.col("model")]
+    spread = _medians(own, F.abs(F.col("h") - centre) * F.sqrt("n"))
+    return mean, {m: v * 1.4826 + 1e-6 for m, v in spread.items()}
 
 
 def decide(names: list[str], mean: dict[str, float], spread: dict[str, float], chars: np.ndarray, h: np.ndarray) -> list[tuple]:

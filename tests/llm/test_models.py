@@ -285,3 +285,22 @@ def test_one_token_without_blanks_costs_in_proportion():
     for token in ("a1" * 100_000 + "€x/", "x" * 200_000 + "/", "ab.c" * 50_000 + "/=", "1" * 200_000):
         assert X._SUSPECT.search(token) is None
     assert X._SUSPECT.search('say "id1ot"!, ok').group(1) and time.time() - began < 3
+
+
+def test_the_calibration_reads_every_training_text(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join("".join(rng.choice(list("abcdefgh"), 4)) for _ in range(rng.integers(1, 6))), "en") for i in range(4_300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, F.lit(True))
+    h = []
+    for _, text, _ in rows:
+        chars, x = langid.entropies(model.tables, [text.encode()])
+        h.append((x[0][0], chars[0]))
+    mean = float(np.median([x for x, _ in h]))
+    spread = float(np.median([abs(x - mean) * np.sqrt(n) for x, n in h])) * 1.4826
+    assert abs(model.mean["en"] - mean) <= 1 / langid.GRID and abs(model.spread["en"] - spread) <= 2e-3
+    seen = []
+    measured = langid.measured
+    monkeypatch.setattr(langid, "measured", lambda rows, *a: (seen.append(rows.count()), measured(rows, *a))[1])
+    langid.fit(df, F.lit(True))
+    assert seen == [len(rows)]
