@@ -43,7 +43,7 @@ def counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     def one(c: str) -> DataFrame:
         kind, value = df.schema[c].dataType, F.col(c)
         if isinstance(kind, (T.FloatType, T.DoubleType)):  # grouping takes -0.0 for 0.0, their texts differ
-            negative = F.when(value == 0, F.atan2(value, F.lit(-1.0)) < 0).otherwise(F.lit(False))
+            negative = F.when(value == 0, value.cast("string") == "-0.0").otherwise(F.lit(False))
             parts, text = [value.alias("v"), negative.alias("z")], F.when(F.col("z"), F.lit("-0.0")).otherwise(F.col("v").cast("string"))
         elif isinstance(kind, T.IntegralType):
             parts, text = [value.alias("v")], F.col("v").cast("string")
