@@ -32,6 +32,9 @@ LOCAL_ENTRIES = 500_000
 #: Cells (n-grams x models) of the arrays that may travel to the tasks: 64 MB.
 LOCAL_CELLS = 16_000_000
 
+#: Cells (characters x models) that are looked up at a time: some 20 MB.
+_CELLS = 1_000_000
+
 #: A task's running word counts are spelled out into n-grams when they hold this many distinct words.
 _FLUSH = 400_000
 
@@ -272,9 +275,15 @@ class Tables:
         return out
 
     def words(self, words: list[str]) -> np.ndarray:
-        """log P of each word (with its end) under each model: one row per word."""
+        """log P of each word (with its end) under each model: one row per word, looked up in pieces of bounded size."""
         if not words:
             return np.zeros((0, len(self.names)))
+        upto = np.cumsum([len(w) + 1 for w in words]) * len(self.names)
+        cuts = np.unique(np.searchsorted(upto, np.arange(_CELLS, upto[-1], _CELLS)))
+        edges = [0, *(int(c) for c in cuts if c), len(words)]
+        return np.concatenate([self._words(words[a:b]) for a, b in zip(edges, edges[1:])])
+
+    def _words(self, words: list[str]) -> np.ndarray:
         pad = START * (self.order - 1)
         cps = _codes("".join([pad + w + END for w in words]))
         length = np.array([len(w) for w in words]) + 1

@@ -150,8 +150,10 @@ def calibrate(fitted: charlm.Fitted, tables: charlm.Tables | None, rows: DataFra
     if not fitted.names:
         return {}, {}
     place = F.create_map(*[x for i, n in enumerate(fitted.names) for x in (F.lit(n), F.lit(i))])
-    own = cut(measured(rows, ["model"], fitted, tables).where("chars > 0").select(
-        "model", F.least("chars", F.lit(_LONG)).alias("n"), F.get("h", place[F.col("model")]).alias("h")), "lang-calibration")
+    # rows without a letter go once written: a filter on what the texts are measured by would be pushed below the
+    # measuring, which then ran twice, in two Python workers a task
+    own = cut(measured(rows, ["model"], fitted, tables).select(
+        "model", F.least("chars", F.lit(_LONG)).alias("n"), F.get("h", place[F.col("model")]).alias("h")), "lang-calibration").where("n > 0")
     mean = _medians(own, F.col("h"))
     if not mean:
         return {}, {}

@@ -133,6 +133,31 @@ def test_rare_ngrams_behind_many_frequent_ones_count(make_docs):
     assert got.lang_pred == "b" and got.score > 0.5
 
 
+def test_the_calibration_measures_each_text_once(tables, monkeypatch, capsys):
+    own, plans = langid.cut, []
+
+    def spy(df, label):
+        if label == "lang-calibration":
+            df.explain()
+            plans.append(capsys.readouterr().out)
+        return own(df, label)
+    monkeypatch.setattr(langid, "cut", spy)
+    model = langid.fit(tables[0], langid.training_rows())
+    assert model.tables is not None and len(plans) == 1
+    assert plans[0].count("ArrowEvalPython") == 1
+
+
+def test_words_are_looked_up_in_pieces(monkeypatch):
+    t = charlm.Tables.build({"en": charlm.KneserNey(grams(EN, 4), 4, 40), "de": charlm.KneserNey(grams(DE, 4), 4, 40)})
+    words = ["x" * 50, *EN, *DE, "é", "日本", "y" * 70]
+    whole = t.words(words)
+    sizes, own = [], charlm.Tables._lookup
+    monkeypatch.setattr(charlm, "_CELLS", 40)
+    monkeypatch.setattr(charlm.Tables, "_lookup", lambda self, cps, at, k: (k == 4 and sizes.append(len(at)), own(self, cps, at, k))[1])
+    assert np.array_equal(t.words(words), whole)
+    assert max(sizes) * 2 <= 40 + 2 * 71 and len(sizes) > 10
+
+
 # -- quality -----------------------------------------------------------------------------------------
 
 
