@@ -127,3 +127,38 @@ def test_a_replay_of_a_finished_batch_rewrites_nothing(spark, tmp_path, monkeypa
     monkeypatch.setattr(U, "_write_parts", lambda *_: pytest.fail("rewritten"))
     put(spark, t, [(1, "b")], "b1")
     assert table(spark, t) == {1: "b", 2: "x"} and len(feed(spark, t, "k")) == 4
+
+
+def test_rows_of_other_keys_stay_out_of_the_exchange(spark, tmp_path, monkeypatch):
+    t, own, moved = str(tmp_path / "t"), U.together, []
+
+    def spy(current, incoming, keys):
+        moved.append(current and current.count())
+        return own(current, incoming, keys)
+    monkeypatch.setattr(U, "together", spy)
+    put(spark, t, [(k, "a") for k in range(2000)], "b0")
+    put(spark, t, [(k, "b") for k in range(1990, 2010)], "b1")
+    assert 10 <= moved[-1] < 400
+    assert table(spark, t) == {k: "a" if k < 1990 else "b" for k in range(2010)}
+    assert sorted(x[1] for x in feed(spark, t, "k") if x[0] == 2) == sorted(["insert"] * 10 + [C.BEFORE] * 10 + [C.AFTER] * 10)
+
+
+@pytest.mark.parametrize("marks", [1 << 15, 0])
+def test_a_batch_too_large_for_the_bitmap(spark, tmp_path, monkeypatch, marks):
+    monkeypatch.setattr(U, "MARKS", marks)
+    t = str(tmp_path / "t")
+    put(spark, t, [(k, "a") for k in range(6000)], "b0")
+    put(spark, t, [(k, "b") for k in range(1000, 7000)], "b1")
+    assert table(spark, t) == {k: "a" if k < 1000 else "b" for k in range(7000)}
+    assert len(feed(spark, t, "k")) == 6000 + 1000 + 10_000
+
+
+def test_a_first_batch_that_lies_well_is_written_as_it_lies(spark, tmp_path, monkeypatch):
+    own, dealt = U._write_parts, []
+    monkeypatch.setattr(U, "_write_parts", lambda spark, df, path, d=False: (dealt.append(d), own(spark, df, path, d)))
+    monkeypatch.setattr(U, "FILE_ROWS", 10)
+    df = spark.range(400).selectExpr("id AS k", "'a' AS v")
+    U.upsert(spark, str(tmp_path / "one"), df.coalesce(2), ["k"], buckets=1, batch_id="b0", changes=True)
+    U.upsert(spark, str(tmp_path / "many"), df.repartition(200), ["k"], buckets=4, batch_id="b0", changes=True)
+    assert dealt == [True, False]
+    assert U.read_keyed(spark, str(tmp_path / "one")).count() == U.read_keyed(spark, str(tmp_path / "many")).count() == 400
