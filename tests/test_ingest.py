@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.catalog_ingest import Area, BROKEN_SPECS
+from strata.operators import upsert as U
 from strata.plans.bronze import repair_bad_users, reset_source
 from strata.sources import landing as L
 from strata.sources.spec import parse_specs
+from strata.sources.stored import children
 from strata.streaming.ingest import Layout, finish_overwrite, ingest_all, ingest_source, read_table
 
 
@@ -308,3 +310,34 @@ def test_private_checkpoint_folder_only_in_one_process():
     pattern = re.search(r're\.match\(r"(.*?)", sc\.master\)', source).group(1)
     assert all(re.match(pattern, m) for m in ("local", "local[8]", "local[*]", "local[4, 3]"))
     assert not any(re.match(pattern, m) for m in ("local-cluster[3,2,1024]", "yarn", "spark://h:7077", "k8s://x"))
+
+
+def test_no_layer_keeps_its_batch_in_the_executors_memory(spark, sf_small, monkeypatch):
+    """Bronze, silver and gold stage a batch as files; no rows are persisted, and no staged files stay."""
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    from strata.catalog_ingest import Area
+    from strata.plans.incremental import run_gold_incremental
+    from strata.plans.jobs import read_wide, run_bronze, run_gold, run_silver
+    from strata.session import work_root
+    kept, real, before = [], Frame.persist, set(children(spark, work_root(spark)))
+    monkeypatch.setattr(Frame, "persist", lambda df, *level: (kept.append(df.columns), real(df, *level))[1])
+    a = Area(spark, "no-persist")
+    for source in ("transactions", "merchants", "users"):
+        a.land(spark, sf_small, source, 0)
+    run_bronze(spark, list(a.specs.values()), a.layout, raise_on_failure=True)
+    run_silver(spark, a.layout, buckets=1, raise_on_failure=True)
+    run_gold(spark, a.layout, buckets=1)
+    assert kept == [] and read_wide(spark, a.layout).count() > 0
+    assert {n.rsplit("-", 1)[0] for n in set(children(spark, work_root(spark))) - before} == {"no-persist"}
+
+
+def test_sources_run_side_by_side(spark, tmp_path):
+    """Two sources wait for each other: in turn they would not end."""
+    import threading
+
+    from strata.session import side_by_side
+    gate = threading.Barrier(2, timeout=60)
+    assert side_by_side([lambda n=n: (gate.wait(), n)[1] for n in range(2)]) == [0, 1]
+    with pytest.raises(ZeroDivisionError):
+        side_by_side([lambda: 1 / 0, lambda: 1])
