@@ -45,7 +45,7 @@ from strata.session import fresh_dir
 from strata.sources.stored import delete_path, path_exists, read_stored, read_text, remember_schema, write_text
 
 PART, BUCKET, SEQ, OP = "_part", "_bucket", "_seq", "_op"
-SPREAD, FRESH = "_spread", "_fresh"
+SPREAD, FRESH, KEPT = "_spread", "_fresh", "_kept"
 MARK, GROUP, MARKED = "_mark", "_group", "_marked"
 DELETE = "DELETE"
 META_FILE = "_keyed.json"
@@ -153,7 +153,7 @@ def _newest(both: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
 def held(df: DataFrame, hold: bool = True):
     """Persist a batch that is read twice (partition list, then merge); release it afterwards.
 
-    ``hold=False`` when the caller already persisted the batch's input.
+    ``hold=False`` when the batch's input is stored already (staged files, a change feed).
     """
     if not hold:
         yield df
@@ -205,9 +205,12 @@ def read_keyed(spark: SparkSession, path: str, pairs: list[tuple[str, int]] | Da
         return df
     if isinstance(pairs, DataFrame):
         return df.join(pairs, [PART, BUCKET], "left_semi")
+    parts, buckets = sorted({p for p, _ in pairs}), sorted({b for _, b in pairs})
+    df = df.where(F.col(PART).isin(parts) & F.col(BUCKET).isin(buckets))
+    if len(set(pairs)) == len(parts) * len(buckets):
+        return df  # every part with every bucket: the filters are exact
     exact = spark.createDataFrame(pairs, f"{PART} string, {BUCKET} int")
-    return (df.where(F.col(PART).isin(sorted({p for p, _ in pairs})) & F.col(BUCKET).isin(sorted({b for _, b in pairs})))
-            .join(F.broadcast(exact), [PART, BUCKET], "left_semi"))  # at most LISTED short rows
+    return df.join(F.broadcast(exact), [PART, BUCKET], "left_semi")  # at most LISTED short rows
 
 
 def _exists(spark: SparkSession, target: str) -> bool:
@@ -244,11 +247,11 @@ def settle(spark: SparkSession, target: str) -> None:
 
 def _merge(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[str], required: Sequence[str], combine,
            buckets: int, part: str | None, hold: bool, batch_id, keep_unkeyed: bool = False, changes: bool = False,
-           pick=None, reduce=None, alone: bool = False, defer: bool = False) -> None:
+           first=None, reduce=None, alone: bool = False, defer: bool = False) -> None:
     """Split off rows without a home, then replace the touched partitions.
 
-    Either by ``combine(current or None, incoming)``, or by ``pick`` of their rows ``together`` (``alone``: a batch is its own
-    result where nothing is stored).  ``reduce`` makes a batch with many rows a key smaller before it is merged; ``defer``
+    Either by ``combine(current or None, incoming)``, or by the rows ``together`` whose rank ``first`` is 1 (``alone``: a batch is its
+    own result where nothing is stored).  ``reduce`` makes a batch with many rows a key smaller before it is merged; ``defer``
     leaves the merge to ``settle``.
     """
     existed = _exists(spark, target)
@@ -279,7 +282,7 @@ def _merge(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[st
         pairs = touched(incoming) if existed else None
         current = read_keyed(spark, target, pairs) if pairs else None
         record = home.changes and not C.recorded(spark, target, batch_id)
-        if pick is None:
+        if first is None:
             if current is not None or not existed:
                 _write_parts(spark, combine(current, incoming), target)
             return
@@ -296,12 +299,13 @@ def _merge(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[st
         rest = None
         if current is not None and home.changes:
             rest, current = apart(current, incoming, keys, n_whole)
+        both = together(current, incoming, keys).withColumn(KEPT, first == 1)
         # read by the feed and by the table
-        with held(together(current, incoming, keys), record) as both:
+        with held(_with_change(both, keys) if record else both, record) as both:
             if record:
-                _record(spark, target, pick, both, current is not None, keys, batch_id)
+                C.record(spark, target, both.where(F.col(C.CHANGE).isNotNull()).drop(PART, BUCKET, FRESH, SPREAD, KEPT), batch_id)
             if current is not None or not existed:
-                merged = pick(both)
+                merged = both.where(KEPT).drop(FRESH, SPREAD, KEPT, C.CHANGE)
                 _write_parts(spark, merged if rest is None else rest.unionByName(merged, allowMissingColumns=True), target, True)
         if home.changes:
             C.finish(spark, target, batch_id)
@@ -313,13 +317,20 @@ def _lies_well(rows: DataFrame, n: int) -> bool:
     return isinstance(pairs, list) and n >= FILE_ROWS * len(pairs) * rows.rdd.getNumPartitions()
 
 
-def _record(spark: SparkSession, target: str, pick, both: DataFrame, stored: bool, keys: Sequence[str], batch_id) -> None:
-    """What the merge is going to change: the stored rows of the batch's keys against what becomes of them."""
-    before, mine = None, both
-    if stored:
-        mine = both.withColumn("_asked", F.max(FRESH).over(_per_key(keys))).where("_asked").drop("_asked")
-        before = mine.where(~F.col(FRESH)).drop(FRESH, SPREAD)
-    C.record(spark, target, C.difference(before, pick(mine), keys, hidden=(PART, BUCKET)), batch_id)
+def _with_change(both: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows ``together`` with what the merge makes of them (``_change``, NULL for none): a key's stored row against the kept one.
+
+    Both lie in one task already, so they are told by windows and move no further.
+    """
+    alive = F.coalesce(F.col(OP), F.lit("UPSERT")) != DELETE if OP in both.columns else F.lit(True)
+    state = F.struct(alive.alias("alive"), F.col(C.HASH).alias("hash"))
+    ends = both.withColumns({"_was": F.max(F.when(~F.col(FRESH), state)).over(_per_key(keys)),
+                             "_is": F.max(F.when(F.col(KEPT), state)).over(_per_key(keys))})
+    was, is_ = (F.coalesce(F.col(c)["alive"], F.lit(False)) for c in ("_was", "_is"))
+    differs = ~F.col("_was")["hash"].eqNullSafe(F.col("_is")["hash"])
+    came, went = F.col(FRESH) & F.col(KEPT), ~F.col(FRESH) & ~F.col(KEPT)
+    return ends.withColumn(C.CHANGE, F.when(came & is_ & ~was, F.lit(C.INSERT)).when(came & is_ & was & differs, F.lit(C.AFTER))
+                           .when(went & was & is_ & differs, F.lit(C.BEFORE)).when(went & was & ~is_, F.lit(C.DELETED))).drop("_was", "_is")
 
 
 def upsert(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[str], buckets: int = DEFAULT_BUCKETS,
@@ -329,12 +340,9 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[st
     ``batch`` must hold at most one row per key (deduplicate first).  ``changes`` keeps a change feed; batch ids
     must then tell batches apart.
     """
-    def pick(both):
-        # a key's incoming rows, or its stored ones if there are none
-        first = F.rank().over(_per_key(keys).orderBy(F.col(FRESH).desc()))
-        return both.withColumn("_rank", first).where("_rank = 1").drop("_rank", FRESH, SPREAD)
-
-    _merge(spark, target, batch, keys, keys, None, buckets, part, hold, batch_id, changes=changes, pick=pick, alone=True)
+    # a key's incoming rows, or its stored ones if there are none
+    first = F.rank().over(_per_key(keys).orderBy(F.col(FRESH).desc()))
+    _merge(spark, target, batch, keys, keys, None, buckets, part, hold, batch_id, changes=changes, first=first, alone=True)
 
 
 def keep_one(spark: SparkSession, target: str, rows: DataFrame, keys: Sequence[str], seq: Column, newest: bool = True,
@@ -349,7 +357,7 @@ def keep_one(spark: SparkSession, target: str, rows: DataFrame, keys: Sequence[s
         raise ValueError("only newest-wins batches can be deferred")
     order = F.col(SEQ).desc() if newest else F.col(SEQ).asc()
     _merge(spark, target, rows.withColumn(SEQ, seq), keys, [*keys, SEQ], None, buckets, part, hold, batch_id, keep_unkeyed, changes,
-           pick=lambda both: _newest(both, keys, order),
+           first=F.row_number().over(_per_key(keys).orderBy(order)),
            reduce=lambda incoming: latest_by(incoming, keys, [order], null_keys=False), defer=defer)
 
 

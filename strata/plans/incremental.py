@@ -29,8 +29,8 @@ from strata.operators import counted as N
 from strata.operators import upsert as U
 from strata.plans import gold as G
 from strata.plans.jobs import accepted_path, silver_current, transaction_part, wide_path
-from strata.session import fresh_dir
-from strata.sources.stored import delete_path, path_exists, read_stored, remember_schema, stored_schema
+from strata.session import side_by_side
+from strata.sources.stored import delete_path, path_exists, read_stored, remember_schema, staged, stored_schema
 from strata.streaming.ingest import DEFAULT_MAX_FILES_PER_TRIGGER, Layout
 
 #: What each silver dimension gives the wide table.
@@ -86,14 +86,11 @@ def mart(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
 
 def put_new(spark: SparkSession, layout: Layout, batch: DataFrame, batch_id: int, buckets: int) -> int:
     """Enrich a batch of accepted rows with the current dimensions and put them into the wide table."""
-    rows = G.enrich(batch, silver_current(spark, layout, "merchants"), silver_current(spark, layout, "users"),
-                    keep=("_seq",)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    rows = G.enrich(batch, silver_current(spark, layout, "merchants"), silver_current(spark, layout, "users"), keep=("_seq",))
+    with staged(rows, "enriched", n=F.count(F.lit(1))) as (rows, n):
         U.keep_one(spark, wide_path(layout), rows, ["transaction_id"], F.col("_seq"), buckets=buckets, hold=False,
                    part=transaction_part(spark), batch_id=f"new-{batch_id}", changes=True)
-        return rows.count()
-    finally:
-        rows.unpersist()
+        return int(n["n"])
 
 
 def holding(spark: SparkSession, wide: str, keys: DataFrame, key: str) -> list[tuple[str, int]] | DataFrame:
@@ -104,7 +101,6 @@ def holding(spark: SparkSession, wide: str, keys: DataFrame, key: str) -> list[t
 def refresh_dimension(spark: SparkSession, wide: str, changed: DataFrame, key: str, dimension: DataFrame,
                       attributes: dict[str, str], batch_id, buckets: int = U.DEFAULT_BUCKETS, part: str | None = None) -> int:
     """Give the wide rows of ``changed`` keys the dimension's current attributes; returns the number of rows that differ."""
-    scratch = fresh_dir(spark, "refresh")
     keys = changed.select(key).where(F.col(key).isNotNull()).distinct().persist(StorageLevel.MEMORY_AND_DISK)
     try:
         pairs = holding(spark, wide, keys, key)
@@ -119,13 +115,13 @@ def refresh_dimension(spark: SparkSession, wide: str, changed: DataFrame, key: s
         rows = stored.join(now, key, "left").where(differs).withColumns({n: F.col(f"_new_{n}") for n in attributes})
         rows = rows.withColumns({"risk_score": G.risk_score(F.col("risk_level"), F.col("status"), F.col("is_reverse")),
                                  **G.processed_columns()}).select(*[c for c in stored.columns if c not in (U.PART, U.BUCKET, C.HASH)])
-        rows.write.parquet(scratch)  # read several times while the table that it comes from is rewritten
-        rows = spark.read.schema(rows.schema).parquet(scratch)
-        U.upsert(spark, wide, rows, ["transaction_id"], buckets=buckets, hold=False, part=part, batch_id=batch_id, changes=True)
-        return rows.count()
+        # read several times while the table that it comes from is rewritten
+        with staged(rows, "refresh", n=F.count(F.lit(1))) as (rows, n):
+            if n["n"] or C.recorded(spark, wide, batch_id):
+                U.upsert(spark, wide, rows, ["transaction_id"], buckets=buckets, hold=False, part=part, batch_id=batch_id, changes=True)
+            return int(n["n"])
     finally:
         keys.unpersist()
-        delete_path(spark, scratch)
 
 
 # -- marts ----------------------------------------------------------------------------------------
@@ -147,24 +143,25 @@ def apply_changes(spark: SparkSession, layout: Layout, changes: DataFrame, batch
     """Bring all marts up to date with a batch of the wide table's changes."""
     run = run or GoldRun()
     sign = F.when(F.col(C.CHANGE).isin(C.INSERT, C.AFTER), F.lit(1)).otherwise(F.lit(-1))
-    rows = changes.withColumn("_sign", sign).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        run.changes += rows.count()
-        newest = rows.where("_sign > 0")
-        U.keep_one(spark, mart_path(layout, "fact_transactions"), G.fact_transactions(newest, C.VERSION), ["transaction_id"],
-                   F.struct(C.VERSION), buckets=buckets, part=transaction_part(spark), batch_id=batch_id)
-        for name, m in COUNTED.items():
-            columns = m.rows(rows).columns
-            delta = N.signed_counts(m.rows(rows, "_sign"), "_sign", columns).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                touched = N.apply(spark, state_path(layout, name), delta, m.group, batch_id, buckets)
-            finally:
-                delta.unpersist()
-            run.buckets[name] = run.buckets.get(name, 0) + len(touched)
-            if touched:
-                _rebuild(spark, layout, name, m, touched, buckets)
-    finally:
-        rows.unpersist()
+    rows = changes.withColumn("_sign", sign)  # stored files: each mart reads the columns it needs
+    run.changes += rows.count()
+
+    def fact() -> None:
+        U.keep_one(spark, mart_path(layout, "fact_transactions"), G.fact_transactions(rows.where("_sign > 0"), C.VERSION),
+                   ["transaction_id"], F.struct(C.VERSION), buckets=buckets, hold=False, part=transaction_part(spark), batch_id=batch_id)
+
+    def counted(name: str, m: CountedMart) -> None:
+        columns = m.rows(rows).columns
+        delta = N.signed_counts(m.rows(rows, "_sign"), "_sign", columns).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            touched = N.apply(spark, state_path(layout, name), delta, m.group, batch_id, buckets)
+        finally:
+            delta.unpersist()
+        run.buckets[name] = run.buckets.get(name, 0) + len(touched)
+        if touched:
+            _rebuild(spark, layout, name, m, touched, buckets)
+
+    side_by_side([fact, *[lambda name=name, m=m: counted(name, m) for name, m in COUNTED.items()]], 5)
 
 
 # -- the job --------------------------------------------------------------------------------------

@@ -162,3 +162,20 @@ def test_a_first_batch_that_lies_well_is_written_as_it_lies(spark, tmp_path, mon
     U.upsert(spark, str(tmp_path / "many"), df.repartition(200), ["k"], buckets=4, batch_id="b0", changes=True)
     assert dealt == [True, False]
     assert U.read_keyed(spark, str(tmp_path / "one")).count() == U.read_keyed(spark, str(tmp_path / "many")).count() == 400
+
+
+def test_changes_are_told_where_the_rows_of_a_key_lie(spark):
+    """Stored and incoming rows cross one exchange and meet in no join; every kind of change, and of none, is told."""
+    home, kind = U.Home(["k"], 4, "k % 2", changes=True), "k int, n int, v string, _op string"
+    stored = [(1, 1, "a", "UPSERT"), (2, 1, "b", "UPSERT"), (3, 1, "c", "UPSERT"), (4, 1, None, "DELETE"), (5, 1, "e", "UPSERT"), (6, 1, None, "DELETE"),
+              (9, 1, "i", "UPSERT")]
+    batch = [(1, 2, "A", "UPSERT"), (2, 2, None, "DELETE"), (3, 0, "late", "UPSERT"), (4, 2, "d", "UPSERT"), (5, 1, "e", "UPSERT"), (6, 2, None, "DELETE"),
+             (7, 1, "g", "UPSERT"), (8, 1, None, "DELETE")]
+    old, new = (C.with_hash(U.housed(spark.createDataFrame(r, kind), home)) for r in (stored, batch))
+    newest = F.row_number().over(U._per_key(["k"]).orderBy(F.col("n").desc())) == 1
+    for current, want in ((old, {(1, "a", C.BEFORE), (1, "A", C.AFTER), (2, "b", C.DELETED), (4, "d", C.INSERT), (7, "g", C.INSERT)}),
+                          (None, {(1, "A", C.INSERT), (3, "late", C.INSERT), (4, "d", C.INSERT), (5, "e", C.INSERT), (7, "g", C.INSERT)})):
+        told = U._with_change(U.together(current, new, ["k"]).withColumn(U.KEPT, newest), ["k"]).where(F.col(C.CHANGE).isNotNull())
+        assert {(r.k, r.v, r[C.CHANGE]) for r in told.collect()} == want
+        plan = told._jdf.queryExecution().executedPlan().toString()
+        assert plan.split("Initial Plan")[-1].count("Exchange") == 1 and "Join" not in plan

@@ -199,3 +199,15 @@ def test_a_merge_moves_stored_rows_once(spark, tmp_path):
     both = U.together(rows, rows.where("k < 100"), ["k"])
     plan = U._newest(both, ["k"], F.col("seq").desc())._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+
+
+def test_whole_ranges_of_partitions_are_read_without_a_join(spark):
+    target = fresh_dir(spark, "t-exact")
+    U.upsert(spark, target, days(spark, 4), ["k"], buckets=2, part=DAY)
+
+    def read(pairs):
+        df = U.read_keyed(spark, target, pairs)
+        return "Join" in df._jdf.queryExecution().optimizedPlan().toString(), sorted({(r[U.PART], r[U.BUCKET]) for r in df.collect()})
+    every = [(f"2024010{d}", b) for d in (1, 2, 3) for b in (0, 1)]
+    assert read(every) == (False, every)
+    assert read(every[1:]) == (True, every[1:])
